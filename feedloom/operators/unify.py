@@ -16,12 +16,15 @@ def pack_metadata(columns: Sequence[str]) -> Column:
     return F.to_json(F.struct(*columns))
 
 
-def name_games(df: DataFrame, games: DataFrame | None = None, game_name: str | None = None) -> DataFrame:
-    """Add ``game_name``: one given name, or a look-up of ``app_id`` in ``games``."""
-    if games is None:
-        return df.withColumn("game_name", F.lit(game_name).cast("string"))
-    named = df.join(games.select("app_id", "game_name"), "app_id", "left")
-    return named.withColumn("game_name", F.coalesce("game_name", F.col("app_id").cast("string")))
+def name_games(
+    reviews: DataFrame, games: DataFrame | None = None, game_name: str | None = None
+) -> DataFrame:
+    """Add ``game_name``: the one given, or that of the app in ``games``, which
+    then also says which apps to keep. With neither, the app id is the name."""
+    if games is not None:
+        return reviews.join(games.select("app_id", "game_name"), "app_id")
+    name = F.col("app_id") if game_name is None else F.lit(game_name)
+    return reviews.withColumn("game_name", name)
 
 
 def unify_steam(reviews: DataFrame) -> DataFrame:

@@ -26,13 +26,14 @@ def ingest_steam(
 ) -> DataFrame:
     """Newest ``cap`` reviews of every app, cut to a sample of ``sample``."""
     reviews = _one_app(landed.read_steam(spark, path), app_id)
+    reviews = name_games(reviews, games, game_name)
     created = F.timestamp_seconds("timestamp_created")
     if asof is not None and days is not None:
         reviews = bounds.within_days(reviews, created, asof, days)
     reviews = bounds.newest(reviews, ["app_id"], created, "recommendationid", cap)
     if sample is not None:
         reviews = bounds.sample_threshold(reviews, ["app_id"], "recommendationid", sample)
-    return conform(unify_steam(name_games(reviews, games, game_name)))
+    return conform(unify_steam(reviews))
 
 
 def ingest_play(
@@ -49,13 +50,14 @@ def ingest_play(
 ) -> DataFrame:
     """Newest ``cap`` reviews per app and language, pooled to ``cap``, then sampled."""
     reviews = _one_app(landed.read_play(spark, path), app_id)
+    reviews = name_games(reviews, games, game_name)
     if asof is not None and days is not None:
         reviews = bounds.within_days(reviews, F.col("at"), asof, days)
     reviews = bounds.newest_by_language(reviews, ["app_id"], F.col("at"), "reviewId", cap)
     reviews = bounds.sample_threshold(reviews, ["app_id"], "reviewId", cap, seed="pool")
     if sample is not None:
         reviews = bounds.sample_threshold(reviews, ["app_id"], "reviewId", sample)
-    return conform(unify_play(name_games(reviews, games, game_name)))
+    return conform(unify_play(reviews))
 
 
 def ingest_forum(
@@ -63,16 +65,24 @@ def ingest_forum(
     path: str,
     *,
     app_id: str | None = None,
+    game_name: str | None = None,
+    games: DataFrame | None = None,
     max_posts: int = 500,
     max_comments: int = 20,
     asof: date | datetime | None = None,
     days: int = 365,
-    **_: object,
 ) -> DataFrame:
-    """Best comments under the best posts of every forum; ``app_id`` picks one forum."""
+    """Best comments under the best posts of every forum.
+
+    ``app_id`` or ``games`` picks forums; the game is named after its forum, so
+    ``game_name`` is accepted and not used.
+    """
     posts = landed.read_posts(spark, f"{path}/posts")
     if app_id is not None:
         posts = posts.where(F.col("subreddit") == app_id)
+    if games is not None:
+        forums = games.select(F.col("app_id").alias("subreddit"))
+        posts = posts.join(forums, "subreddit", "left_semi")
     if asof is not None:
         posts = bounds.within_days(posts, F.col("created_utc"), asof, days)
     posts = bounds.top_posts(posts, max_posts)
