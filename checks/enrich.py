@@ -185,7 +185,7 @@ def ai_extract_column(spark, sf):
 
 @check(
     "ai_batch_model",
-    sql("SELECT content_id, md5(reverse(upper(content_text))) AS answer, "
+    sql("SELECT content_id, md5(replace(content_text, 'e', '3')) AS answer, "
         "CAST(NULL AS VARCHAR) AS answer_error FROM feedback WHERE lang = 'en' UNION ALL "
         "SELECT content_id, NULL, NULL FROM feedback WHERE lang <> 'en'"),
 )
@@ -193,7 +193,7 @@ def ai_batch_model(spark, sf):
     rows = views.feedback(spark, sf)
     english = F.get_json_object("content_metadata", "$.language") == "en"
     text = F.when(english, F.col("content_text"))
-    model = lambda: lambda texts: [t.upper()[::-1] for t in texts]
+    model = lambda: lambda texts: [t.replace("e", "3") for t in texts]
     answered = inference.infer(rows, text, "answer", model)
     return answered.select("content_id", F.md5("answer").alias("answer"), "answer_error")
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from checks import check, views
-from checks.measure import _COUNTS, _RANGE, _RATED, END, NEWEST, START, TOP, chosen
+from checks.measure import _COUNTS, _RANGE, _RATED, END, NEWEST, START, TOP, chosen, rated
 from checks.views import plain, sql
 from feedloom.functions.prompts import PERSONAS
 from feedloom.plans import reports
@@ -101,8 +101,11 @@ def rows_sql(scope: str = "SELECT DISTINCT game_name FROM items") -> str:
     )
 
 
+REQUEST = reports.Request(START, END, datetime(2024, 1, 4))
+
+
 def _tables(spark, sf):
-    return reports.markdown_tables(chosen(spark, sf), views.topics(spark, sf))
+    return reports.markdown_tables(chosen(spark, sf), rated(spark, sf))
 
 
 def _prompts(spark, sf):
@@ -146,12 +149,12 @@ def report_prompts(spark, sf):
     "report_answers",
     sql(
         "SELECT game_name, persona, '## Summary' || chr(10) || chr(10) || context AS answer, "
-        f"md5(reverse(prompt)) AS model_answer FROM ({prompts_sql()})"
+        f"md5(replace(prompt, 'e', '3')) AS model_answer FROM ({prompts_sql()})"
     ),
 )
 def report_answers(spark, sf):
     own = reports.answer_prompts(_prompts(spark, sf))
-    model = lambda: lambda prompts: [p[::-1] for p in prompts]
+    model = lambda: lambda prompts: [p.replace("e", "3") for p in prompts]
     asked = reports.answer_prompts(_prompts(spark, sf), model)
     asked = asked.select("game_name", "persona", F.md5("answer").alias("model_answer"))
     return own.select("game_name", "persona", "answer").join(asked, ["game_name", "persona"])
@@ -159,11 +162,10 @@ def report_answers(spark, sf):
 
 @check("report_rows", sql(rows_sql()))
 def report_rows(spark, sf):
-    built = reports.build_reports(
-        views.items(spark, sf),
-        views.topics(spark, sf),
-        start=START,
-        end=END,
-        run_time=datetime(2024, 1, 4),
-    )
-    return plain(built)
+    items, topics = views.items(spark, sf), views.topics(spark, sf)
+    return plain(reports.build_reports(items, topics, REQUEST))
+
+
+@check("report_rows_from_parsed", sql(rows_sql()))
+def report_rows_from_parsed(spark, sf):
+    return plain(reports.build_reports_from_parsed(views.parsed(spark, sf), REQUEST))

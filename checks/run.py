@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from checks import check, views
-from checks.measure import END, START
-from checks.report import rows_sql
+from checks.report import REQUEST, rows_sql
 from checks.source import _TOP
 from checks.stream import chain_on
 from checks.views import sql
@@ -73,9 +70,7 @@ def run_new_game(spark, sf):
         views.landed(spark, sf)["steam"],
         app_id="src3",
         game_name="New Game",
-        start=START,
-        end=END,
-        run_time=datetime(2024, 1, 4),
+        request=REQUEST,
     )
     reports = spark.table(chain.table(streams.REPORTS)).select(
         F.lit("reports").alias("table_name"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 from uuid import uuid4
 
@@ -66,12 +67,12 @@ def dedup_batch(spark, sf):
 )
 def sink_report_modes(spark, sf):
     table = f"{database(spark, 'reports')}.reports"
-    items, topics = views.items(spark, sf), views.topics(spark, sf)
-    dates = dict(start="2024-01-01", end="2024-01-03", run_time=datetime(2024, 1, 4))
-    for _ in range(2):
-        tables.save_reports(reports.build_reports(items, topics, **dates), table, "REFRESH")
-    one = reports.build_reports(items, topics, update_type="NEW_GAME", game_name="src3", **dates)
-    tables.save_reports(one, table, "NEW_GAME")
+    parsed = views.parsed(spark, sf)
+    every = reports.Request("2024-01-01", "2024-01-03", datetime(2024, 1, 4))
+    one = replace(every, update_type="NEW_GAME", game_name="src3")
+    for request in (every, every, one):
+        built = reports.build_reports_from_parsed(parsed, request)
+        tables.save_reports(built, table, request.update_type)
     return spark.table(table).groupBy("game_name", "persona").agg(F.count("*").alias("row_count"))
 
 

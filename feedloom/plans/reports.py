@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 from feedloom.functions import markdown
 from feedloom.functions.prompts import PERSONAS, Persona
 from feedloom.operators import metrics
+from feedloom.operators.extraction import gold_items, gold_topics
 from feedloom.operators.inference import Model, infer
 from feedloom.plans.ranking import first_n
+from feedloom.schemas import CATEGORIES
 
 # Column heads of the five tables, in the order they appear in a report.
 TABLES = {
@@ -48,16 +51,16 @@ def report_scope(items: DataFrame, update_type: str, game_name: str | None = Non
     return items.sparkSession.createDataFrame([(game_name,)], "game_name string")
 
 
-def markdown_tables(items: DataFrame, topics: DataFrame, n_items: int = 10) -> DataFrame:
+def markdown_tables(items: DataFrame, rated: DataFrame, n_items: int = 10) -> DataFrame:
     """Five markdown tables per game that has items, one column each.
 
-    Items are counted once, topics are joined and counted once, and the lines of
-    all tables come together in one grouping by game. A game adds only its
-    aggregates to it, never its items.
+    ``rated`` holds the topic rows of ``items``. Items and topics are each
+    counted once, and the lines of all tables come together in one grouping by
+    game. A game adds only its aggregates to it, never its items.
     """
     overall = metrics.overall_sentiment(items)
     total = overall.groupBy("game_name").agg(F.sum("number_of_items").alias("total_items"))
-    counts = metrics.subcategory_counts(metrics.topics_of_items(topics, items))
+    counts = metrics.subcategory_counts(rated)
     newest_first = -F.unix_micros("timestamp")
 
     lines = _lines(total, "total")
@@ -175,22 +178,46 @@ def report_rows(answers: DataFrame, start: str, end: str, run_time: datetime) ->
     )
 
 
-def build_reports(
-    items: DataFrame,
-    topics: DataFrame,
-    *,
-    start: str,
-    end: str,
-    run_time: datetime,
-    update_type: str = "REFRESH",
-    game_name: str | None = None,
-    personas: Sequence[Persona] = PERSONAS,
-    n_items: int = 10,
-    load_model: Callable[[], Model] | None = None,
+@dataclass(frozen=True)
+class Request:
+    """What to report on: all games on a refresh, else one, and for which days."""
+
+    start: str
+    end: str
+    run_time: datetime
+    update_type: str = "REFRESH"
+    game_name: str | None = None
+    personas: Sequence[Persona] = PERSONAS
+    n_items: int = 10
+    load_model: Callable[[], Model] | None = None
+
+    def choose(self, rows: DataFrame) -> DataFrame:
+        game = None if self.update_type == "REFRESH" else self.game_name
+        return metrics.in_range(rows, self.start, self.end, game)
+
+
+def build_reports(items: DataFrame, topics: DataFrame, request: Request) -> DataFrame:
+    """Report rows out of the two gold tables, which are joined for the time of a topic."""
+    chosen = request.choose(items)
+    return _build(items, chosen, metrics.topics_of_items(topics, chosen), request)
+
+
+def build_reports_from_parsed(
+    parsed: DataFrame, request: Request, categories: Sequence[str] = CATEGORIES
 ) -> DataFrame:
-    """Report rows of all games on a refresh, of one game otherwise."""
-    chosen = None if update_type == "REFRESH" else game_name
-    tables = markdown_tables(metrics.in_range(items, start, end, chosen), topics, n_items)
-    context = report_context(report_scope(items, update_type, game_name), tables)
-    answers = answer_prompts(report_prompts(context, personas), load_model)
-    return report_rows(answers, start, end, run_time)
+    """The same reports out of the parsed table, which both gold tables come from.
+
+    A parsed row holds the item and its topics together, so nothing is joined:
+    topics are counted where they are read, and only counts are shuffled.
+    """
+    chosen = request.choose(parsed)
+    rated = gold_topics(chosen, categories)
+    return _build(parsed, gold_items(chosen), rated, request)
+
+
+def _build(every: DataFrame, items: DataFrame, rated: DataFrame, request: Request) -> DataFrame:
+    tables = markdown_tables(items, rated, request.n_items)
+    scope = report_scope(every, request.update_type, request.game_name)
+    prompts = report_prompts(report_context(scope, tables), request.personas)
+    answers = answer_prompts(prompts, request.load_model)
+    return report_rows(answers, request.start, request.end, request.run_time)

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from datetime import datetime
+from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import schemas
-from feedloom.operators.inference import Model
 from feedloom.operators.metrics import distinct_game_sources
 from feedloom.operators.tables import items_of, save_reports
-from feedloom.plans.reports import build_reports
+from feedloom.plans.reports import Request, build_reports_from_parsed
 from feedloom.sources.ingest import ingest
-from feedloom.streaming.chain import BRONZE, ITEMS, REPORTS, TOPICS, Chain, refresh
+from feedloom.streaming.chain import BRONZE, PARSED, REPORTS, Chain, refresh
 from feedloom.streaming.upsert import upsert
 
 
@@ -26,28 +25,19 @@ def run_new_game(
     *,
     app_id: str,
     game_name: str,
-    start: str,
-    end: str,
-    run_time: datetime,
-    load_model: Callable[[], Model] | None = None,
+    request: Request,
     **options: object,
 ) -> None:
-    """Ingest one source of one game, enrich what is new, report on the game."""
+    """Ingest one source of one game, enrich what is new, report on the game.
+
+    ``request`` says for which days and readers; its game is this one.
+    """
     rows = ingest(spark, content_type, path, app_id=app_id, game_name=game_name, **options)
     upsert(rows, chain.table(BRONZE))
     refresh(spark, chain)
     # A forum names its game after itself.
     own = app_id if content_type in (schemas.FORUM, schemas.FORUM_ALIAS) else game_name
-    write_reports(
-        spark,
-        chain,
-        "NEW_GAME",
-        game_name=own,
-        start=start,
-        end=end,
-        run_time=run_time,
-        load_model=load_model,
-    )
+    write_reports(spark, chain, replace(request, update_type="NEW_GAME", game_name=own))
 
 
 def run_refresh(
@@ -79,15 +69,8 @@ def run_refresh(
     refresh(spark, chain)
 
 
-def write_reports(
-    spark: SparkSession,
-    chain: Chain,
-    update_type: str,
-    *,
-    game_name: str | None = None,
-    **options: object,
-) -> None:
-    """Build reports out of the gold tables and save them."""
-    items, topics = (items_of(spark, chain.table(name)) for name in (ITEMS, TOPICS))
-    reports = build_reports(items, topics, update_type=update_type, game_name=game_name, **options)
-    save_reports(reports, chain.table(REPORTS), update_type)
+def write_reports(spark: SparkSession, chain: Chain, request: Request) -> None:
+    """Build reports out of the parsed table and save them."""
+    parsed = items_of(spark, chain.table(PARSED))
+    reports = build_reports_from_parsed(parsed, request, chain.categories)
+    save_reports(reports, chain.table(REPORTS), request.update_type)

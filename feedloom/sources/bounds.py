@@ -50,27 +50,40 @@ def top_comments(comments: DataFrame, n: int = 20) -> DataFrame:
 
 
 def sample_threshold(
-    df: DataFrame, by: Sequence[str], id_col: str, n: int = 2000, seed: str = "sample"
+    df: DataFrame,
+    by: Sequence[str],
+    id_col: str,
+    n: int = 2000,
+    seed: str = "sample",
+    capped: bool = False,
 ) -> DataFrame:
     """All rows of a group of up to ``n``, else exactly ``n`` picked uniformly.
 
     Rows are drawn in the order of a seeded hash of the id, so that a rerun or
     a lost executor draws the same ones. The bit length of the hash grows along
     that order and halves the group with every step, which is what lets
-    :func:`first_n` leave all but about ``2 n`` rows of a group unmoved.
+    :func:`first_n` leave all but about ``2 n`` rows of a group unmoved. Groups
+    that are ``capped`` already are ranked as they are, without that extra read.
     """
     draw = F.md5(F.concat(F.lit(seed), F.col(id_col)))
-    bits = F.length(F.bin(F.conv(F.substring(draw, 1, 15), 16, 10).cast("long")))
     order = [draw, F.col(id_col)]
+    if capped:
+        return first_n(df, by, order, n)
+    bits = F.length(F.bin(F.conv(F.substring(draw, 1, 15), 16, 10).cast("long")))
     return first_n(df, by, order, n, slice_on=id_col, bucket=F.coalesce(bits, F.lit(0)))
 
 
 def sample_languages(
-    df: DataFrame, by: Sequence[str], id_col: str, pool: int = 10_000, n: int = 2000
+    df: DataFrame,
+    by: Sequence[str],
+    id_col: str,
+    pool: int = 10_000,
+    n: int | None = 2000,
+    capped: bool = False,
 ) -> DataFrame:
     """Pool all languages, cut to ``pool`` and then to ``n``; shares hold on average."""
-    pooled = sample_threshold(df, by, id_col, pool, seed="pool")
-    return sample_threshold(pooled, by, id_col, n)
+    pooled = sample_threshold(df, by, id_col, pool, seed="pool", capped=capped)
+    return pooled if n is None else sample_threshold(pooled, by, id_col, n, capped=True)
 
 
 def with_rating(reviews: DataFrame, score: int, language: str) -> DataFrame:

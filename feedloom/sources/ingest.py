@@ -32,7 +32,9 @@ def ingest_steam(
         reviews = bounds.within_days(reviews, created, asof, days)
     reviews = bounds.newest(reviews, ["app_id"], created, "recommendationid", cap)
     if sample is not None:
-        reviews = bounds.sample_threshold(reviews, ["app_id"], "recommendationid", sample)
+        reviews = bounds.sample_threshold(
+            reviews, ["app_id"], "recommendationid", sample, capped=True
+        )
     return conform(unify_steam(reviews))
 
 
@@ -54,9 +56,7 @@ def ingest_play(
     if asof is not None and days is not None:
         reviews = bounds.within_days(reviews, F.col("at"), asof, days)
     reviews = bounds.newest_by_language(reviews, ["app_id"], F.col("at"), "reviewId", cap)
-    reviews = bounds.sample_threshold(reviews, ["app_id"], "reviewId", cap, seed="pool")
-    if sample is not None:
-        reviews = bounds.sample_threshold(reviews, ["app_id"], "reviewId", sample)
+    reviews = bounds.sample_languages(reviews, ["app_id"], "reviewId", cap, sample, capped=True)
     return conform(unify_play(reviews))
 
 
