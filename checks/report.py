@@ -11,6 +11,7 @@ from checks.measure import _COUNTS, _RANGE, _RATED, END, NEWEST, START, TOP, cho
 from checks.views import plain, sql
 from feedloom.functions.prompts import PERSONAS
 from feedloom.plans import reports
+from feedloom.plans.staging import stage
 
 
 def _line(*columns: str) -> str:
@@ -153,9 +154,10 @@ def report_prompts(spark, sf):
     ),
 )
 def report_answers(spark, sf):
-    own = reports.answer_prompts(_prompts(spark, sf))
+    prompts = stage(_prompts(spark, sf), "prompts")
+    own = reports.answer_prompts(prompts)
     model = lambda: lambda prompts: [p.replace("e", "3") for p in prompts]
-    asked = reports.answer_prompts(_prompts(spark, sf), model)
+    asked = reports.answer_prompts(prompts, model)
     asked = asked.select("game_name", "persona", F.md5("answer").alias("model_answer"))
     return own.select("game_name", "persona", "answer").join(asked, ["game_name", "persona"])
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.offline import Lexicon
 from feedloom.operators import extraction
-from feedloom.plans.staging import fresh_path, shared_dir
+from feedloom.plans.staging import fresh_path, stage
 from feedloom.schemas import CATEGORIES
 
 TYPE_OF_EVENT = (
@@ -19,6 +19,11 @@ TYPE_OF_EVENT = (
 )
 
 
+# Per session and scale: where payloads were landed, what the model answered.
+_landed: dict[tuple[str, str], dict[str, str]] = {}
+_answered: dict[tuple[str, str], DataFrame] = {}
+
+
 def _digit(name: str) -> str:
     return f"substr(md5('{name}:' || content_id), 1, 1)"
 
@@ -119,7 +124,12 @@ def answer(df: DataFrame) -> DataFrame:
 
 
 def raw_extraction(spark: SparkSession, sf: str) -> DataFrame:
-    return answer(translate_none(feedback(spark, sf)))
+    """Model answers to all feedback, written down once per session as a model's are."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _answered:
+        answered = answer(translate_none(feedback(spark, sf)))
+        _answered[key] = stage(answered.repartition(spark.sparkContext.defaultParallelism), "answered")
+    return _answered[key]
 
 
 def parsed(spark: SparkSession, sf: str) -> DataFrame:
@@ -151,14 +161,12 @@ def second_delivery(spark: SparkSession, sf: str) -> DataFrame:
     return later.unionByName(edited)
 
 
-_landed: dict[tuple[str, str], dict[str, str]] = {}
 
 
 def landed(spark: SparkSession, sf: str) -> dict[str, str]:
     """Paths of all documents and conversations, landed once per session as payloads."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _landed:
-        shared_dir(spark)
         _landed[key] = _land(spark, sf)
     return _landed[key]
 

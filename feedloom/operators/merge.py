@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.plans.ranking import first_n
+from feedloom.plans.staging import stage
 
 
 def newest_copy(df: DataFrame, keys: Sequence[str] = ("content_id",), time: str = "timestamp") -> DataFrame:
@@ -19,12 +20,15 @@ def newest_copy(df: DataFrame, keys: Sequence[str] = ("content_id",), time: str
 def not_yet_in(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("content_id",)) -> DataFrame:
     """Rows of ``batch`` whose key ``existing`` does not hold.
 
-    Only the key columns of ``existing`` are read, and they are first cut to the
-    keys of the batch: with a batch small enough to broadcast the table is
-    scanned but never shuffled, and a larger one is shuffled with it on the key.
+    Only the key columns of ``existing`` are read, cut to the keys of the batch.
+    While those are small enough to broadcast, the table is scanned and never
+    shuffled; beyond that it is shuffled with them on the key. What is known is
+    written down, so that its true size decides whether the batch itself, texts
+    and all, has to be shuffled too. Mostly nothing is known, and it has not.
     """
-    known = existing.select(*keys).join(batch.select(*keys), list(keys), "left_semi")
-    return batch.join(known, list(keys), "left_anti")
+    keys = list(keys)
+    known = existing.select(*keys).join(batch.select(*keys), keys, "left_semi")
+    return batch.join(stage(known, "known"), keys, "left_anti")
 
 
 def insert_only(

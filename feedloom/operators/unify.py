@@ -66,7 +66,11 @@ def unify_forum(comments: DataFrame) -> DataFrame:
 
 def conform(df: DataFrame, ddl: str = schemas.FEEDBACK) -> DataFrame:
     """Exactly the columns of ``ddl``, in order and cast; missing ones are an error."""
-    return df.to(T.StructType.fromDDL(ddl))
+    schema = T.StructType.fromDDL(ddl)
+    missing = [name for name in schema.names if name not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    return df.to(schema)
 
 
 def flatten_author(reviews: DataFrame, keep: Sequence[str] = ("recommendationid",)) -> DataFrame:

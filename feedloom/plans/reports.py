@@ -15,6 +15,7 @@ from feedloom.operators import metrics
 from feedloom.operators.extraction import gold_items, gold_topics
 from feedloom.operators.inference import Model, infer
 from feedloom.plans.ranking import first_n
+from feedloom.plans.staging import stage
 from feedloom.schemas import CATEGORIES
 
 # Column heads of the five tables, in the order they appear in a report.
@@ -160,7 +161,9 @@ def answer_prompts(prompts: DataFrame, load_model: Callable[[], Model] | None =
     """Add ``answer``; without a model it is the figures under a heading."""
     if load_model is None:
         return prompts.withColumn("answer", F.concat(F.lit("## Summary\n\n"), "context"))
-    return infer(prompts, F.col("prompt"), "answer", load_model, id_col="game_name")
+    # Few rows, but every action on them builds the report tables again.
+    written = stage(prompts, "prompts")
+    return infer(written, F.col("prompt"), "answer", load_model, id_col="game_name")
 
 
 def report_rows(answers: DataFrame, start: str, end: str, run_time: datetime) -> DataFrame:

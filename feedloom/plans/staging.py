@@ -31,8 +31,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage (a lost executor re-reads files, it does not run a model
     again) and gives the planner the true size, so that a join with the result
     is broadcast only while it is below ``spark.sql.autoBroadcastJoinThreshold``.
+    All such tables lie in ``staged`` below the shared folder and may be removed
+    once the run that wrote them is over.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, name)
+    path = fresh_path(spark, f"staged/{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
