@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.plans.staging import stage
 
+# What one task is given to rank of a single group.
+ROWS_PER_TASK = 1_000_000
+
+_TRIM = "spark.sql.optimizer.windowGroupLimitThreshold"
+
 
 def first_n(
     df: DataFrame,
@@ -16,24 +21,29 @@ def first_n(
     order: Sequence[Column],
     n: int,
     *,
-    slice_on: str | None = None,
-    slices: int = 32,
     bucket: Column | None = None,
+    slice_on: str | None = None,
 ) -> DataFrame:
     """Keep the first ``n`` rows per group in ``order``, which must be total.
 
-    Spark trims each task to ``n`` rows per group before the shuffle only for
-    ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000). For
-    larger ``n`` pass ``bucket``, an integer that never decreases along
-    ``order``: a histogram of it, a few numbers per group, tells which rows can
-    be among the first ``n``, and only those are moved. ``slice_on`` names a
-    column that splits a group over ``slices`` tasks, ranked first on their own.
+    Every task sends at most ``n`` rows per group into the shuffle. That is
+    enough for a small ``n``. Otherwise pass ``bucket``, an integer that never
+    decreases along ``order``: a histogram of it, a few numbers per group, tells
+    which rows can be among the first ``n``, and the others stay where they are.
+    If even those are too many for one task, because a third of all rows fell
+    into one bucket, they are ranked in slices by the hash of ``slice_on`` first,
+    as often as it takes.
     """
+    _trim_in_tasks(df.sparkSession, n)
     if bucket is not None:
-        df = _up_to_cutoff(df, by, bucket, n)
-    if slice_on is not None:
-        df = df.withColumn("_slice", F.pmod(F.xxhash64(slice_on), F.lit(slices)))
-        df = _rank(df, [*by, "_slice"], order, n).drop("_slice")
+        df, most = _up_to_cutoff(df, by, bucket, n)
+        room = max(ROWS_PER_TASK, 4 * n)
+        while slice_on is not None and most > room:
+            slices = -(-most // room)
+            # A new seed in every round, or a slice would fall together again.
+            part = F.pmod(F.xxhash64(F.lit(most), slice_on), F.lit(slices))
+            df = _rank(df.withColumn("_slice", part), [*by, "_slice"], order, n).drop("_slice")
+            most = slices * n
     return _rank(df, by, order, n)
 
 
@@ -43,12 +53,24 @@ def _rank(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) ->
     return ranked.where(F.col("_rank") <= n).drop("_rank")
 
 
-def _up_to_cutoff(df: DataFrame, by: Sequence[str], bucket: Column, n: int) -> DataFrame:
+def _trim_in_tasks(spark: SparkSession, n: int) -> None:
+    """Let Spark cut groups to ``n`` rows before the shuffle, not only up to 1000."""
+    if int(spark.conf.get(_TRIM)) < n:
+        spark.conf.set(_TRIM, n)
+
+
+def _up_to_cutoff(
+    df: DataFrame, by: Sequence[str], bucket: Column, n: int
+) -> tuple[DataFrame, int]:
+    """Rows that can be among the first ``n``, and how many the largest group has."""
     counts = df.groupBy(*by, bucket.alias("_bucket")).agg(F.count("*").alias("_rows"))
     so_far = F.sum("_rows").over(Window.partitionBy(*by).orderBy("_bucket"))
     needed = counts.withColumn("_before", so_far - F.col("_rows")).where(F.col("_before") < n)
-    cutoffs = needed.groupBy(*by).agg(F.max("_bucket").alias("_cutoff"))
-    cutoffs = stage(cutoffs.withColumnsRenamed({c: f"_by_{c}" for c in by}), "cutoffs")
+    cutoffs = needed.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(
+        F.max("_bucket").alias("_cutoff"), F.sum("_rows").alias("_rows")
+    )
+    cutoffs = stage(cutoffs, "cutoffs")
+    most = cutoffs.agg(F.max("_rows")).first()[0] or 0
     same_group = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
-    kept = df.join(cutoffs, [*same_group, bucket <= F.col("_cutoff")])
-    return kept.drop("_cutoff", *[f"_by_{c}" for c in by])
+    kept = df.join(cutoffs.drop("_rows"), [*same_group, bucket <= F.col("_cutoff")])
+    return kept.drop("_cutoff", *[f"_by_{c}" for c in by]), most

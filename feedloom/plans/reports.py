@@ -17,6 +17,7 @@ from feedloom.operators.inference import Model, infer
 from feedloom.plans.ranking import first_n
 from feedloom.plans.staging import stage
 from feedloom.schemas import CATEGORIES
+from feedloom.sources.bounds import hours_back
 
 # Column heads of the five tables, in the order they appear in a report.
 TABLES = {
@@ -42,7 +43,9 @@ TITLES = {
 
 def report_items(items: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` newest items of every game."""
-    return first_n(items, ["game_name"], [F.desc("timestamp"), F.col("content_id")], n)
+    order = [F.desc("timestamp"), F.col("content_id")]
+    bucket = hours_back(F.col("timestamp"))
+    return first_n(items, ["game_name"], order, n, slice_on="content_id", bucket=bucket)
 
 
 def report_scope(items: DataFrame, update_type: str, game_name: str | None = None) -> DataFrame:

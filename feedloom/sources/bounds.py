@@ -20,9 +20,13 @@ def within_days(df: DataFrame, time: Column, asof: date | datetime, days: int) -
 
 def newest(df: DataFrame, by: Sequence[str], time: Column, id_col: str, n: int = 10_000) -> DataFrame:
     """At most ``n`` newest rows per group; ties go to the smaller id."""
-    hours_back = F.coalesce(-F.floor(F.unix_seconds(time) / 3600), F.lit(2**62))
     order = [time.desc_nulls_last(), F.col(id_col)]
-    return first_n(df, by, order, n, slice_on=id_col, bucket=hours_back)
+    return first_n(df, by, order, n, slice_on=id_col, bucket=hours_back(time))
+
+
+def hours_back(time: Column) -> Column:
+    """Whole hours, counted backwards; a missing time is the oldest."""
+    return F.coalesce(-F.floor(F.unix_seconds(time) / 3600), F.lit(2**62))
 
 
 def newest_by_language(
@@ -40,7 +44,8 @@ def newest_by_language(
 
 def top_posts(posts: DataFrame, n: int = 500) -> DataFrame:
     best = [F.col("score").desc_nulls_last(), F.col("id")]
-    return first_n(posts, ["subreddit"], best, n, slice_on="id")
+    points_lost = F.coalesce(-F.col("score").cast("long"), F.lit(2**62))
+    return first_n(posts, ["subreddit"], best, n, slice_on="id", bucket=points_lost)
 
 
 def top_comments(comments: DataFrame, n: int = 20) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import schemas
@@ -51,6 +51,8 @@ class Chain:
     categories: Sequence[str] = schemas.CATEGORIES
     rules: Mapping[str, str] = field(default_factory=lambda: dict(VALID_OVERALL))
     files_per_batch: int | None = None
+    # Called after parsing with the rows and the violations of each rule, per batch.
+    on_quality: Callable[[Mapping[str, int]], None] | None = None
 
     def table(self, name: str) -> str:
         return f"`{self.database}`.`{name}`"
@@ -96,10 +98,22 @@ def append_table(
     stream.trigger(availableNow=True).start().awaitTermination()
 
 
-def stages(chain: Chain) -> list[tuple[str, str, str, str, Transform]]:
-    """Source table and columns, target table and columns, and what lies between."""
+def stages(
+    chain: Chain, observed: list[Observation] | None = None
+) -> list[tuple[str, str, str, str, Transform]]:
+    """Source table and columns, target table and columns, and what lies between.
+
+    With ``observed``, the parsing of every batch adds its counts to it.
+    """
     parsed = schemas.parsed_ddl(chain.categories)
-    parse = partial(extraction.parsed, categories=chain.categories, rules=chain.rules)
+
+    def parse(batch: DataFrame) -> DataFrame:
+        observation = None
+        if observed is not None:
+            observation = Observation()
+            observed.append(observation)
+        return extraction.parsed(batch, chain.categories, chain.rules, observation)
+
     topics = partial(extraction.gold_topics, categories=chain.categories)
     return [
         (BRONZE, schemas.FEEDBACK, TRANSLATED, schemas.TRANSLATED, chain.translate),
@@ -113,11 +127,14 @@ def stages(chain: Chain) -> list[tuple[str, str, str, str, Transform]]:
 def refresh(spark: SparkSession, chain: Chain) -> None:
     """Carry new bronze rows through all tables, one after the other."""
     checkpoints = chain.checkpoints or f"{shared_dir(spark)}/{chain.database}-streams"
-    for source, source_ddl, target, target_ddl, transform in stages(chain):
+    observed = None if chain.on_quality is None else []
+    for source, source_ddl, target, target_ddl, transform in stages(chain, observed):
         rows = new_rows(spark, chain.table(source), source_ddl, chain.files_per_batch)
         append_table(
             rows, chain.table(target), target_ddl, transform, f"{checkpoints}/{target}"
         )
+    for counts in observed or []:
+        chain.on_quality(counts.get)
 
 
 def enrich(bronze: DataFrame, chain: Chain) -> tuple[DataFrame, DataFrame]:

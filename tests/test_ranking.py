@@ -8,6 +8,7 @@ from hashlib import md5
 import pytest
 from pyspark.sql import functions as F
 
+from feedloom.plans import ranking
 from feedloom.plans.ranking import first_n
 from feedloom.sources import bounds
 
@@ -73,19 +74,31 @@ def test_sample_keeps_small_groups_whole(rows):
     assert bounds.sample_threshold(df, ["grp"], "id", 10**6).count() == len(made)
 
 
-def test_cutoff_moves_few_rows(spark, rows):
+def test_cutoff_moves_few_rows(rows):
     """Only rows at or before the cutoff reach the shuffle."""
     _, df = rows
-    from feedloom.plans.ranking import _up_to_cutoff
+    kept, most = ranking._up_to_cutoff(df, ["grp"], bounds.hours_back(F.col("at")), 10)
+    # 25 hours of times, one in 151 rows without any: four groups, one hour of each.
+    assert 4 * 10 <= kept.count() < 800
+    assert most == max(r["count"] for r in kept.groupBy("grp").count().collect())
 
-    kept = _up_to_cutoff(df, ["grp"], F.coalesce(F.col("seconds"), F.lit(10**9)), 10)
-    assert 4 * 10 <= kept.count() < 400
+
+def test_one_bucket_with_everything_is_ranked_in_slices(rows, monkeypatch):
+    made, df = rows
+    monkeypatch.setattr(ranking, "ROWS_PER_TASK", 100)
+    order = [F.col("at").desc_nulls_last(), F.col("id")]
+    found = first_n(df, ["grp"], order, 8, bucket=F.lit(0), slice_on="id")
+    assert ids(found) == expected(made, lambda r: r[1], newest_first, 8)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # 4000 rows in slices of 100, then 43 * 8 survivors, then the last 4 * 8.
+    assert plan.count("Window [") == 3
 
 
-def test_small_n_is_trimmed_before_the_shuffle(rows):
+def test_groups_are_trimmed_before_the_shuffle(rows):
     _, df = rows
-    plan = first_n(df, ["grp"], [F.col("id")], 3)._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+    for n in (3, 5000):
+        plan = first_n(df, ["grp"], [F.col("id")], n)._jdf.queryExecution().executedPlan()
+        assert plan.toString().index("Exchange") < plan.toString().rindex("WindowGroupLimit")
 
 
 def test_top_posts_and_comments(spark):

@@ -133,12 +133,21 @@ def test_replayed_upstream_batch_adds_nothing_downstream(spark, database):
 
 
 def test_stream_equals_batch_in_small_steps(spark, database):
-    chain = streams.Chain(database, checkpoints=fresh_path(spark, "checkpoints"), files_per_batch=1)
+    quality = []
+    chain = streams.Chain(
+        database,
+        checkpoints=fresh_path(spark, "checkpoints"),
+        files_per_batch=1,
+        on_quality=quality.append,
+    )
     rows = feedback(
         spark, [(str(i), f"g{i % 3}", f"good lag {i} price", f"2024-01-0{1 + i % 4}") for i in range(30)]
     )
+    rows = rows.unionByName(feedback(spark, [("blank", "g0", " ", "2024-01-01")]))
     upsert(rows, chain.table(streams.BRONZE))
     streams.refresh(spark, chain)
+    assert sum(counts["rows"] for counts in quality) == 31
+    assert sum(counts["valid_overall_sentiment"] for counts in quality) == 1
     items, topics = streams.enrich(rows, chain)
     for name, batch in ((streams.ITEMS, items), (streams.TOPICS, topics)):
         table = tables.items_of(spark, chain.table(name)).select(*batch.columns)
