@@ -33,11 +33,16 @@ def item_table_schema(ddl: str) -> T.StructType:
 
 
 def create_item_table(spark: SparkSession, table: str, ddl: str) -> None:
-    """Create the table unless it exists."""
-    if spark.catalog.tableExists(table):
+    """Create the table, or add the columns it lacks; older rows have none in them."""
+    schema = item_table_schema(ddl)
+    if not spark.catalog.tableExists(table):
+        empty = spark.createDataFrame([], schema)
+        empty.write.format("parquet").partitionBy(*PARTITIONS).saveAsTable(table)
         return
-    empty = spark.createDataFrame([], item_table_schema(ddl))
-    empty.write.format("parquet").partitionBy(*PARTITIONS).saveAsTable(table)
+    present = set(spark.table(table).columns)
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in present]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
 
 
 def location(spark: SparkSession, table: str) -> str:

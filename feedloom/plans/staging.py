@@ -7,17 +7,16 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SETTING = "spark.checkpoint.dir"
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a local session may go without."""
-    folder = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="feedloom-")
-        spark.conf.set(_SETTING, folder)
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="feedloom-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

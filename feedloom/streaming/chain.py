@@ -34,9 +34,15 @@ TOPICS = "feedback_content_sentiment_gold"
 REPORTS = "feedback_content_reports"
 
 
+# One store writes languages out.
+LANGUAGE_NAMES = {"french": "fr", "german": "de", "spanish": "es", "latam": "es"}
+
+
 def translate_offline(df: DataFrame) -> DataFrame:
-    """By glossary, in the language the source recorded."""
-    language = F.get_json_object("content_metadata", "$.language")
+    """By glossary, in the language the source recorded, if it did."""
+    recorded = F.get_json_object("content_metadata", "$.language")
+    names = F.create_map(*[F.lit(word) for pair in LANGUAGE_NAMES.items() for word in pair])
+    language = F.coalesce(F.try_element_at(names, recorded), recorded)
     return glossary_translate(df, language=language)
 
 

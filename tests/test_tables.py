@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from types import SimpleNamespace
 from uuid import uuid4
 
 import pytest
@@ -155,6 +157,29 @@ def test_stream_equals_batch_in_small_steps(spark, database):
         assert spark.table(chain.table(name)).select("batch_id").distinct().count() > 1
 
 
+def test_a_new_category_adds_columns(spark, database):
+    some = streams.Chain(database, checkpoints=fresh_path(spark, "checkpoints"), categories=["character"])
+    more = replace(some, categories=["character", "game_performance"])
+    for number, chain in enumerate((some, more, more)):
+        rows = feedback(spark, [(str(number), "g", "hero lag", f"2024-01-0{number + 1}")])
+        upsert(rows, chain.table(streams.BRONZE))
+        streams.refresh(spark, chain)
+    parsed = spark.table(more.table(streams.PARSED)).orderBy("content_id").collect()
+    assert [(r.character_sub_topic, r.game_performance_sub_topic) for r in parsed] == [
+        ("hero", None), ("hero", "lag"), ("hero", "lag"),
+    ]
+    topics = spark.table(more.table(streams.TOPICS)).where("category = 'game_performance'")
+    assert sorted(r.content_id for r in topics.collect()) == ["1", "2"]
+
+
+def test_translation_in_the_language_recorded(spark):
+    rows = feedback(spark, [("1", "g", "le jeu", "2024-01-01")])
+    for recorded, text in (("french", "the game"), ("fr", "the game"), ("english", "le jeu")):
+        metadata = F.to_json(F.struct(F.lit(recorded).alias("language")))
+        translated = streams.translate_offline(rows.withColumn("content_metadata", metadata))
+        assert translated.first().translated_content_text == text
+
+
 def test_stream_upsert_shares_a_table_with_batches(spark, database):
     table = f"{database}.bronze"
     upsert(feedback(spark, [("1", "g", "batch", "2024-01-01")]), table)
@@ -169,3 +194,19 @@ def test_stream_upsert_shares_a_table_with_batches(spark, database):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_without_a_shared_folder_only_a_local_session_runs():
+    def session(master):
+        state = {"folder": None}
+        context = SimpleNamespace(
+            master=master,
+            getCheckpointDir=lambda: state["folder"],
+            setCheckpointDir=lambda folder: state.update(folder=f"{folder}/1"),
+        )
+        return SimpleNamespace(conf={}, sparkContext=context)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn"))
+    local = session("local[2]")
+    assert shared_dir(local) == shared_dir(local)
