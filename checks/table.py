@@ -80,7 +80,8 @@ def _three_tables(spark, sf, name):
     own = database(spark, name)
     upsert(views.feedback(spark, sf), f"{own}.bronze")
     tables.create_item_table(spark, f"{own}.topics", schemas.TOPICS)
-    tables.write_batch(views.topics(spark, sf), f"{own}.topics", "all")
+    topics = views.topics(spark, sf).withColumn("batch_id", F.lit("first"))
+    tables.write_step(topics, f"{own}.topics", "first")
     per_game = views.items(spark, sf).groupBy("game_name").agg(F.count("*").alias("n"))
     per_game.write.format("parquet").saveAsTable(f"{own}.totals")
     return tables.tables_with_games(spark, own)

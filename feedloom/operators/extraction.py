@@ -18,8 +18,13 @@ def parse_extraction(
     return extracted.withColumn("answer", F.from_json(json_col, extraction_ddl(categories)))
 
 
-def parsed_wide(extracted: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
-    """Item columns, overall and summary, two columns per category, other topics."""
+def parsed_wide(
+    extracted: DataFrame,
+    categories: Sequence[str] = CATEGORIES,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Item columns, overall and summary, two columns per category, other topics;
+    then the columns to ``keep``."""
     per_category = []
     for category in categories:
         found = F.col("answer")[category]
@@ -38,6 +43,7 @@ def parsed_wide(extracted: DataFrame, categories: Sequence[str] = CATEGORIES) ->
         *per_category,
         "answer.other",
         "content_metadata",
+        *keep,
     )
 
 
@@ -46,11 +52,12 @@ def parsed(
     categories: Sequence[str] = CATEGORIES,
     rules: Mapping[str, str] = VALID_OVERALL,
     observation: Observation | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    return expect_or_drop(parsed_wide(extracted, categories), rules, observation)
+    return expect_or_drop(parsed_wide(extracted, categories, keep), rules, observation)
 
 
-def gold_items(parsed_rows: DataFrame) -> DataFrame:
+def gold_items(parsed_rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return parsed_rows.select(
         "content_id",
         "game_name",
@@ -62,6 +69,7 @@ def gold_items(parsed_rows: DataFrame) -> DataFrame:
         F.col("overall").alias("overall_sentiment"),
         F.col("summary").alias("ai_summary"),
         "content_metadata",
+        *keep,
     )
 
 
@@ -89,9 +97,9 @@ def _other_topics() -> Column:
     )
 
 
-def _topic_rows(parsed_rows: DataFrame, topics: Column) -> DataFrame:
+def _topic_rows(parsed_rows: DataFrame, topics: Column, keep: Sequence[str] = ()) -> DataFrame:
     rated = F.filter(topics, lambda topic: topic["sentiment"].isNotNull())
-    return parsed_rows.select("content_id", "game_name", F.inline(rated))
+    return parsed_rows.select(*keep, "content_id", "game_name", F.inline(rated))
 
 
 def category_topics(parsed_rows: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
@@ -104,10 +112,14 @@ def other_topics(parsed_rows: DataFrame) -> DataFrame:
     return _topic_rows(parsed_rows, _other_topics())
 
 
-def gold_topics(parsed_rows: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+def gold_topics(
+    parsed_rows: DataFrame,
+    categories: Sequence[str] = CATEGORIES,
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Category topics and free-form topics out of one read of the parsed rows."""
     both = F.concat(_category_topics(categories), F.coalesce(_other_topics(), F.array()))
-    return _topic_rows(parsed_rows, both)
+    return _topic_rows(parsed_rows, both, keep)
 
 
 def union_topics(first: DataFrame, second: DataFrame) -> DataFrame:

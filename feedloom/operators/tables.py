@@ -1,7 +1,9 @@
 """Feedback tables in the catalog: create, append, replace, count, delete.
 
-Item tables are partitioned by ``batch_id`` and ``game_name``: a replayed batch
-replaces its own partitions, and a game leaves by its partitions alone, so that
+Item tables are partitioned by three columns. ``batch_id`` names the batch that
+brought an item into the first table and stays with it through all others.
+``step`` names the write into this table: a step that is replayed replaces its
+own partitions. ``game_name`` lets a game leave by its partitions alone, so that
 no file another step has read is ever rewritten.
 """
 
@@ -16,7 +18,7 @@ from pyspark.sql import types as T
 
 from feedloom.plans.staging import stage
 
-PARTITIONS = ("batch_id", "game_name")
+PARTITIONS = ("batch_id", "step", "game_name")
 _OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -28,8 +30,7 @@ def use_database(spark: SparkSession, database: str, location: str | None = None
 def item_table_schema(ddl: str) -> T.StructType:
     """Columns of ``ddl`` with the partition columns last."""
     fields = [f for f in T.StructType.fromDDL(ddl) if f.name not in PARTITIONS]
-    fields.append(T.StructField("batch_id", T.StringType()))
-    return T.StructType([*fields, T.StructField("game_name", T.StringType())])
+    return T.StructType([*fields, *[T.StructField(name, T.StringType()) for name in PARTITIONS]])
 
 
 def create_item_table(spark: SparkSession, table: str, ddl: str) -> None:
@@ -50,31 +51,30 @@ def location(spark: SparkSession, table: str) -> str:
     return facts.first()["data_type"]
 
 
-def batch_name(checkpoint: str, number: int) -> str:
-    """Name of a stream's batch, the same on a replay and unlike any other stream's."""
+def step_name(checkpoint: str, number: int) -> str:
+    """Name of a stream's micro-batch, the same on a replay and unlike any other stream's."""
     return f"{md5(checkpoint.encode()).hexdigest()[:8]}-{number}"
 
 
-def write_batch(rows: DataFrame, table: str, batch_id: str) -> None:
-    """Make ``rows`` the content of one batch; written again, it replaces itself.
+def write_step(rows: DataFrame, table: str, step: str) -> None:
+    """Make ``rows`` the content of one step; written again, it replaces itself.
 
     Rows are spread by game before the write; adaptive execution splits a game
     that fills more than one task and merges the small ones.
     """
     spark = rows.sparkSession
-    columns = spark.table(table).columns
-    batch = rows.withColumn("batch_id", F.lit(batch_id)).select(*columns)
+    named = rows.withColumn("step", F.lit(step)).select(*spark.table(table).columns)
     before = spark.conf.get(_OVERWRITE)
     spark.conf.set(_OVERWRITE, "dynamic")
     try:
-        batch.hint("rebalance", "game_name").write.mode("overwrite").insertInto(table)
+        named.hint("rebalance", "game_name").write.mode("overwrite").insertInto(table)
     finally:
         spark.conf.set(_OVERWRITE, before)
 
 
 def items_of(spark: SparkSession, table: str) -> DataFrame:
-    """Rows of an item table without the batch they came in."""
-    return spark.table(table).drop("batch_id")
+    """Rows of an item table without the batch and step they came in."""
+    return spark.table(table).drop("batch_id", "step")
 
 
 def save_reports(reports: DataFrame, table: str, update_type: str) -> None:
@@ -115,11 +115,14 @@ def delete_game(spark: SparkSession, tables: Sequence[str], game_name: str) -> N
 
 
 def _drop_partitions(own: DataFrame, table: str, game_name: str) -> None:
-    # One short name per batch; no other column is read.
-    batches = [row["batch_id"] for row in own.select("batch_id").distinct().collect()]
-    if batches:
+    # Two short names per write; no other column is read.
+    writes = sorted(own.select("batch_id", "step").distinct().collect())
+    if writes:
         game = _literal(game_name)
-        specs = [f"PARTITION (batch_id={_literal(b)}, game_name={game})" for b in sorted(batches)]
+        specs = [
+            f"PARTITION (batch_id={_literal(batch)}, step={_literal(step)}, game_name={game})"
+            for batch, step in writes
+        ]
         own.sparkSession.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(specs))
 
 

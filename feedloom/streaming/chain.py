@@ -15,11 +15,11 @@ from feedloom.operators import extraction
 from feedloom.operators.merge import not_yet_in
 from feedloom.operators.quality import VALID_OVERALL
 from feedloom.operators.tables import (
-    batch_name,
     create_item_table,
     item_table_schema,
     location,
-    write_batch,
+    step_name,
+    write_step,
 )
 from feedloom.plans.staging import shared_dir
 
@@ -33,6 +33,9 @@ ITEMS = "feedback_content_gold"
 TOPICS = "feedback_content_sentiment_gold"
 REPORTS = "feedback_content_reports"
 
+# Stays with an item through all tables.
+_BATCH = ("batch_id",)
+
 
 # One store writes languages out.
 LANGUAGE_NAMES = {"french": "fr", "german": "de", "spanish": "es", "latam": "es"}
@@ -75,7 +78,7 @@ def new_rows(
     reader = spark.readStream.schema(item_table_schema(ddl))
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(location(spark, table)).drop("batch_id")
+    return reader.parquet(location(spark, table)).drop("step")
 
 
 def append_table(
@@ -88,22 +91,35 @@ def append_table(
 ) -> None:
     """Bring ``table`` up to date with ``source`` and stop.
 
-    A batch replaces its own partitions, so one that was cut short leaves
-    nothing behind. A replayed batch makes new files, which the next table sees
-    again; rows whose key an earlier batch of that table holds are left out.
+    A step replaces its own partitions, so one that was cut short leaves nothing
+    behind. A replay makes new files, which the next table sees again, but with
+    the batch they belong to: rows of that batch whose key the table holds are
+    left out. Only partitions of the batches at hand are looked at, mostly none,
+    so that the work grows with what is new and not with the table.
     """
     spark = source.sparkSession
     create_item_table(spark, table, ddl)
 
-    def write(batch: DataFrame, number: int) -> None:
-        name = batch_name(checkpoint, number)
-        earlier = batch.sparkSession.table(table).where(F.col("batch_id") != name)
-        write_batch(transform(not_yet_in(batch, earlier, keys)), table, name)
+    def write(rows: DataFrame, number: int) -> None:
+        step = step_name(checkpoint, number)
+        if "batch_id" in rows.columns:
+            rows = _unseen(rows, table, step, keys)
+        else:
+            rows = rows.withColumn("batch_id", F.lit(step))
+        write_step(transform(rows), table, step)
 
     stream = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     stream.trigger(availableNow=True).start().awaitTermination()
 
 
+def _unseen(rows: DataFrame, table: str, step: str, keys: Sequence[str]) -> DataFrame:
+    # One short name per batch; no other column is read.
+    batches = [row["batch_id"] for row in rows.select("batch_id").distinct().collect()]
+    written = rows.sparkSession.table(table)
+    earlier = written.where(F.col("batch_id").isin(batches) & (F.col("step") != step))
+    return rows if earlier.isEmpty() else not_yet_in(rows, earlier, keys)
+
+
 def stages(
     chain: Chain, observed: list[Observation] | None = None
 ) -> list[tuple[str, str, str, str, Transform]]:
@@ -118,14 +134,15 @@ def stages(
         if observed is not None:
             observation = Observation()
             observed.append(observation)
-        return extraction.parsed(batch, chain.categories, chain.rules, observation)
+        return extraction.parsed(batch, chain.categories, chain.rules, observation, _BATCH)
 
-    topics = partial(extraction.gold_topics, categories=chain.categories)
+    items = partial(extraction.gold_items, keep=_BATCH)
+    topics = partial(extraction.gold_topics, categories=chain.categories, keep=_BATCH)
     return [
         (BRONZE, schemas.FEEDBACK, TRANSLATED, schemas.TRANSLATED, chain.translate),
         (TRANSLATED, schemas.TRANSLATED, EXTRACTED, schemas.EXTRACTED, chain.extract),
         (EXTRACTED, schemas.EXTRACTED, PARSED, parsed, parse),
-        (PARSED, parsed, ITEMS, schemas.ITEMS, extraction.gold_items),
+        (PARSED, parsed, ITEMS, schemas.ITEMS, items),
         (PARSED, parsed, TOPICS, schemas.TOPICS, topics),
     ]
 

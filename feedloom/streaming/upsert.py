@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.operators.merge import insert_only, newest_copy, not_yet_in
-from feedloom.operators.tables import batch_name, create_item_table, write_batch
+from feedloom.operators.tables import create_item_table, step_name, write_step
 from feedloom.plans.staging import stage
 
 
@@ -25,7 +25,9 @@ def upsert(
     spark = rows.sparkSession
     create_item_table(spark, table, ddl)
     batch = stage(newest_copy(rows, keys), "batch")
-    write_batch(not_yet_in(batch, spark.table(table), keys), table, f"run-{uuid4().hex}")
+    new = not_yet_in(batch, spark.table(table), keys)
+    name = f"run-{uuid4().hex}"
+    write_step(new.withColumn("batch_id", F.lit(name)), table, name)
 
 
 def upsert_stream(
@@ -39,9 +41,10 @@ def upsert_stream(
     create_item_table(rows.sparkSession, table, ddl)
 
     def write(batch: DataFrame, number: int) -> None:
-        name = batch_name(checkpoint, number)
-        earlier = batch.sparkSession.table(table).where(F.col("batch_id") != name)
-        write_batch(insert_only(batch, earlier, keys), table, name)
+        name = step_name(checkpoint, number)
+        earlier = batch.sparkSession.table(table).where(F.col("step") != name)
+        new = insert_only(batch, earlier, keys)
+        write_step(new.withColumn("batch_id", F.lit(name)), table, name)
 
     stream = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     stream.trigger(availableNow=True).start().awaitTermination()

@@ -106,13 +106,15 @@ def test_delete_takes_one_game_from_every_table(spark, database):
     assert ids(spark, f"{database}.bronze") == ["2"]
 
 
-def test_a_batch_written_again_replaces_itself(spark, database):
+def test_a_step_written_again_replaces_itself(spark, database):
     table = f"{database}.bronze"
     tables.create_item_table(spark, table, schemas.FEEDBACK)
     first = feedback(spark, [("1", "g", "x", "2024-01-01"), ("2", "h", "x", "2024-01-01")])
-    tables.write_batch(first, table, "b-0")
-    tables.write_batch(first, table, "b-0")
-    tables.write_batch(feedback(spark, [("3", "g", "x", "2024-01-01")]), table, "b-1")
+    first = first.withColumn("batch_id", F.lit("b"))
+    tables.write_step(first, table, "s-0")
+    tables.write_step(first, table, "s-0")
+    more = feedback(spark, [("3", "g", "x", "2024-01-01")]).withColumn("batch_id", F.lit("b"))
+    tables.write_step(more, table, "s-1")
     assert ids(spark, table) == ["1", "2", "3"]
 
 
@@ -123,9 +125,8 @@ def test_replayed_upstream_batch_adds_nothing_downstream(spark, database):
     upsert(rows, bronze)
     streams.refresh(spark, chain)
     # The same rows again in new files, as after a batch that was cut short.
-    again = spark.table(bronze)
-    batch = again.first().batch_id
-    tables.write_batch(rows, bronze, batch)
+    first = spark.table(bronze).first()
+    tables.write_step(rows.withColumn("batch_id", F.lit(first.batch_id)), bronze, first.step)
     streams.refresh(spark, chain)
     for name in (streams.TRANSLATED, streams.EXTRACTED, streams.PARSED, streams.ITEMS):
         assert ids(spark, chain.table(name)) == ["1", "2"]
@@ -154,7 +155,7 @@ def test_stream_equals_batch_in_small_steps(spark, database):
     for name, batch in ((streams.ITEMS, items), (streams.TOPICS, topics)):
         table = tables.items_of(spark, chain.table(name)).select(*batch.columns)
         assert sorted(map(str, table.collect())) == sorted(map(str, batch.collect()))
-        assert spark.table(chain.table(name)).select("batch_id").distinct().count() > 1
+        assert spark.table(chain.table(name)).select("step").distinct().count() > 1
 
 
 def test_a_new_category_adds_columns(spark, database):
