@@ -33,6 +33,9 @@ ITEMS = "feedback_content_gold"
 TOPICS = "feedback_content_sentiment_gold"
 REPORTS = "feedback_content_reports"
 
+# Up to this many games of a batch are listed to find their partitions.
+MAX_LISTED_GAMES = 1000
+
 
 # One store writes languages out.
 LANGUAGE_NAMES = {"french": "fr", "german": "de", "spanish": "es", "latam": "es"}
@@ -97,13 +100,29 @@ def append_table(
 
     def write(batch: DataFrame, number: int) -> None:
         name = batch_name(checkpoint, number)
-        earlier = batch.sparkSession.table(table).where(F.col("batch_id") != name)
-        write_batch(transform(not_yet_in(batch, earlier, keys)), table, name)
+        write_batch(transform(_unseen(batch, table, name, keys)), table, name)
 
     stream = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     stream.trigger(availableNow=True).start().awaitTermination()
 
 
+def _unseen(batch: DataFrame, table: str, name: str, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key no other batch of the same game holds.
+
+    A batch of few games looks at their partitions only. Without any, as for a
+    new game, nothing is read at all; otherwise the key columns are.
+    """
+    earlier = batch.sparkSession.table(table).where(F.col("batch_id") != name)
+    games = batch.select("game_name").distinct().limit(MAX_LISTED_GAMES + 1).collect()
+    if len(games) <= MAX_LISTED_GAMES:
+        names = [row["game_name"] for row in games]
+        own = F.col("game_name").isin([n for n in names if n is not None])
+        earlier = earlier.where(own | F.col("game_name").isNull() if None in names else own)
+    if earlier.isEmpty():
+        return batch
+    return not_yet_in(batch, earlier, keys)
+
+
 def stages(
     chain: Chain, observed: list[Observation] | None = None
 ) -> list[tuple[str, str, str, str, Transform]]:

@@ -134,6 +134,19 @@ def test_replayed_upstream_batch_adds_nothing_downstream(spark, database):
     assert spark.table(chain.table(streams.TOPICS)).count() == 2
 
 
+@pytest.mark.parametrize("listed", [0, 1000])
+def test_rows_back_in_bronze_are_not_doubled_downstream(spark, database, monkeypatch, listed):
+    monkeypatch.setattr(streams, "MAX_LISTED_GAMES", listed)
+    chain = streams.Chain(database, checkpoints=fresh_path(spark, "checkpoints"))
+    bronze = chain.table(streams.BRONZE)
+    rows = feedback(spark, [("1", ODD, "good", "2024-01-01"), ("2", None, "bad", "2024-01-01")])
+    for _ in range(2):
+        upsert(rows, bronze)
+        streams.refresh(spark, chain)
+        tables.delete_game(spark, [bronze], ODD)
+        assert ids(spark, chain.table(streams.ITEMS)) == ["1", "2"]
+
+
 def test_stream_equals_batch_in_small_steps(spark, database):
     quality = []
     chain = streams.Chain(
