@@ -25,6 +25,7 @@ from feedloom.plans.staging import shared_dir
 
 Transform = Callable[[DataFrame], DataFrame]
 
+# Table names other systems read.
 BRONZE = "feedback_content_bronze"
 TRANSLATED = "feedback_content_translated"
 EXTRACTED = "feedback_content_ai_extraction"

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import glob
+from functools import partial
+from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
 
 from feedloom.functions.offline import Lexicon, glossary_translate, lexicon_extract
 from feedloom.functions.prompts import extraction_prompt
-from feedloom.operators import inference
+from feedloom.operators import inference, tables
+from feedloom.plans.staging import fresh_path
+from feedloom.streaming import chain as streams
+from feedloom.streaming.upsert import upsert
 
 
 def rows(spark):
@@ -111,3 +116,48 @@ def test_lexicon(spark, text, answer):
     df = spark.createDataFrame([(text,)], "content_text string")
     out = lexicon_extract(df, lexicon=lexicon, categories=["fight", "speed"])
     assert out.first().content_topic == answer
+
+
+def test_models_in_the_chain(spark):
+    """A model that fails on one item: the item is dropped by the rule, and counted."""
+    database = f"models_{uuid4().hex}"
+    tables.use_database(spark, database, fresh_path(spark, database))
+
+    def load():
+        def model(prompts):
+            if any("secret" in p for p in prompts):
+                raise RuntimeError("refused")
+            return ['{"overall":"positive","toxicity":{"sentiment":"negative"}}'] * len(prompts)
+
+        return model
+
+    quality = []
+    chain = streams.Chain(
+        database,
+        checkpoints=fresh_path(spark, "checkpoints"),
+        translate=partial(inference.translate, load_model=lambda: lambda texts: [t.upper() for t in texts]),
+        extract=partial(inference.extract, load_model=load),
+        on_quality=quality.append,
+    )
+    rows = spark.range(20).select(
+        F.col("id").cast("string").alias("content_id"),
+        F.lit("Steam Review").alias("content_type"),
+        F.lit("g").alias("game_name"),
+        F.when(F.col("id") == 7, "secret").when(F.col("id") != 8, "same").alias("content_text"),
+        F.lit("2024-01-01").cast("timestamp").alias("timestamp"),
+        F.lit("a").alias("author_id"),
+        F.lit("{}").alias("content_metadata"),
+    )
+    upsert(rows, chain.table(streams.BRONZE))
+    streams.refresh(spark, chain)
+    # The same rows in new files: seen by every stream, added by none.
+    first = spark.table(chain.table(streams.BRONZE)).first().batch_id
+    tables.write_batch(rows, chain.table(streams.BRONZE), first)
+    streams.refresh(spark, chain)
+
+    assert [c["rows"] for c in quality][0] == 20
+    assert sum(c["valid_overall_sentiment"] for c in quality) == 2
+    items = spark.table(chain.table(streams.ITEMS))
+    assert items.count() == 18 and items.where("translated_content_text = 'SAME'").count() == 18
+    topics = spark.table(chain.table(streams.TOPICS))
+    assert topics.groupBy("category", "sentiment").count().collect() == [("toxicity", "negative", 18)]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.operators import merge, tables
+from feedloom.operators.metrics import in_range
 from feedloom.plans.staging import fresh_path, shared_dir
 from feedloom.streaming import chain as streams
 from feedloom.streaming.upsert import upsert, upsert_stream
@@ -223,3 +224,15 @@ def test_without_a_shared_folder_only_a_local_session_runs():
         shared_dir(session("yarn"))
     local = session("local[2]")
     assert shared_dir(local) == shared_dir(local)
+
+
+def test_game_and_range_reach_the_scan(spark, database):
+    table = f"{database}.bronze"
+    upsert(feedback(spark, [("1", ODD, "x", "2024-01-01"), ("2", "007", "x", "2024-01-01")]), table)
+    chosen = in_range(tables.items_of(spark, table), "2024-01-01", "2024-01-02", "007")
+    scan = chosen.select("content_id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(game_name" in scan and "PushedFilters: [IsNotNull(timestamp)" in scan
+    assert "ReadSchema: struct<content_id:string,timestamp:timestamp>" in scan
+    assert [r.content_id for r in chosen.collect()] == ["2"]
+    only = streams.new_rows(spark, table, schemas.FEEDBACK)
+    assert dict(only.dtypes)["game_name"] == "string"
