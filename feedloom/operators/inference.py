@@ -26,30 +26,33 @@ def infer(
     *,
     id_col: str = "content_id",
     tasks: int | None = None,
+    batch_size: int = 64,
 ) -> DataFrame:
     """Add ``out_col``, the model's answer to ``text``, and ``<out_col>_error``.
 
     ``load_model`` runs once per task and returns a function from a list of
-    texts to a list of answers. Every distinct text is asked once; answers are
-    written down before anything reads them, so that neither a second action
-    nor a lost executor asks again. A NULL text has a NULL answer. If a batch
-    fails its texts are asked one by one, and those that still fail get a NULL
-    answer and the error.
+    texts to a list of answers. Every distinct text is asked once, ``batch_size``
+    at a time; answers are written down before anything reads them, so that
+    neither a second action nor a lost executor asks again. A NULL text has a
+    NULL answer. If a batch fails its texts are asked one by one, and those that
+    still fail get a NULL answer and the error.
     """
     keyed = df.withColumn("_text", text).withColumn("_digest", F.md5("_text"))
     texts = keyed.where("_text IS NOT NULL").groupBy("_text").agg(F.count("*").alias("_copies"))
     if tasks is not None:
         texts = texts.repartition(tasks)
-    answers = stage(texts.mapInPandas(_asker(load_model), _ANSWERS), "answers")
+    answers = stage(texts.mapInPandas(_asker(load_model, batch_size), _ANSWERS), "answers")
     return _look_up(keyed.drop("_text"), answers, out_col, id_col)
 
 
 _ANSWERS = "_digest string, _copies long, _answer string, _error string"
 
 
-def _asker(load_model: Callable[[], Model]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _asker(
+    load_model: Callable[[], Model], batch_size: int
+) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     # Nested, and built on pandas alone, so that executors need no copy of this package.
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from hashlib import md5
 
         import pandas as pd
@@ -62,19 +65,24 @@ def _asker(load_model: Callable[[], Model]) -> Callable[[Iterator[pd.DataFrame]]
             except Exception as error:
                 return None, f"{type(error).__name__}: {error}"
 
-        for batch in batches:
-            texts = batch["_text"].tolist()
+        def ask_batch(texts):
             try:
                 answers = list(model(texts))
                 if len(answers) != len(texts):
                     raise ValueError("the model must give one answer per text")
-                results = [(answer, None) for answer in answers]
+                return [(answer, None) for answer in answers]
             except Exception:
-                results = [ask_one(text) for text in texts]
+                return [ask_one(text) for text in texts]
+
+        for frame in frames:
+            texts = frame["_text"].tolist()
+            results = []
+            for start in range(0, len(texts), batch_size):
+                results += ask_batch(texts[start : start + batch_size])
             yield pd.DataFrame(
                 {
                     "_digest": [md5(text.encode()).hexdigest() for text in texts],
-                    "_copies": batch["_copies"],
+                    "_copies": frame["_copies"],
                     "_answer": pd.Series([r[0] for r in results], dtype=object),
                     "_error": pd.Series([r[1] for r in results], dtype=object),
                 }

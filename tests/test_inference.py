@@ -63,6 +63,18 @@ def test_a_failing_text_spoils_no_other(spark):
     assert out.where("translated_content_text IS NOT NULL").count() == 750
 
 
+def test_batches_are_small(spark):
+    def load():
+        return lambda texts: [str(len(texts))] * len(texts)
+
+    df = spark.range(100).select(
+        F.col("id").cast("string").alias("content_id"), F.col("id").cast("string").alias("content_text")
+    )
+    out = inference.translate(df, load, tasks=1, batch_size=30)
+    sizes = out.groupBy("translated_content_text").count().collect()
+    assert {tuple(row) for row in sizes} == {("30", 90), ("10", 10)}
+
+
 def test_wrong_number_of_answers_is_a_failure(spark):
     df = spark.createDataFrame([("1", "a"), ("2", "b")], "content_id string, content_text string")
     out = inference.translate(df.coalesce(1), lambda: lambda texts: ["one"], tasks=1)
