@@ -10,10 +10,9 @@ from checks import check, views
 from checks.table import MERGED, database, feedback_rows
 from checks.views import plain, sql
 from feedloom import schemas
-from feedloom.operators import tables
+from feedloom.operators import tables, unify
 from feedloom.plans.staging import fresh_path
 from feedloom.sources import landed as files
-from feedloom.operators import unify
 from feedloom.streaming import chain as streams
 from feedloom.streaming.upsert import upsert, upsert_stream
 
@@ -48,7 +47,7 @@ def stream_incremental_scan(spark, sf):
     )
     for delivery in (views.first_delivery, views.second_delivery):
         upsert(delivery(spark, sf), f"{own}.bronze")
-        copy(streams.new_rows(spark, f"{own}.bronze", schemas.FEEDBACK))
+        copy(streams.new_rows(spark, f"{own}.bronze", schemas.FEEDBACK)).awaitTermination()
     return feedback_rows(spark, f"{own}.copy")
 
 
@@ -62,11 +61,13 @@ def stream_incremental_scan(spark, sf):
 def stream_append_table(spark, sf):
     """Landed reviews, a few files at a time, into an append-only table."""
     own = database(spark, "appended")
-    reviews = files.read_steam(spark, views.landed(spark, sf)["steam"], stream=True)
-    rows = unify.unify_steam(unify.name_games(reviews))
+    landed = files.read_steam(spark, views.landed(spark, sf)["steam"], stream=True)
+    rows = unify.unify_steam(unify.name_games(landed))
     checkpoint = fresh_path(spark, "appended-checkpoint")
-    streams.append_table(rows, f"{own}.reviews", schemas.FEEDBACK, lambda new: new, checkpoint)
-    kept = tables.items_of(spark, f"{own}.reviews")
+    reviews = f"{own}.reviews"
+    stream = streams.append_table(rows, reviews, schemas.FEEDBACK, lambda new: new, checkpoint)
+    stream.awaitTermination()
+    kept = tables.items_of(spark, reviews)
     return plain(kept.select("content_id", "game_name", "content_text", "timestamp"))
 
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
+from itertools import groupby
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from feedloom import schemas
 from feedloom.functions.offline import glossary_translate, lexicon_extract
@@ -89,8 +92,8 @@ def append_table(
     transform: Transform,
     checkpoint: str,
     keys: Sequence[str] = ("content_id",),
-) -> None:
-    """Bring ``table`` up to date with ``source`` and stop.
+) -> StreamingQuery:
+    """Start to bring ``table`` up to date with ``source``; the stream then ends.
 
     A batch replaces its own partitions, so one that was cut short leaves
     nothing behind. A replayed batch makes new files, which the next table sees
@@ -104,7 +107,7 @@ def append_table(
         write_batch(transform(_unseen(batch, table, name, keys)), table, name)
 
     stream = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    stream.trigger(availableNow=True).start().awaitTermination()
+    return stream.trigger(availableNow=True).start()
 
 
 def _unseen(batch: DataFrame, table: str, name: str, keys: Sequence[str]) -> DataFrame:
@@ -151,14 +154,24 @@ def stages(
 
 
 def refresh(spark: SparkSession, chain: Chain) -> None:
-    """Carry new bronze rows through all tables, one after the other."""
+    """Carry new bronze rows through all tables. Tables with the same source are
+    filled side by side, the others one after the other."""
     checkpoints = chain.checkpoints or f"{shared_dir(spark)}/{chain.database}-streams"
     observed = None if chain.on_quality is None else []
-    for source, source_ddl, target, target_ddl, transform in stages(chain, observed):
-        rows = new_rows(spark, chain.table(source), source_ddl, chain.files_per_batch)
-        append_table(
-            rows, chain.table(target), target_ddl, transform, f"{checkpoints}/{target}"
-        )
+    for source, group in groupby(stages(chain, observed), key=itemgetter(0)):
+        running = []
+        try:
+            for _, source_ddl, target, target_ddl, transform in group:
+                rows = new_rows(spark, chain.table(source), source_ddl, chain.files_per_batch)
+                checkpoint = f"{checkpoints}/{target}"
+                running.append(
+                    append_table(rows, chain.table(target), target_ddl, transform, checkpoint)
+                )
+            for stream in running:
+                stream.awaitTermination()
+        finally:
+            for stream in running:
+                stream.stop()
     for counts in observed or []:
         chain.on_quality(counts.get)
 
