@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from feedloom.llm import q_line_dedup, q_mixing, q_pii  # noqa: F401
+from feedloom.llm import q_byte_bpe, q_line_dedup, q_mixing, q_pii  # noqa: F401
 from feedloom.llm.registry import ORACLES, QUERIES  # noqa: F401
