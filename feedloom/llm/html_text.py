@@ -110,7 +110,8 @@ def _marked(attributes: str, inside: bool) -> bool:
             if "display:none" in value.replace(" ", "").lower():
                 return True
         else:
-            words = set(_PART.findall(_CAMEL.sub(" ", value).lower()))
+            names = [n for n in value.split() if not n.startswith(("has-", "no-", "with-", "without-"))]
+            words = set(_PART.findall(_CAMEL.sub(" ", " ".join(names)).lower()))
             if words & MARKS or ("header" in words and not inside and not words & {"article", "post", "entry", "story"}):
                 return True
     return False
