@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from feedloom.llm import q_byte_bpe, q_html_text, q_line_dedup, q_mixing, q_pii, q_simhash  # noqa: F401
+from feedloom.llm import q_byte_bpe, q_html_text, q_line_dedup, q_mixing, q_pii, q_quality_mil, q_simhash  # noqa: F401
 from feedloom.llm.registry import ORACLES, QUERIES  # noqa: F401
