@@ -193,11 +193,13 @@ def _spread(bag: np.ndarray, most: int) -> np.ndarray:
     return bag if len(bag) <= most else bag[np.linspace(0, len(bag) - 1, most).astype(int)]
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and ``score`` of every whole text. One pass without a shuffle."""
+def scored(
+    docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",), name: str = "score"
+) -> DataFrame:
+    """The columns ``keep`` and the score of every whole text, under ``name``. One pass without a shuffle."""
     rows = docs.select(*keep) if text in keep else docs.select(*keep, text)
     at = rows.columns.index(text)
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(name, T.DoubleType())])
     fitted = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -222,5 +224,5 @@ def report(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.3, text: str = "text") -> DataFrame:
     """``docs`` without the documents the model rejects, all columns kept."""
-    rows = scored(docs, fit(docs, labels, text=text), text, tuple(docs.columns)).toDF(*docs.columns, "_mil_score")
+    rows = scored(docs, fit(docs, labels, text=text), text, tuple(docs.columns), "_mil_score")
     return rows.filter(F.col("_mil_score") >= least).drop("_mil_score")

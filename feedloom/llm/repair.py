@@ -72,7 +72,8 @@ def compress(ids: np.ndarray, first: int, end: int, rounds: int = 5, least: int
         slots = _slot(chosen)
         _, own = np.unique(slots, return_index=True)
         chosen = chosen[np.sort(own)]
-        table, symbol = np.zeros(1 << 18, np.uint32), np.zeros(1 << 18, np.uint16)
+        # Free slots hold a pair that is never looked for.
+        table, symbol = np.full(1 << 18, end << 16 | end, np.uint32), np.zeros(1 << 18, np.uint16)
         slots = _slot(chosen)
         table[slots], symbol[slots] = chosen, np.arange(known, known + len(chosen)).astype(np.uint16)
         at = _slot(pairs)
