@@ -37,6 +37,13 @@ def _head(columns: str) -> str:
     return f"'| {' | '.join(names)} |' || chr(10) || '|{' --- |' * len(names)}'"
 
 
+# Words that are not known sentiments share one line.
+_OVERALL = (
+    "CASE WHEN items.overall_sentiment IS NULL OR items.overall_sentiment IN ('positive', 'negative', 'neutral') "
+    f"THEN items.overall_sentiment ELSE '{reports.OTHER_VALUES}' END"
+)
+
+
 def tables_sql(where: str) -> str:
     """The five tables of every game with items in range."""
     total, overall = "total_items", "overall_sentiment, number_of_items"
@@ -55,7 +62,7 @@ def tables_sql(where: str) -> str:
         f"coalesce(s.lines, {_head(sub_categories)}) AS sub_categories, n.lines AS items "
         f"FROM ({_table(total, f'SELECT game_name, count(*) AS total_items {counted}', '1')}) t "
         "JOIN ("
-        + _table(overall, f"SELECT game_name, overall_sentiment, count(*) AS number_of_items {counted}", "overall_sentiment")
+        + _table(overall, f"SELECT game_name, {_OVERALL} AS overall_sentiment, count(*) AS number_of_items {counted}", "overall_sentiment")
         + ") o USING (game_name) LEFT JOIN ("
         + _table(categories, f"SELECT game_name, category, {sums} FROM ({_RATED}) GROUP BY ALL", "category")
         + ") c USING (game_name) LEFT JOIN ("

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from checks import check, views
 from checks.report import REQUEST, rows_sql
-from checks.source import _TOP
 from checks.stream import chain_on
 from checks.views import sql
 from feedloom.operators import tables
 from feedloom.plans import runs
+from feedloom.plans.staging import fresh_path
 from feedloom.sources.ingest import ingest
 from feedloom.streaming import chain as streams
 from feedloom.streaming.upsert import upsert
@@ -19,8 +19,12 @@ _STEAM_ROWS = (
     "SELECT 's' || doc_id AS content_id, 'Steam Review' AS content_type, {name} AS game_name, "
     "text AS content_text, date_trunc('second', ts) AS timestamp, "
     "CAST(user_id AS VARCHAR) AS author_id, NULL AS content_metadata, event_type, lang FROM docs "
-    "{where} QUALIFY row_number() OVER (PARTITION BY source ORDER BY md5('sample' || 's' || doc_id)) "
-    "<= 2000"
+    "{where}"
+)
+_FORUM_ROWS = (
+    "SELECT comment_id AS content_id, 'Reddit Comment' AS content_type, subreddit AS game_name, "
+    "body AS content_text, created_utc AS timestamp, author AS author_id, NULL AS content_metadata, "
+    "NULL AS event_type, NULL AS lang FROM post_comments"
 )
 
 
@@ -86,8 +90,7 @@ def run_new_game(spark, sf):
     sql(
         _OUTCOME,
         feedback=_STEAM_ROWS.format(name="'Game of ' || source", where="")
-        + " UNION ALL SELECT comment_id, 'Reddit Comment', subreddit, body, created_utc, author, "
-        f"NULL, NULL, NULL FROM ({_TOP.format(posts=500, comments=20)})",
+        + f" UNION ALL {_FORUM_ROWS}",
     ),
 )
 def run_refresh(spark, sf):
@@ -104,3 +107,37 @@ def run_refresh(spark, sf):
     upsert(known, chain.table(streams.BRONZE))
     runs.run_refresh(spark, chain, paths, games)
     return _outcome(spark, chain)
+
+
+@check("run_refresh_alias", sql(_OUTCOME, feedback=_FORUM_ROWS))
+def run_refresh_alias(spark, sf):
+    """One comment of each post is known; the forum is named by its alias, and refreshed twice."""
+    chain = chain_on(spark, "aliased")
+    forum = views.landed(spark, sf)["forum"]
+    upsert(ingest(spark, "Reddit Post", forum, max_comments=1), chain.table(streams.BRONZE))
+    games = spark.createDataFrame([], "content_type string, app_id string, game_name string")
+    for _ in range(2):
+        runs.run_refresh(spark, chain, {"Reddit Post": forum}, games)
+    return _outcome(spark, chain)
+
+
+@check(
+    "run_refresh_landed",
+    sql(
+        f"SELECT * FROM ({_OUTCOME}) WHERE table_name = 'items'",
+        feedback=_STEAM_ROWS.format(name="'Game of ' || source", where=""),
+    ),
+)
+def run_refresh_landed(spark, sf):
+    """Review files are read as they land: half of the apps' folders, then the others."""
+    chain = chain_on(spark, "as_landed")
+    games = views.apps(spark, sf).withColumn("content_type", F.lit("Steam Review"))
+    known = ingest(spark, "Steam Review", views.landed(spark, sf)["steam"], games=games, cap=1)
+    upsert(known, chain.table(streams.BRONZE))
+    pages = spark.read.text(views.landed(spark, sf)["steam"])
+    path = fresh_path(spark, "landing")
+    first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for part in (first, ~first):
+        pages.where(part).write.mode("append").partitionBy("app_id").text(path)
+        runs.run_refresh(spark, chain, {"Steam Review": path}, games)
+    return _outcome(spark, chain).where("table_name = 'items'")

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import check, views
 from checks.views import plain, sql
-
-_LABELS = {"marketer": "Marketer", "game_designer": "Game Designer"}
+from feedloom.functions.prompts import PERSONAS
 
 
 @check(
@@ -29,7 +28,8 @@ _LABELS = {"marketer": "Marketer", "game_designer": "Game Designer"}
 def scalar_bundle(spark, sf):
     meta = F.from_json("content_metadata", "map<string,string>")
     persona = F.create_map(F.lit("view"), F.lit("marketer"), F.lit("click"), F.lit("game_designer"))
-    label = F.create_map(*[F.lit(x) for pair in _LABELS.items() for x in pair])
+    labels = {p.name: p.label for p in PERSONAS}
+    label = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
     rows = views.feedback(spark, sf).withColumn("meta", meta)
     event = F.col("meta")["event_type"]
     seconds = F.unix_seconds("timestamp")

@@ -11,6 +11,7 @@ from checks.views import landed, plain, sql
 from feedloom.operators import unify
 from feedloom.operators.merge import batch_profile
 from feedloom.operators.metrics import distinct_games
+from feedloom.plans.staging import fresh_path
 from feedloom.sources import bounds
 from feedloom.sources import landed as files
 from feedloom.sources.ingest import ingest
@@ -73,21 +74,58 @@ _TOP = (
 @check(
     "src_dispatch",
     sql(
-        "SELECT 'Steam Review' AS content_type, CAST(sum(least(n, 2000)) AS BIGINT) AS row_count "
-        "FROM (SELECT count(*) AS n FROM docs GROUP BY source) UNION ALL "
-        "SELECT 'Google Play Review', CAST(sum(least(n, 2000)) AS BIGINT) FROM (SELECT "
-        "CAST(sum(least(n, 10000)) AS BIGINT) AS n FROM (SELECT source, count(*) AS n FROM docs "
-        "WHERE lang IN ('en', 'fr', 'es', 'ja', 'ko', 'zh', 'pt', 'hi') GROUP BY source, lang) "
-        "GROUP BY source) UNION ALL "
-        f"SELECT 'Reddit Comment', count(*) FROM ({_TOP.format(posts=500, comments=20)})"
+        "SELECT 'Steam Review' AS content_type, 's' || doc_id AS content_id, "
+        "'Game of ' || source AS game_name, text AS content_text FROM docs UNION ALL "
+        "SELECT 'Google Play Review', 'p' || doc_id, source, text FROM docs UNION ALL "
+        "SELECT 'Reddit Comment', comment_id, subreddit, body FROM post_comments"
     ),
 )
 def src_dispatch(spark, sf):
+    """Every landed row of every source."""
     paths = landed(spark, sf)
     found = ingest(spark, "Steam Review", paths["steam"], games=views.apps(spark, sf))
     found = found.unionByName(ingest(spark, "Google Play Review", paths["play"]))
     found = found.unionByName(ingest(spark, "Reddit Post", paths["forum"]))
-    return found.groupBy("content_type").agg(F.count("*").alias("row_count"))
+    return found.select("content_type", "content_id", "game_name", "content_text")
+
+
+@check(
+    "ingest_capped",
+    sql(
+        "SELECT content_id, game_name FROM (SELECT 's' || doc_id AS content_id, source AS game_name "
+        "FROM docs QUALIFY row_number() OVER (PARTITION BY source ORDER BY seconds DESC, 's' || doc_id) "
+        "<= 30) QUALIFY row_number() OVER (PARTITION BY game_name "
+        "ORDER BY md5('sample' || content_id), content_id) <= 20 UNION ALL "
+        "SELECT 'p' || doc_id, source FROM docs WHERE lang IN ('de', 'en') QUALIFY row_number() "
+        "OVER (PARTITION BY source ORDER BY md5('sample' || 'p' || doc_id), 'p' || doc_id) <= 15 UNION ALL "
+        f"SELECT comment_id, subreddit FROM ({_TOP.format(posts=4, comments=3)})"
+    ),
+)
+def ingest_capped(spark, sf):
+    """Caps, samples and languages as asked."""
+    paths = landed(spark, sf)
+    found = ingest(spark, "Steam Review", paths["steam"], cap=30, sample=20)
+    play = ingest(spark, "Google Play Review", paths["play"], sample=15, languages=("de", "en"))
+    forum = ingest(spark, "Reddit Comment", paths["forum"], max_posts=4, max_comments=3)
+    return found.unionByName(play).unionByName(forum).select("content_id", "game_name")
+
+
+@check(
+    "ingest_redelivered",
+    sql(
+        "SELECT 's' || doc_id AS content_id, source AS game_name, count(*) AS row_count FROM "
+        "(SELECT * FROM docs QUALIFY row_number() OVER (PARTITION BY source "
+        "ORDER BY seconds DESC, 's' || doc_id) <= 30) GROUP BY ALL"
+    ),
+)
+def ingest_redelivered(spark, sf):
+    """The same reviews landed three times, then capped."""
+    pages = spark.read.text(landed(spark, sf)["steam"])
+    path = fresh_path(spark, "redelivered")
+    for _ in range(3):
+        pages.write.mode("append").partitionBy("app_id").text(path)
+    found = ingest(spark, "Steam Review", path, cap=30)
+    return found.groupBy("content_id", "game_name").agg(F.count("*").alias("row_count"))
 
 
 @check(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import functions as F
@@ -10,30 +11,26 @@ from checks import check, views
 from checks.table import MERGED, database, feedback_rows
 from checks.views import plain, sql
 from feedloom import schemas
+from feedloom.functions.prompts import extraction_prompt
 from feedloom.operators import tables, unify
+from feedloom.operators.inference import extract, translate
 from feedloom.plans.staging import fresh_path
 from feedloom.sources import landed as files
 from feedloom.streaming import chain as streams
 from feedloom.streaming.upsert import upsert, upsert_stream
 
 
-def chain_on(spark, name):
+def chain_on(spark, name, **options):
     """A chain whose model answers are those of the views."""
-    return streams.Chain(
-        database(spark, name),
-        checkpoints=fresh_path(spark, f"{name}-checkpoints"),
-        translate=views.translate_none,
-        extract=views.answer,
-    )
+    chosen = {"translate": views.translate_none, "extract": views.answer, **options}
+    checkpoints = fresh_path(spark, f"{name}-checkpoints")
+    return streams.Chain(database(spark, name), checkpoints=checkpoints, **chosen)
 
 
 def _topics(spark, chain):
     return tables.items_of(spark, chain.table(streams.TOPICS))
 
 
-_KEPT = "content_id, content_type, game_name, content_text, timestamp, author_id, content_metadata"
-
-
 @check("stream_incremental_scan", sql(MERGED))
 def stream_incremental_scan(spark, sf):
     """Two runs of a stream that copies bronze, rows added in between."""
@@ -61,7 +58,10 @@ def stream_incremental_scan(spark, sf):
 def stream_append_table(spark, sf):
     """Landed reviews, a few files at a time, into an append-only table."""
     own = database(spark, "appended")
-    landed = files.read_steam(spark, views.landed(spark, sf)["steam"], stream=True)
+    written = fresh_path(spark, "appended-source")
+    files.read_steam(spark, views.landed(spark, sf)["steam"]).repartition(6).write.parquet(written)
+    source = spark.readStream.schema(spark.read.parquet(written).schema)
+    landed = source.option("maxFilesPerTrigger", 2).parquet(written)
     rows = unify.unify_steam(unify.name_games(landed))
     checkpoint = fresh_path(spark, "appended-checkpoint")
     reviews = f"{own}.reviews"
@@ -146,3 +146,87 @@ def stream_upsert(spark, sf):
             checkpoint = f"{fresh_path(spark, 'upsert')}-{number}"
             upsert_stream(rows, f"{own}.bronze", checkpoint)
     return feedback_rows(spark, f"{own}.bronze")
+
+
+@check(
+    "stream_composite_key",
+    sql(
+        "SELECT 'items' AS table_name, content_id, kind AS content_type, game_name, NULL AS category "
+        "FROM items, (VALUES ('Steam Review'), ('Google Play Review')) k(kind) UNION ALL "
+        "SELECT 'topics', content_id, kind, game_name, category "
+        "FROM topics, (VALUES ('Steam Review'), ('Google Play Review')) k(kind)"
+    ),
+)
+def stream_composite_key(spark, sf):
+    """One id on two stores is two items, in every table, also when they come one after the other."""
+    chain = chain_on(spark, "two_stores", keys=("content_type", "content_id"))
+    for kind in ("Steam Review", "Google Play Review", "Steam Review"):
+        rows = views.feedback(spark, sf).withColumn("content_type", F.lit(kind))
+        upsert(rows, chain.table(streams.BRONZE), chain.keys)
+        streams.refresh(spark, chain)
+    items = tables.items_of(spark, chain.table(streams.ITEMS)).select(
+        F.lit("items").alias("table_name"), "content_id", "content_type", "game_name",
+        F.lit(None).cast("string").alias("category"),
+    )
+    topics = _topics(spark, chain).select(
+        F.lit("topics").alias("table_name"), "content_id", "content_type", "game_name", "category"
+    )
+    return items.unionByName(topics)
+
+
+@check(
+    "stream_quality",
+    sql(
+        "SELECT 1 AS run, count(*) AS row_count, count(*) FILTER (overall IS NULL) AS broken "
+        "FROM parsed_all UNION ALL SELECT 2, 0, 0"
+    ),
+)
+def stream_quality(spark, sf):
+    """Rows and violations of a run, and of one with new checkpoints that finds all rows known."""
+    found = []
+    chain = chain_on(spark, "counted", on_quality=lambda counts: found.append((run, dict(counts))))
+    upsert(views.feedback(spark, sf), chain.table(streams.BRONZE))
+    for run in (1, 2):
+        streams.refresh(spark, replace(chain, checkpoints=fresh_path(spark, "counted-checkpoints")))
+    counted = [(n, c["rows"], c["valid_overall_sentiment"]) for n, c in found]
+    rows = spark.createDataFrame(counted, "run int, row_count long, broken long")
+    return rows.groupBy("run").agg(F.sum("row_count").alias("row_count"), F.sum("broken").alias("broken"))
+
+
+def _translator():
+    return lambda texts: [f"[{text[:20]}]" for text in texts]
+
+
+def _extractor():
+    """Answers by a hash of what follows the directions, so that SQL can say the same."""
+    from hashlib import md5
+
+    def answer(prompts):
+        mood = {"0": "positive", "1": "negative"}
+        digits = [md5(prompt[length:].encode()).hexdigest()[0] for prompt in prompts]
+        return [f'{{"overall":"{mood.get(d, "neutral")}","summary":"{d}"}}' for d in digits]
+
+    length = len(extraction_prompt())
+    return answer
+
+
+@check(
+    "stream_chain_models",
+    sql(
+        "SELECT content_id, '[' || substr(content_text, 1, 20) || ']' AS translated_content_text, "
+        "CASE substr(md5(content_text), 1, 1) WHEN '0' THEN 'positive' WHEN '1' THEN 'negative' "
+        "ELSE 'neutral' END AS overall_sentiment, substr(md5(content_text), 1, 1) AS ai_summary FROM feedback"
+    ),
+)
+def stream_chain_models(spark, sf):
+    """Both model steps run as models on the executors, inside the streams."""
+    chain = chain_on(
+        spark,
+        "modelled",
+        translate=partial(translate, load_model=_translator),
+        extract=partial(extract, load_model=_extractor),
+    )
+    upsert(views.feedback(spark, sf), chain.table(streams.BRONZE))
+    streams.refresh(spark, chain)
+    items = tables.items_of(spark, chain.table(streams.ITEMS))
+    return items.select("content_id", "translated_content_text", "overall_sentiment", "ai_summary")

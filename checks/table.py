@@ -6,6 +6,7 @@ from dataclasses import replace
 from datetime import datetime
 from uuid import uuid4
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import check, views
@@ -52,6 +53,25 @@ def merge_insert_only(spark, sf):
     return feedback_rows(spark, table)
 
 
+@check(
+    "merge_null_keys",
+    sql(
+        "SELECT CASE WHEN event_type = 'error' THEN 'made' ELSE content_id END AS content_id, "
+        "game_name, content_text, timestamp, author_id FROM feedback"
+    ),
+)
+def merge_null_keys(spark, sf):
+    """Rows without an id are kept apart, and merging them again adds nothing."""
+    table = f"{database(spark, 'keyless')}.bronze"
+    is_error = F.get_json_object("content_metadata", "$.event_type") == "error"
+    rows = views.feedback(spark, sf).withColumn("content_id", F.when(~is_error, F.col("content_id")))
+    for _ in range(2):
+        upsert(rows.unionByName(rows), table)
+    made = F.when(F.col("content_id").startswith("row-"), "made").otherwise(F.col("content_id"))
+    kept = feedback_rows(spark, table).withColumn("content_id", made)
+    return kept.drop("content_type", "content_metadata")
+
+
 @check("dedup_batch", sql(f"SELECT {_BATCH} FROM second_delivery {_NEWEST}"))
 def dedup_batch(spark, sf):
     return plain(merge.newest_copy(views.second_delivery(spark, sf)))
@@ -60,9 +80,9 @@ def dedup_batch(spark, sf):
 @check(
     "sink_report_modes",
     sql(
-        "SELECT game_name, persona, count(*) AS row_count FROM (SELECT DISTINCT game_name FROM items) "
-        "g, (VALUES ('community_manager'), ('marketer'), ('game_designer')) p(persona), "
-        "(VALUES (1), (2)) n(n) WHERE n = 1 OR game_name = 'src3' GROUP BY ALL"
+        "SELECT game_name, persona, '2024-01-01' AS start_date, n FROM (SELECT DISTINCT game_name "
+        "FROM items) g, (VALUES ('community_manager'), ('marketer'), ('game_designer')) p(persona), "
+        "(VALUES (1), (2)) n(n) WHERE n = 1 OR game_name = 'src3'"
     ),
 )
 def sink_report_modes(spark, sf):
@@ -73,7 +93,9 @@ def sink_report_modes(spark, sf):
     for request in (every, every, one):
         built = reports.build_reports_from_parsed(parsed, request)
         tables.save_reports(built, table, request.update_type)
-    return spark.table(table).groupBy("game_name", "persona").agg(F.count("*").alias("row_count"))
+    copy = Window.partitionBy("game_name", "persona").orderBy("report_contents")
+    saved = spark.table(table).withColumn("n", F.row_number().over(copy))
+    return saved.select("game_name", "persona", "start_date", "n")
 
 
 def _three_tables(spark, sf, name):
@@ -101,11 +123,10 @@ def audit_counts_by_game(spark, sf):
 @check(
     "delete_by_game",
     sql(
-        "SELECT table_name, game_name, count(*) AS row_count FROM ("
-        "SELECT 'bronze' AS table_name, game_name FROM feedback UNION ALL "
-        "SELECT 'topics', game_name FROM topics UNION ALL "
-        "SELECT 'totals', game_name FROM (SELECT DISTINCT game_name FROM items)) "
-        "WHERE game_name <> 'src3' GROUP BY ALL"
+        "SELECT 'bronze' AS table_name, game_name, content_id, NULL AS category FROM feedback "
+        "WHERE game_name <> 'src3' UNION ALL "
+        "SELECT 'topics', game_name, content_id, category FROM topics WHERE game_name <> 'src3' UNION ALL "
+        "SELECT DISTINCT 'totals', game_name, NULL, NULL FROM items WHERE game_name <> 'src3'"
     ),
 )
 def delete_by_game(spark, sf):
@@ -114,6 +135,11 @@ def delete_by_game(spark, sf):
     rows = None
     for name in names:
         short = name.split(".")[-1].strip("`")
-        part = spark.table(name).select(F.lit(short).alias("table_name"), "game_name")
+        own = spark.table(name)
+        columns = [
+            F.col(c) if c in own.columns else F.lit(None).cast("string").alias(c)
+            for c in ("content_id", "category")
+        ]
+        part = own.select(F.lit(short).alias("table_name"), "game_name", *columns)
         rows = part if rows is None else rows.unionByName(part)
-    return rows.groupBy("table_name", "game_name").agg(F.count("*").alias("row_count"))
+    return rows

@@ -1,4 +1,7 @@
-"""Model answers as columns: parsed table, item table, topic table."""
+"""Model answers as columns: parsed table, item table, topic table.
+
+The selected columns are fixed values: they are those of tables other systems read.
+"""
 
 from __future__ import annotations
 
@@ -89,9 +92,9 @@ def _other_topics() -> Column:
     )
 
 
-def _topic_rows(parsed_rows: DataFrame, topics: Column) -> DataFrame:
+def _topic_rows(parsed_rows: DataFrame, topics: Column, carry: Sequence[str] = ()) -> DataFrame:
     rated = F.filter(topics, lambda topic: topic["sentiment"].isNotNull())
-    return parsed_rows.select("content_id", "game_name", F.inline(rated))
+    return parsed_rows.select("content_id", "game_name", *carry, F.inline(rated))
 
 
 def category_topics(parsed_rows: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
@@ -104,10 +107,13 @@ def other_topics(parsed_rows: DataFrame) -> DataFrame:
     return _topic_rows(parsed_rows, _other_topics())
 
 
-def gold_topics(parsed_rows: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
-    """Category topics and free-form topics out of one read of the parsed rows."""
+def gold_topics(
+    parsed_rows: DataFrame, categories: Sequence[str] = CATEGORIES, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Category topics and free-form topics out of one read of the parsed rows, with the
+    columns ``carry`` of their item."""
     both = F.concat(_category_topics(categories), F.coalesce(_other_topics(), F.array()))
-    return _topic_rows(parsed_rows, both)
+    return _topic_rows(parsed_rows, both, carry)
 
 
 def union_topics(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -14,8 +14,11 @@ from feedloom.schemas import CATEGORIES
 
 Model = Callable[[Sequence[str]], Sequence[str | None]]
 
-# At most this many texts can each hold more than 1/HOT_SHARE of all rows.
+# Defaults of ``infer``; results do not depend on them.
 HOT_SHARE = 1000
+TEXTS_PER_TASK = 256
+# Answers to hot texts are broadcast up to so many characters.
+BROADCAST_CHARS = 16_000_000
 
 
 def infer(
@@ -25,31 +28,39 @@ def infer(
     load_model: Callable[[], Model],
     *,
     id_col: str = "content_id",
+    directions: str = "",
     tasks: int | None = None,
+    texts_per_task: int = TEXTS_PER_TASK,
     batch_size: int = 64,
+    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
-    """Add ``out_col``, the model's answer to ``text``, and ``<out_col>_error``.
+    """Add ``out_col``, the model's answer to ``directions`` and ``text``, and ``<out_col>_error``.
 
     ``load_model`` runs once per task and returns a function from a list of
     texts to a list of answers. Every distinct text is asked once, ``batch_size``
     at a time; answers are written down before anything reads them, so that
-    neither a second action nor a lost executor asks again. A NULL text has a
-    NULL answer. If a batch fails its texts are asked one by one, and those that
-    still fail get a NULL answer and the error.
+    neither a second action nor a lost executor asks again. Distinct texts are
+    written down too and dealt to tasks by their number, since they are small in
+    bytes and slow to answer: ``tasks`` of them, or as many as ``texts_per_task``
+    needs and at least one for each core. A NULL text has a NULL answer. If a
+    batch fails its texts are asked one by one, and those that still fail get a
+    NULL answer and the error.
     """
     keyed = df.withColumn("_text", text).withColumn("_digest", F.md5("_text"))
     texts = keyed.where("_text IS NOT NULL").groupBy("_text").agg(F.count("*").alias("_copies"))
-    if tasks is not None:
-        texts = texts.repartition(tasks)
-    answers = stage(texts.mapInPandas(_asker(load_model, batch_size), _ANSWERS), "answers")
-    return _look_up(keyed.drop("_text"), answers, out_col, id_col)
+    texts = stage(texts, "texts")
+    if tasks is None:
+        n = texts.count()
+        tasks = max(1, -(-n // texts_per_task), min(n, df.sparkSession.sparkContext.defaultParallelism))
+    asked = texts.repartition(tasks).mapInPandas(_asker(load_model, batch_size, directions), _ANSWERS)
+    return _look_up(keyed.drop("_text"), stage(asked, "answers"), out_col, id_col, hot_share)
 
 
 _ANSWERS = "_digest string, _copies long, _answer string, _error string"
 
 
 def _asker(
-    load_model: Callable[[], Model], batch_size: int
+    load_model: Callable[[], Model], batch_size: int, directions: str
 ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     # Nested, and built on pandas alone, so that executors need no copy of this package.
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -78,7 +89,7 @@ def _asker(
             texts = frame["_text"].tolist()
             results = []
             for start in range(0, len(texts), batch_size):
-                results += ask_batch(texts[start : start + batch_size])
+                results += ask_batch([directions + t for t in texts[start : start + batch_size]])
             yield pd.DataFrame(
                 {
                     "_digest": [md5(text.encode()).hexdigest() for text in texts],
@@ -91,18 +102,26 @@ def _asker(
     return ask
 
 
-def _look_up(keyed: DataFrame, answers: DataFrame, out_col: str, id_col: str) -> DataFrame:
-    """Answers back onto the rows. Fewer than HOT_SHARE texts can be hot, so those
-    are broadcast; no other text has enough rows to overload a task."""
+def _look_up(
+    keyed: DataFrame, answers: DataFrame, out_col: str, id_col: str, hot_share: int
+) -> DataFrame:
+    """Answers back onto the rows. A text of more than one in ``hot_share`` rows is hot.
+
+    There are fewer than ``hot_share`` of these; their answers are broadcast if their
+    size, which is counted, allows it. No other text has enough rows to overload a task.
+    """
     rows = answers.agg(F.sum("_copies")).first()[0] or 0
-    is_hot = F.col("_copies") * HOT_SHARE > rows
+    is_hot = F.col("_copies") * hot_share > rows
+    size = F.coalesce(F.length("_answer"), F.lit(0)) + F.coalesce(F.length("_error"), F.lit(0))
+    small = (answers.where(is_hot).agg(F.sum(size)).first()[0] or 0) <= BROADCAST_CHARS
     columns = ["_digest", "_answer", "_error"]
     hot = answers.where(is_hot).select(*columns)
     cold = answers.where(~is_hot).select(*columns)
     hot = hot.withColumnsRenamed({"_digest": "_hot", "_answer": "_hot_answer", "_error": "_hot_error"})
     cold = cold.withColumnRenamed("_digest", "_key")
 
-    seen = keyed.join(F.broadcast(hot), F.col("_digest") == F.col("_hot"), "left")
+    hot = F.broadcast(hot) if small else hot
+    seen = keyed.join(hot, F.col("_digest") == F.col("_hot"), "left")
     # Rows already answered, and rows without a text, match nothing below: spread them out.
     spread = F.concat_ws("#", F.lit(""), F.col(id_col))
     settled = F.col("_hot").isNotNull() | F.col("_digest").isNull()
@@ -129,8 +148,9 @@ def extract(
     **options: object,
 ) -> DataFrame:
     """Sentiment and topics of the text as JSON."""
-    prompt = with_prompt(F.col(text_col), categories)
-    return infer(df, prompt, "content_topic", load_model, **options)
+    directions = extraction_prompt(categories)
+    text = F.col(text_col)
+    return infer(df, text, "content_topic", load_model, directions=directions, **options)
 
 
 def with_prompt(text: Column, categories: Sequence[str] = CATEGORIES) -> Column:

@@ -11,14 +11,29 @@ from feedloom.plans.ranking import first_n
 from feedloom.plans.staging import stage
 
 
+def with_ids(df: DataFrame, id_col: str = "content_id") -> DataFrame:
+    """Rows without an id get one made from all their columns, the same each time."""
+    whole = F.to_json(F.struct(*sorted(df.columns)))
+    return df.withColumn(id_col, F.coalesce(id_col, F.concat(F.lit("row-"), F.md5(whole))))
+
+
+def edited_at(df: DataFrame, time: str) -> list[Column]:
+    """When a row was last edited, by its metadata if these say so, then its time."""
+    order = [F.col(time).desc_nulls_last()]
+    if "content_metadata" in df.columns:
+        edited = F.get_json_object("content_metadata", "$.timestamp_updated").cast("long")
+        order.insert(0, F.coalesce(edited, F.unix_seconds(time)).desc_nulls_last())
+    return order
+
+
 def newest_copy(df: DataFrame, keys: Sequence[str] = ("content_id",), time: str = "timestamp") -> DataFrame:
-    """One row per key, the newest; every task sends at most one row per key."""
+    """One row per key, the last edited; every task sends at most one row per key."""
     rest: list[Column] = [F.col(c) for c in df.columns if c not in (*keys, time)]
-    return first_n(df, keys, [F.col(time).desc_nulls_last(), *rest], 1)
+    return first_n(df, keys, [*edited_at(df, time), *rest], 1)
 
 
 def not_yet_in(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("content_id",)) -> DataFrame:
-    """Rows of ``batch`` whose key ``existing`` does not hold.
+    """Rows of ``batch`` whose key ``existing`` does not hold; NULL equals NULL in a key.
 
     Only the key columns of ``existing`` are read, cut to the keys of the batch.
     While those are small enough to broadcast, the table is scanned and never
@@ -26,9 +41,14 @@ def not_yet_in(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("co
     written down, so that its true size decides whether the batch itself, texts
     and all, has to be shuffled too. Mostly nothing is known, and it has not.
     """
-    keys = list(keys)
-    known = existing.select(*keys).join(batch.select(*keys), keys, "left_semi")
-    return batch.join(stage(known, "known"), keys, "left_anti")
+    known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    asked = batch.select(*keys)
+    known = stage(known.join(asked, _same(keys), "left_semi"), "known")
+    return batch.join(known, _same(keys), "left_anti")
+
+
+def _same(keys: Sequence[str]) -> list[Column]:
+    return [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
 
 
 def insert_only(
@@ -37,8 +57,13 @@ def insert_only(
     keys: Sequence[str] = ("content_id",),
     time: str = "timestamp",
 ) -> DataFrame:
-    """Rows an insert-only merge adds: new keys, one row each."""
-    return not_yet_in(newest_copy(batch, keys, time), existing, keys)
+    """Rows an insert-only merge adds: new keys, one row each.
+
+    The batch is written down first: it is used twice, and only its true size
+    tells the planner whether its keys can be broadcast.
+    """
+    batch = stage(newest_copy(batch, keys, time), "batch")
+    return not_yet_in(batch, existing, keys)
 
 
 def batch_profile(df: DataFrame, id_col: str = "content_id") -> DataFrame:

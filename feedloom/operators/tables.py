@@ -2,22 +2,28 @@
 
 Item tables are partitioned by ``batch_id`` and ``game_name``: a replayed batch
 replaces its own partitions, and a game leaves by its partitions alone, so that
-no file another step has read is ever rewritten.
+no file another step has read is ever rewritten. An empty game name is no name.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from hashlib import md5
+from itertools import islice
+from urllib.parse import unquote
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.plans.staging import stage
+from feedloom.plans.staging import remove
 
 PARTITIONS = ("batch_id", "game_name")
 _OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+# Partitions one statement drops.
+_AT_ONCE = 200
+_NO_NAME = "__HIVE_DEFAULT_PARTITION__"
 
 
 def use_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -58,12 +64,15 @@ def batch_name(checkpoint: str, number: int) -> str:
 def write_batch(rows: DataFrame, table: str, batch_id: str) -> None:
     """Make ``rows`` the content of one batch; written again, it replaces itself.
 
-    Rows are spread by game before the write; adaptive execution splits a game
-    that fills more than one task and merges the small ones.
+    Partitions that an earlier attempt left under this batch go first, also those of
+    games that are not in it any more. Rows are spread by game before the write;
+    adaptive execution splits a game that fills more than one task and merges the
+    small ones.
     """
     spark = rows.sparkSession
     columns = spark.table(table).columns
     batch = rows.withColumn("batch_id", F.lit(batch_id)).select(*columns)
+    drop_partitions(spark, table, {"batch_id": batch_id})
     before = spark.conf.get(_OVERWRITE)
     spark.conf.set(_OVERWRITE, "dynamic")
     try:
@@ -72,6 +81,26 @@ def write_batch(rows: DataFrame, table: str, batch_id: str) -> None:
         spark.conf.set(_OVERWRITE, before)
 
 
+def drop_partitions(spark: SparkSession, table: str, of: dict[str, str]) -> None:
+    """Drop all partitions of a batch or of a game.
+
+    Their names come from the catalog, no data is read, and a statement drops a
+    bounded number of them.
+    """
+    spec = ", ".join(f"{name}={_literal(value)}" for name, value in of.items())
+    names = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").toLocalIterator()
+    specs = (_partition(row[0]) for row in names)
+    while some := list(islice(specs, _AT_ONCE)):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(some))
+
+
+def _partition(path: str) -> str:
+    """``a=1/b=2`` as the partition of a statement; values are escaped as in a path."""
+    values = dict(part.split("=", 1) for part in path.split("/"))
+    shown = {k: "NULL" if v == _NO_NAME else _literal(unquote(v)) for k, v in values.items()}
+    return "PARTITION (" + ", ".join(f"{k}={v}" for k, v in shown.items()) + ")"
+
+
 def items_of(spark: SparkSession, table: str) -> DataFrame:
     """Rows of an item table without the batch they came in."""
     return spark.table(table).drop("batch_id")
@@ -98,6 +127,8 @@ def audit_counts(spark: SparkSession, tables: Sequence[str], game_name: str) ->
         .select(F.lit(table.split(".")[-1].strip("`")).alias("table_name"), "row_count")
         for table in tables
     ]
+    if not counts:
+        return spark.createDataFrame([], "table_name string, row_count long")
     result = counts[0]
     for count in counts[1:]:
         result = result.unionByName(count)
@@ -107,27 +138,33 @@ def audit_counts(spark: SparkSession, tables: Sequence[str], game_name: str) ->
 def delete_game(spark: SparkSession, tables: Sequence[str], game_name: str) -> None:
     """Remove every row of one game from every table."""
     for table in tables:
-        own = spark.table(table).where(F.col("game_name") == game_name)
-        if "batch_id" in own.columns:
-            _drop_partitions(own, table, game_name)
+        if "batch_id" in spark.table(table).columns:
+            drop_partitions(spark, table, {"game_name": game_name})
         else:
             _rewrite_without(spark, table, game_name)
 
 
-def _drop_partitions(own: DataFrame, table: str, game_name: str) -> None:
-    # One short name per batch; no other column is read.
-    batches = [row["batch_id"] for row in own.select("batch_id").distinct().collect()]
-    if batches:
-        game = _literal(game_name)
-        specs = [f"PARTITION (batch_id={_literal(b)}, game_name={game})" for b in sorted(batches)]
-        own.sparkSession.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(specs))
-
-
 def _rewrite_without(spark: SparkSession, table: str, game_name: str) -> None:
-    # Spark will not overwrite a table it reads, so what stays is written down first.
+    """Write what stays beside the table and turn the table to it, in one change of the catalog.
+
+    A crash before that change leaves the table as it was.
+    """
     others = ~F.col("game_name").eqNullSafe(game_name)
-    kept = stage(spark.table(table).where(others), "kept")
-    kept.write.mode("overwrite").insertInto(table)
+    old = location(spark, table)
+    new = f"{old.rstrip('/').split('/_kept-')[0]}/_kept-{uuid4().hex}"
+    spark.table(table).where(others).write.parquet(new)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(new)}")
+    spark.catalog.refreshTable(table)
+    _remove_files(spark, old)
+
+
+def _remove_files(spark: SparkSession, folder: str) -> None:
+    """Delete the files of a folder, but not the folders of later versions in it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    for status in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path):
+        if status.isFile():
+            remove(spark, status.getPath().toString())
 
 
 def _literal(text: str) -> str:

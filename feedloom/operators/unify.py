@@ -77,7 +77,7 @@ def flatten_author(reviews: DataFrame, keep: Sequence[str] = ("recommendationid"
     """The author map as seven ``author_…`` columns, counts as numbers."""
     fields = []
     for field in schemas.AUTHOR_FIELDS:
-        value = F.col("author")[field]
+        value = F.col("author")[schemas.AUTHOR_KEYS.get(field, field)]
         value = value if field == "steamid" else value.cast("long")
         fields.append(value.alias(f"author_{field}"))
     return reviews.select(*keep, *fields)

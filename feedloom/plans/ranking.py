@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedloom.plans.staging import stage
 
-# What one task is given to rank of a single group.
+# What one task is given to rank of a single group; a bound on memory, results do not depend on it.
 ROWS_PER_TASK = 1_000_000
 
 _TRIM = "spark.sql.optimizer.windowGroupLimitThreshold"
@@ -29,7 +29,10 @@ def first_n(
     Every task sends at most ``n`` rows per group into the shuffle. That is
     enough for a small ``n``. Otherwise pass ``bucket``, an integer that never
     decreases along ``order``: a histogram of it, a few numbers per group, tells
-    which rows can be among the first ``n``, and the others stay where they are.
+    which rows can be among the first ``n``, and the others stay where they are while
+    the cut-offs, a line per group, are small enough to broadcast; beyond that all rows meet
+    their cut-off in a shuffle by group. The histogram and the cut-offs are jobs that run
+    while the plan is made.
     If even those are too many for one task, because a third of all rows fell
     into one bucket, they are ranked in slices by the hash of ``slice_on`` first,
     as often as it takes.

@@ -16,8 +16,7 @@ from feedloom.operators.extraction import gold_items, gold_topics
 from feedloom.operators.inference import Model, infer
 from feedloom.plans.ranking import first_n
 from feedloom.plans.staging import stage
-from feedloom.schemas import CATEGORIES
-from feedloom.sources.bounds import hours_back
+from feedloom.schemas import CATEGORIES, SENTIMENTS
 
 # Column heads of the five tables, in the order they appear in a report.
 TABLES = {
@@ -32,6 +31,8 @@ TABLES = {
     "sub_categories": ("category", "sub_category", "sentiment", "count"),
     "items": ("content_type", "translated_content_text"),
 }
+# The line of all sentiment words that are not known ones.
+OTHER_VALUES = "other values"
 TITLES = {
     "total": "Feedback items",
     "overall": "Overall sentiment",
@@ -42,10 +43,8 @@ TITLES = {
 
 
 def report_items(items: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` newest items of every game."""
-    order = [F.desc("timestamp"), F.col("content_id")]
-    bucket = hours_back(F.col("timestamp"))
-    return first_n(items, ["game_name"], order, n, slice_on="content_id", bucket=bucket)
+    """The ``n`` newest items of every game; each task sends at most ``n`` per game."""
+    return first_n(items, ["game_name"], [F.desc("timestamp"), F.col("content_id")], n)
 
 
 def report_scope(items: DataFrame, update_type: str, game_name: str | None = None) -> DataFrame:
@@ -60,9 +59,10 @@ def markdown_tables(items: DataFrame, rated: DataFrame, n_items: int = 10) -> Da
 
     ``rated`` holds the topic rows of ``items``. Items and topics are each
     counted once, and the lines of all tables come together in one grouping by
-    game. A game adds only its aggregates to it, never its items.
+    game. A game adds only its aggregates to it, never its items, and a bounded number of
+    them: one line per known sentiment and one for all other words, one line per category.
     """
-    overall = metrics.overall_sentiment(items)
+    overall = _few_values(metrics.overall_sentiment(items))
     total = overall.groupBy("game_name").agg(F.sum("number_of_items").alias("total_items"))
     counts = metrics.subcategory_counts(rated)
     newest_first = -F.unix_micros("timestamp")
@@ -114,6 +114,16 @@ def _lines(
     )
 
 
+def _few_values(overall: DataFrame) -> DataFrame:
+    """Counts of the known sentiments and of no answer; all other words together."""
+    word = F.col("overall_sentiment")
+    known = word.isNull() | word.isin(*SENTIMENTS)
+    named = overall.withColumn("overall_sentiment", F.when(known, word).otherwise(OTHER_VALUES))
+    return named.groupBy("game_name", "overall_sentiment").agg(
+        F.sum("number_of_items").alias("number_of_items")
+    )
+
+
 def _category_sums(counts: DataFrame) -> DataFrame:
     """The category pivot out of finer counts, so that topics are joined once."""
     return counts.groupBy("game_name", "category").agg(

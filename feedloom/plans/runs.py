@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import replace
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.operators.metrics import distinct_game_sources
-from feedloom.operators.tables import items_of, save_reports
+from feedloom.operators.tables import create_item_table, items_of, save_reports
+from feedloom.operators.unify import conform, name_games, unify_play, unify_steam
 from feedloom.plans.reports import Request, build_reports_from_parsed
-from feedloom.sources.ingest import ingest
-from feedloom.streaming.chain import BRONZE, PARSED, REPORTS, Chain, refresh
-from feedloom.streaming.upsert import upsert
+from feedloom.plans.staging import scratch
+from feedloom.sources import landed
+from feedloom.sources.ingest import content_type_of, ingest
+from feedloom.streaming.chain import BRONZE, PARSED, REPORTS, Chain, checkpoints_of, refresh
+from feedloom.streaming.upsert import upsert, upsert_stream
+
+Options = Mapping[str, Mapping[str, object]]
 
 
 def run_new_game(
@@ -32,12 +38,14 @@ def run_new_game(
 
     ``request`` says for which days and readers; its game is this one.
     """
-    rows = ingest(spark, content_type, path, app_id=app_id, game_name=game_name, **options)
-    upsert(rows, chain.table(BRONZE))
+    own = content_type_of(content_type)
+    with scratch(spark):
+        rows = ingest(spark, own, path, app_id=app_id, game_name=game_name, **options)
+        upsert(rows, chain.table(BRONZE), chain.keys)
     refresh(spark, chain)
     # A forum names its game after itself.
-    own = app_id if content_type in (schemas.FORUM, schemas.FORUM_ALIAS) else game_name
-    write_reports(spark, chain, replace(request, update_type="NEW_GAME", game_name=own))
+    game = app_id if own == schemas.FORUM else game_name
+    write_reports(spark, chain, replace(request, update_type="NEW_GAME", game_name=game))
 
 
 def run_refresh(
@@ -45,32 +53,80 @@ def run_refresh(
     chain: Chain,
     paths: Mapping[str, str],
     games: DataFrame,
-    **options: object,
+    options: Options | None = None,
 ) -> None:
     """Ingest every known game again, from the sources it came from, and enrich.
 
     ``paths`` gives the landed files per content type, ``games`` the app id of
-    each game (``content_type``, ``app_id``, ``game_name``). All games of a source
-    are read in one job.
+    each game (``content_type``, ``app_id``, ``game_name``), ``options`` what a
+    source is to be ingested with. All games of a source are read in one job. Review
+    files that a source without options holds are read once: later runs read what
+    landed since, and a game that is added later brings its older files itself.
+
+    A known source without a path, or a known game without an app id, is an error
+    before anything is read.
     """
-    known = distinct_game_sources(items_of(spark, chain.table(BRONZE)))
-    rows = None
-    for content_type, path in paths.items():
-        own = known.where(F.col("content_type") == content_type).select("game_name")
-        if content_type == schemas.FORUM:
-            apps = own.select(F.col("game_name").alias("app_id"), "game_name")
-        else:
-            listed = games.where(F.col("content_type") == content_type)
-            apps = listed.join(own, "game_name", "left_semi").select("app_id", "game_name")
-        found = ingest(spark, content_type, path, games=apps, **options)
-        rows = found if rows is None else rows.unionByName(found)
-    if rows is not None:
-        upsert(rows, chain.table(BRONZE))
+    paths = {content_type_of(name): path for name, path in paths.items()}
+    options = {content_type_of(name): chosen for name, chosen in (options or {}).items()}
+    create_item_table(spark, chain.table(BRONZE), schemas.FEEDBACK)
+    with scratch(spark):
+        known = distinct_game_sources(items_of(spark, chain.table(BRONZE)))
+        _check(known, paths, games)
+        for content_type, path in paths.items():
+            own = known.where(F.col("content_type") == content_type).select("game_name")
+            if content_type == schemas.FORUM:
+                apps = own.select(F.col("game_name").alias("app_id"), "game_name")
+            else:
+                listed = games.where(F.col("content_type") == content_type)
+                apps = listed.join(own, "game_name", "left_semi").select("app_id", "game_name")
+            chosen = options.get(content_type, {})
+            if chosen or content_type not in _STREAMED:
+                rows = ingest(spark, content_type, path, games=apps, **chosen)
+                upsert(rows, chain.table(BRONZE), chain.keys)
+            else:
+                _upsert_landed(spark, chain, content_type, path, apps)
     refresh(spark, chain)
 
 
+# Sources whose rows stand alone; a comment may land before its post and is read again each time.
+_STREAMED = {
+    schemas.STEAM: (landed.read_steam, unify_steam),
+    schemas.PLAY: (landed.read_play, unify_play),
+}
+
+
+def _upsert_landed(
+    spark: SparkSession, chain: Chain, content_type: str, path: str, apps: DataFrame
+) -> None:
+    """Upsert what has landed since the last run of the same source and games.
+
+    Which games are known is part of the checkpoint's name: with another set, all files
+    are read again, so that no game misses what landed before it was known.
+    """
+    read, unify = _STREAMED[content_type]
+    rows = conform(unify(name_games(read(spark, path, stream=True), apps)))
+    facts = apps.agg(F.count(F.lit(1)), F.sum(F.xxhash64("app_id", "game_name").cast("decimal(38,0)"))).first()
+    name = md5(f"{content_type} {path} {tuple(facts)}".encode()).hexdigest()[:12]
+    checkpoint = f"{checkpoints_of(spark, chain)}/landed-{name}"
+    upsert_stream(rows, chain.table(BRONZE), checkpoint, chain.keys)
+
+
+def _check(known: DataFrame, paths: Mapping[str, str], games: DataFrame) -> None:
+    sources = {row["content_type"] for row in known.select("content_type").distinct().limit(100).collect()}
+    missing = sorted(str(s) for s in sources - set(paths))
+    if missing:
+        raise ValueError(f"no path for known content types: {', '.join(missing)}")
+    listed = games.select("content_type", "game_name")
+    unlisted = known.where(F.col("content_type") != schemas.FORUM)
+    unlisted = unlisted.join(listed, ["content_type", "game_name"], "left_anti").limit(10).collect()
+    if unlisted:
+        named = sorted(f"{row['game_name']} ({row['content_type']})" for row in unlisted)
+        raise ValueError(f"no app id for known games, among them: {', '.join(named)}")
+
+
 def write_reports(spark: SparkSession, chain: Chain, request: Request) -> None:
     """Build reports out of the parsed table and save them."""
-    parsed = items_of(spark, chain.table(PARSED))
-    reports = build_reports_from_parsed(parsed, request, chain.categories)
-    save_reports(reports, chain.table(REPORTS), request.update_type)
+    with scratch(spark):
+        parsed = items_of(spark, chain.table(PARSED))
+        reports = build_reports_from_parsed(parsed, request, chain.categories)
+        save_reports(reports, chain.table(REPORTS), request.update_type)

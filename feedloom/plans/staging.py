@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a local session may go without."""
+    """The folder named in ``spark.checkpoint.dir``; a local session without one uses its warehouse."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="feedloom-"))
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+        context.setCheckpointDir(folder)
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
@@ -30,10 +35,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage (a lost executor re-reads files, it does not run a model
     again) and gives the planner the true size, so that a join with the result
     is broadcast only while it is below ``spark.sql.autoBroadcastJoinThreshold``.
-    All such tables lie in ``staged`` below the shared folder and may be removed
-    once the run that wrote them is over.
+    All such tables lie in ``staged`` below the shared folder; those of a
+    :func:`scratch` block go when it ends.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, f"staged/{name}")
+    run = _RUN.get()
+    path = fresh_path(spark, f"staged/{name}" if run is None else f"{run}/{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside the block is removed at its end.
+
+    For steps that write their result before they return. A block inside another
+    one leaves the removal to it.
+    """
+    if _RUN.get() is not None:
+        yield
+        return
+    run = f"staged/run-{uuid4().hex}"
+    token = _RUN.set(run)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        remove(spark, f"{shared_dir(spark)}/{run}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it lies in; a missing one is no error."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(folder, True)

@@ -36,6 +36,8 @@ AUTHOR_FIELDS = (
     "playtime_at_review",
     "playtime_at_last_two_weeks",
 )
+# Payloads have this field under another name than the tables.
+AUTHOR_KEYS = {"playtime_at_last_two_weeks": "playtime_last_two_weeks"}
 STEAM_METADATA = (
     "author",
     "comment_count",
@@ -86,7 +88,8 @@ FORUM_COMMENT = (
     "created_utc timestamp"
 )
 
-# The one schema every source is mapped onto, and the bronze table holds.
+# The one schema every source is mapped onto, and the bronze table holds. This and the column
+# lists below are fixed values too: other systems read these tables.
 FEEDBACK = (
     "content_id string, content_type string, game_name string, content_text string, "
     "timestamp timestamp, author_id string, content_metadata string"
@@ -127,7 +130,3 @@ ITEMS = (
 TOPICS = (
     "content_id string, game_name string, category string, sentiment string, sub_category string"
 )
-REPORTS = (
-    "game_name string, persona string, report_date timestamp, report_contents string, "
-    "start_date string, end_date string"
-)

@@ -35,10 +35,10 @@ def newest_by_language(
     time: Column,
     id_col: str,
     n: int = 10_000,
-    languages: Sequence[str] = schemas.PLAY_LANGUAGES,
+    languages: Sequence[str] | None = schemas.PLAY_LANGUAGES,
 ) -> DataFrame:
-    """At most ``n`` newest rows for each group and supported language."""
-    known = df.where(F.col("language").isin(*languages))
+    """At most ``n`` newest rows for each group and language; of all languages if none are named."""
+    known = df if languages is None else df.where(F.col("language").isin(*languages))
     return newest(known, [*by, "language"], time, id_col, n)
 
 

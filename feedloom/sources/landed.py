@@ -15,7 +15,8 @@ from feedloom import schemas
 def _json(
     spark: SparkSession, path: str, ddl: str, *, stream: bool, multiline: bool = False
 ) -> DataFrame:
-    reader = spark.readStream if stream else spark.read
+    # A stream reads files of any age: a copy tool may keep the times of files.
+    reader = spark.readStream.option("maxFileAge", "36500d") if stream else spark.read
     return reader.schema(ddl).option("multiLine", multiline).json(path)
 
 

@@ -24,7 +24,7 @@ from feedloom.operators.tables import (
     location,
     write_batch,
 )
-from feedloom.plans.staging import shared_dir
+from feedloom.plans.staging import scratch, shared_dir
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -37,9 +37,11 @@ ITEMS = "feedback_content_gold"
 TOPICS = "feedback_content_sentiment_gold"
 REPORTS = "feedback_content_reports"
 
-# Up to this many games of a batch are listed to find their partitions.
+# Up to this many games of a batch are listed to find their partitions; others are found by the key.
 MAX_LISTED_GAMES = 1000
 
+# No file is too old to be read, whatever arrived before it.
+MAX_FILE_AGE = "36500d"
 
 # One store writes languages out.
 LANGUAGE_NAMES = {"french": "fr", "german": "de", "spanish": "es", "latam": "es"}
@@ -66,6 +68,8 @@ class Chain:
     files_per_batch: int | None = None
     # Called after parsing with the rows and the violations of each rule, per batch.
     on_quality: Callable[[Mapping[str, int]], None] | None = None
+    # What makes an item one and the same, in all tables; ``game_name`` always belongs to it downstream.
+    keys: Sequence[str] = ("content_id",)
 
     def table(self, name: str) -> str:
         return f"`{self.database}`.`{name}`"
@@ -79,7 +83,7 @@ def new_rows(
     Only new files are read. Removing a game's partitions upstream is neither an
     error nor passed on.
     """
-    reader = spark.readStream.schema(item_table_schema(ddl))
+    reader = spark.readStream.schema(item_table_schema(ddl)).option("maxFileAge", MAX_FILE_AGE)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(location(spark, table)).drop("batch_id")
@@ -97,24 +101,27 @@ def append_table(
 
     A batch replaces its own partitions, so one that was cut short leaves
     nothing behind. A replayed batch makes new files, which the next table sees
-    again; rows whose key an earlier batch of that table holds are left out.
+    again; rows whose key another batch of the same game holds are left out. What a
+    batch stages is removed after its write.
     """
     spark = source.sparkSession
     create_item_table(spark, table, ddl)
 
     def write(batch: DataFrame, number: int) -> None:
         name = batch_name(checkpoint, number)
-        write_batch(transform(_unseen(batch, table, name, keys)), table, name)
+        with scratch(batch.sparkSession):
+            write_batch(transform(_unseen(batch, table, name, keys)), table, name)
 
     stream = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return stream.trigger(availableNow=True).start()
 
 
 def _unseen(batch: DataFrame, table: str, name: str, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key no other batch of the same game holds.
+    """Rows whose key no other batch of the same game holds; NULL equals NULL.
 
-    A batch of few games looks at their partitions only. Without any, as for a
-    new game, nothing is read at all; otherwise the key columns are.
+    A batch of few games looks at their partitions only, which changes no result:
+    the game is part of the key. Without any, as for a new game, nothing is read
+    at all; otherwise the key columns are.
     """
     earlier = batch.sparkSession.table(table).where(F.col("batch_id") != name)
     games = batch.select("game_name").distinct().limit(MAX_LISTED_GAMES + 1).collect()
@@ -124,39 +131,45 @@ def _unseen(batch: DataFrame, table: str, name: str, keys: Sequence[str]) -> Dat
         earlier = earlier.where(own | F.col("game_name").isNull() if None in names else own)
     if earlier.isEmpty():
         return batch
-    return not_yet_in(batch, earlier, keys)
+    return not_yet_in(batch, earlier, [*keys, *({"game_name"} - set(keys))])
 
 
 def stages(
-    chain: Chain, observed: list[Observation] | None = None
+    chain: Chain, observed: list[Observation | None] | None = None
 ) -> list[tuple[str, str, str, str, Transform]]:
     """Source table and columns, target table and columns, and what lies between.
 
-    With ``observed``, the parsing of every batch adds its counts to it.
+    With ``observed``, the parsing of every batch adds its counts to it, or None if
+    it had no rows left.
     """
     parsed = schemas.parsed_ddl(chain.categories)
+    # Topics name their item by id and game; a wider key is carried along.
+    carried = [k for k in chain.keys if k not in ("content_id", "game_name")]
+    kinds = {f.name: f.dataType.simpleString() for f in item_table_schema(parsed)}
+    topics_ddl = ", ".join([schemas.TOPICS, *[f"`{k}` {kinds[k]}" for k in carried]])
 
     def parse(batch: DataFrame) -> DataFrame:
         observation = None
         if observed is not None:
-            observation = Observation()
+            # Of rows that are all known nothing is left to observe.
+            observation = None if batch.isEmpty() else Observation()
             observed.append(observation)
         return extraction.parsed(batch, chain.categories, chain.rules, observation)
 
-    topics = partial(extraction.gold_topics, categories=chain.categories)
+    topics = partial(extraction.gold_topics, categories=chain.categories, carry=carried)
     return [
         (BRONZE, schemas.FEEDBACK, TRANSLATED, schemas.TRANSLATED, chain.translate),
         (TRANSLATED, schemas.TRANSLATED, EXTRACTED, schemas.EXTRACTED, chain.extract),
         (EXTRACTED, schemas.EXTRACTED, PARSED, parsed, parse),
         (PARSED, parsed, ITEMS, schemas.ITEMS, extraction.gold_items),
-        (PARSED, parsed, TOPICS, schemas.TOPICS, topics),
+        (PARSED, parsed, TOPICS, topics_ddl, topics),
     ]
 
 
 def refresh(spark: SparkSession, chain: Chain) -> None:
     """Carry new bronze rows through all tables. Tables with the same source are
     filled side by side, the others one after the other."""
-    checkpoints = chain.checkpoints or f"{shared_dir(spark)}/{chain.database}-streams"
+    checkpoints = checkpoints_of(spark, chain)
     observed = None if chain.on_quality is None else []
     for source, group in groupby(stages(chain, observed), key=itemgetter(0)):
         running = []
@@ -164,8 +177,9 @@ def refresh(spark: SparkSession, chain: Chain) -> None:
             for _, source_ddl, target, target_ddl, transform in group:
                 rows = new_rows(spark, chain.table(source), source_ddl, chain.files_per_batch)
                 checkpoint = f"{checkpoints}/{target}"
+                name = chain.table(target)
                 running.append(
-                    append_table(rows, chain.table(target), target_ddl, transform, checkpoint)
+                    append_table(rows, name, target_ddl, transform, checkpoint, chain.keys)
                 )
             for stream in running:
                 stream.awaitTermination()
@@ -173,7 +187,12 @@ def refresh(spark: SparkSession, chain: Chain) -> None:
             for stream in running:
                 stream.stop()
     for counts in observed or []:
-        chain.on_quality(counts.get)
+        none = {"rows": 0, **dict.fromkeys(chain.rules, 0)}
+        chain.on_quality(none if counts is None else counts.get)
+
+
+def checkpoints_of(spark: SparkSession, chain: Chain) -> str:
+    return chain.checkpoints or f"{shared_dir(spark)}/{chain.database}-streams"
 
 
 def enrich(bronze: DataFrame, chain: Chain) -> tuple[DataFrame, DataFrame]:

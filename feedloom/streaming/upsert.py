@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom import schemas
-from feedloom.operators.merge import insert_only, newest_copy, not_yet_in
+from feedloom.operators.merge import insert_only, with_ids
 from feedloom.operators.tables import batch_name, create_item_table, write_batch
-from feedloom.plans.staging import stage
+from feedloom.plans.staging import scratch
 
 
 def upsert(
@@ -19,13 +19,14 @@ def upsert(
 ) -> None:
     """Add the rows whose key is new; rows already there stay as they are.
 
-    The batch is written down first: it is used twice, and only its true size
-    tells the planner whether its keys can be broadcast.
+    Rows without an id are told apart by all their columns. What is staged on the
+    way is removed.
     """
     spark = rows.sparkSession
     create_item_table(spark, table, ddl)
-    batch = stage(newest_copy(rows, keys), "batch")
-    write_batch(not_yet_in(batch, spark.table(table), keys), table, f"run-{uuid4().hex}")
+    with scratch(spark):
+        new = insert_only(with_ids(rows), spark.table(table), keys)
+        write_batch(new, table, f"run-{uuid4().hex}")
 
 
 def upsert_stream(
@@ -41,7 +42,8 @@ def upsert_stream(
     def write(batch: DataFrame, number: int) -> None:
         name = batch_name(checkpoint, number)
         earlier = batch.sparkSession.table(table).where(F.col("batch_id") != name)
-        write_batch(insert_only(batch, earlier, keys), table, name)
+        with scratch(batch.sparkSession):
+            write_batch(insert_only(with_ids(batch), earlier, keys), table, name)
 
     stream = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     stream.trigger(availableNow=True).start().awaitTermination()

@@ -173,3 +173,22 @@ def test_models_in_the_chain(spark):
     assert items.count() == 18 and items.where("translated_content_text = 'SAME'").count() == 18
     topics = spark.table(chain.table(streams.TOPICS))
     assert topics.groupBy("category", "sentiment").count().collect() == [("toxicity", "negative", 18)]
+
+
+@pytest.mark.parametrize("n", [60, 5000])
+def test_texts_are_dealt_by_number(spark, n):
+    def load():
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        return lambda texts: [str(part) for _ in texts]
+
+    df = spark.range(n).select(F.col("id").cast("string").alias("content_id"))
+    answered = inference.infer(df, F.concat(F.lit("text "), "content_id"), "out", load)
+    assert answered.select("out").distinct().count() > 1
+
+
+def test_directions_are_not_part_of_the_grouped_text(spark):
+    df = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", None)], "content_id string, content_text string")
+    answered = inference.infer(df, F.col("content_text"), "out", lambda: lambda texts: list(texts), directions="say: ")
+    assert {(r.content_id, r.out) for r in answered.collect()} == {("1", "say: a"), ("2", "say: b"), ("3", None)}

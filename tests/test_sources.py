@@ -76,7 +76,11 @@ def test_play(spark, tmp_path):
         {"reviewId": "1", "userName": "u", "content": "c", "score": 5, "at": "2024-01-02T03:04:05Z", "language": "en"},
         {"reviewId": "2", "userName": "u", "content": "c", "score": 1, "at": "2024-01-02T03:04:05Z", "language": "xx"},
     )
-    rows = ingest(spark, "Google Play Review", str(tmp_path), app_id="com.game", game_name="Game")
+    every = ingest(spark, "Google Play Review", str(tmp_path), app_id="com.game", game_name="Game")
+    assert sorted(r.content_id for r in every.collect()) == ["1", "2"]
+    rows = ingest(
+        spark, "Google Play Review", str(tmp_path), app_id="com.game", game_name="Game", languages=["en"]
+    )
     row = rows.withColumn("timestamp", F.col("timestamp").cast("string")).first()
     assert rows.count() == 1
     assert (row.content_id, row.game_name, row.author_id, row.timestamp) == ("1", "Game", "u", "2024-01-02 03:04:05")
@@ -121,3 +125,25 @@ def test_conform_orders_casts_and_needs_every_column(spark):
     assert tuple(unify.conform(row).first()) == ("1", "1", "1", "1", None, "1", "1")
     with pytest.raises(ValueError, match="missing columns: author_id"):
         unify.conform(row.drop("author_id"))
+
+
+def test_newest_edit_of_redelivered_reviews(spark, tmp_path):
+    old, new = review(1), review(1)
+    old.update(review="zzz", timestamp_updated=5)
+    new.update(review="aaa", timestamp_updated=9)
+    nameless = {**review(2), "recommendationid": None}
+    other = {**nameless, "review": "another"}
+    for n in range(3):
+        write(tmp_path / "app_id=1" / f"{n}.json", {"reviews": [old, new, nameless, other]})
+    rows = ingest(spark, "Steam Review", str(tmp_path)).collect()
+    assert sorted((r.content_id or "", r.content_text) for r in rows) == sorted(
+        [("1", "aaa"), ("", nameless["review"]), ("", "another")]
+    )
+
+
+def test_until(spark, tmp_path):
+    from datetime import datetime
+
+    write(tmp_path / "a.json", *[{"reviewId": str(d), "at": f"2024-01-0{d}T00:00:00Z", "language": "en"} for d in (1, 2, 3)])
+    rows = ingest(spark, "Google Play Review", str(tmp_path), app_id="g", until=datetime(2024, 1, 2))
+    assert sorted(r.content_id for r in rows.collect()) == ["1", "2"]

@@ -218,12 +218,12 @@ def test_without_a_shared_folder_only_a_local_session_runs():
             getCheckpointDir=lambda: state["folder"],
             setCheckpointDir=lambda folder: state.update(folder=f"{folder}/1"),
         )
-        return SimpleNamespace(conf={}, sparkContext=context)
+        return SimpleNamespace(conf={"spark.sql.warehouse.dir": "wh"}, sparkContext=context)
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(session("yarn"))
     local = session("local[2]")
-    assert shared_dir(local) == shared_dir(local)
+    assert shared_dir(local) == shared_dir(local) == "wh/_shared/1"
 
 
 def test_game_and_range_reach_the_scan(spark, database):
@@ -236,3 +236,92 @@ def test_game_and_range_reach_the_scan(spark, database):
     assert [r.content_id for r in chosen.collect()] == ["2"]
     only = streams.new_rows(spark, table, schemas.FEEDBACK)
     assert dict(only.dtypes)["game_name"] == "string"
+
+
+def test_a_batch_written_again_leaves_no_game_behind(spark, database):
+    table = f"{database}.bronze"
+    tables.create_item_table(spark, table, schemas.FEEDBACK)
+    rows = feedback(spark, [("1", "a", "x", "2024-01-01"), ("2", ODD, "x", "2024-01-01"), ("3", None, "x", "2024-01-01")])
+    tables.write_batch(rows, table, "x")
+    tables.write_batch(rows, table, "other")
+    tables.write_batch(rows.where("content_id = '1'"), table, "x")
+    assert ids(spark, table) == ["1", "1", "2", "3"]
+
+
+def test_the_same_id_of_two_games(spark, database):
+    """A game's row stays whatever other games a batch holds, and however games are looked up."""
+    for listed in (0, 1000):
+        chain = streams.Chain(database, checkpoints=fresh_path(spark, "checkpoints"), keys=("content_id", "game_name"))
+        bronze = chain.table(streams.BRONZE)
+        spark.sql(f"DROP TABLE IF EXISTS {bronze}")
+        for name in (streams.TRANSLATED, streams.EXTRACTED, streams.PARSED, streams.ITEMS, streams.TOPICS):
+            spark.sql(f"DROP TABLE IF EXISTS {chain.table(name)}")
+        streams.MAX_LISTED_GAMES, before = listed, streams.MAX_LISTED_GAMES
+        try:
+            for rows in ([("1", "a", "good", "2024-01-01")], [("1", "a", "good", "2024-01-01"), ("1", "b", "bad", "2024-01-01")]):
+                upsert(feedback(spark, rows), bronze, chain.keys)
+                streams.refresh(spark, chain)
+        finally:
+            streams.MAX_LISTED_GAMES = before
+        found = spark.table(chain.table(streams.ITEMS)).collect()
+        assert sorted((r.content_id, r.game_name) for r in found) == [("1", "a"), ("1", "b")]
+
+
+def test_the_last_edit_wins(spark):
+    rows = feedback(spark, [("1", "g", "aaa", "2024-01-01"), ("1", "g", "zzz", "2024-01-01")])
+    when = F.when(F.col("content_text") == "zzz", "9").otherwise("5")
+    rows = rows.withColumn("content_metadata", F.concat(F.lit('{"timestamp_updated":'), when, F.lit("}")))
+    assert [r.content_text for r in merge.newest_copy(rows).collect()] == ["zzz"]
+
+
+def test_rows_of_null_keys_are_matched(spark):
+    left = spark.createDataFrame([(None, "a"), ("1", None), ("2", "b")], "content_id string, content_type string")
+    right = left.where("content_id IS NULL OR content_id = '1'")
+    assert [r.content_id for r in merge.not_yet_in(left, right, ["content_id", "content_type"]).collect()] == ["2"]
+
+
+def test_old_files_that_land_late_are_read(spark, database):
+    import os
+    import time
+
+    path = fresh_path(spark, "late").removeprefix("file:")
+    checkpoint = fresh_path(spark, "late-checkpoint")
+    rows = [feedback(spark, [(str(i), "g", "x", "2024-01-01")]) for i in range(2)]
+    for i, part in enumerate(rows):
+        part.coalesce(1).write.mode("append").parquet(path)
+        if i:
+            month_ago = time.time() - 30 * 86400
+            newest = max((f for f in os.listdir(path) if f.startswith("part-")), key=lambda f: os.path.getmtime(f"{path}/{f}"))
+            os.utime(f"{path}/{newest}", (month_ago, month_ago))
+        stream = spark.readStream.schema(schemas.FEEDBACK).option("maxFileAge", streams.MAX_FILE_AGE).parquet(path)
+        upsert_stream(stream, f"{database}.bronze", checkpoint)
+    assert ids(spark, f"{database}.bronze") == ["0", "1"]
+
+
+def test_nothing_staged_is_left_behind(spark, database):
+    import glob
+
+    root = shared_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{root}/staged/run-*"))
+    chain = streams.Chain(database, checkpoints=fresh_path(spark, "checkpoints"))
+    upsert(feedback(spark, [("1", "g", "good", "2024-01-01")]), chain.table(streams.BRONZE))
+    streams.refresh(spark, chain)
+    assert set(glob.glob(f"{root}/staged/run-*")) == before
+
+
+def test_audit_of_no_tables(spark):
+    assert tables.audit_counts(spark, [], "g").count() == 0
+
+
+def test_refresh_says_what_it_cannot_do(spark, database):
+    from feedloom.plans.runs import run_refresh
+
+    chain = streams.Chain(database, checkpoints=fresh_path(spark, "checkpoints"))
+    upsert(feedback(spark, [("1", "g", "good", "2024-01-01")]), chain.table(streams.BRONZE))
+    games = spark.createDataFrame([], "content_type string, app_id string, game_name string")
+    with pytest.raises(ValueError, match="no path for known content types: Steam Review"):
+        run_refresh(spark, chain, {}, games)
+    with pytest.raises(ValueError, match="no app id for known games, among them: g"):
+        run_refresh(spark, chain, {"Steam Review": "/nowhere"}, games)
+    with pytest.raises(ValueError, match="unknown content type"):
+        run_refresh(spark, chain, {"Stream Review": "/nowhere"}, games)
