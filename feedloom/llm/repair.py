@@ -179,9 +179,10 @@ class Shard:
 
 # --- encoding --------------------------------------------------------------------------
 
-#: Characters whose classes and lower case are the same in every library: printable ASCII and Latin letters and signs.
-_SIMPLE = re.compile("[!-~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ]+")
-_L = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
+#: Characters whose classes and lower case are the same in every library: printable ASCII, and Latin letters
+#: and signs whose lower case is among them as well.
+_SIMPLE = re.compile("[!-~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ]+")
+_L = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
 #: How the tokenizer's own file cuts a lower-case word of such characters.
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[0-9]|[^{_L}0-9]+")
 

@@ -63,6 +63,13 @@ def test_words_are_encoded_as_texts(tokenizer, texts):
     assert ends.tolist() == np.cumsum([len(e) for e in expected]).tolist()
 
 
+def test_every_character_in_a_word(tokenizer):
+    encoder = repair.load(_WORDS, 1)
+    for c in range(0x21, 0x3100):
+        for text in (chr(c) + "a", "Ab" + chr(c) + "."):
+            assert encoder.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1], hex(c)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=200), st.integers(1, 8))
 def test_any_ids_come_back(ids, rounds):
