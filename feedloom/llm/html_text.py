@@ -4,7 +4,8 @@ Every node of a page has a density: its characters per tag, lowered by the share
 characters and tags that belong to links. The node whose children's densities have
 the largest sum holds the article. The lowest density on its way up to the body is
 a threshold: other subtrees count as content only from it upwards, and each of those
-gives its own node of largest sum. Content inside an ``article`` (else ``main``) element is that element.
+gives its own node of largest sum. A title (``h1``) beside the content belongs to it. Content inside
+an ``article`` (else ``main``) element is that element.
 Elements that are never article text leave the tree first: by tag (menus, forms,
 scripts), or by the words of their class, id or role (adverts, notices, comments).
 
@@ -262,6 +263,12 @@ def content(nodes: list[Node]) -> list[Node]:
         if up in top and top[node].total > top[up].total:
             top[up] = top[node]
     chosen = {best} | {top[n] for n in kept if n.density >= threshold and n.tag not in ("body", "html")}
+    # A title beside the content, or beside what the content lies in, belongs to it.
+    above, node = set(), best.up
+    while node is not None:
+        above.add(node)
+        node = node.up
+    chosen |= {n for n in kept if n.tag == "h1" and n.up in above}
     roots, covered = [], set()
     for node in kept:
         if node.up in covered:

@@ -217,6 +217,12 @@ def test_two_sections_of_one_main():
     assert [b[:4] for b in html_text.main_text(page + "</main>").split("\n\n")] == ["A", "word", "B", "word"]
 
 
+def test_title_beside_the_content():
+    text = "".join(f"<p>{'some words of the text ' * 8}</p>" for _ in range(4))
+    page = f"<body><div><ul>{'<li><a href=x>menu entry</a>' * 9}</ul></div><div><h1>Title</h1><div>{text}</div></div><div>end</div>"
+    assert [b[:5] for b in html_text.main_text(page).split("\n\n")] == ["Title", *["some "] * 4]
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     from html import unescape
