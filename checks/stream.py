@@ -178,11 +178,13 @@ def stream_composite_key(spark, sf):
     "stream_quality",
     sql(
         "SELECT 1 AS run, count(*) AS row_count, count(*) FILTER (overall IS NULL) AS broken "
-        "FROM parsed_all UNION ALL SELECT 2, 0, 0"
+        "FROM parsed_all UNION ALL "
+        "SELECT 2, count(*), count(*) FROM parsed_all WHERE overall IS NULL"
     ),
 )
 def stream_quality(spark, sf):
-    """Rows and violations of a run, and of one with new checkpoints that finds all rows known."""
+    """Rows and violations of a run, and of one with new checkpoints: broken rows, which no
+    table holds, are parsed and dropped again, all others are known."""
     found = []
     chain = chain_on(spark, "counted", on_quality=lambda counts: found.append((run, dict(counts))))
     upsert(views.feedback(spark, sf), chain.table(streams.BRONZE))

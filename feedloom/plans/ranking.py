@@ -57,7 +57,10 @@ def _rank(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) ->
 
 
 def _trim_in_tasks(spark: SparkSession, n: int) -> None:
-    """Let Spark cut groups to ``n`` rows before the shuffle, not only up to 1000."""
+    """Let Spark cut groups to ``n`` rows before the shuffle, not only up to 1000.
+
+    The setting stays raised in the session: the plan is made when the result is used.
+    """
     if int(spark.conf.get(_TRIM)) < n:
         spark.conf.set(_TRIM, n)
 

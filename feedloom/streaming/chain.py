@@ -8,7 +8,7 @@ from functools import partial
 from itertools import groupby
 from operator import itemgetter
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,7 +16,7 @@ from feedloom import schemas
 from feedloom.functions.offline import glossary_translate, lexicon_extract
 from feedloom.operators import extraction
 from feedloom.operators.merge import not_yet_in
-from feedloom.operators.quality import VALID_OVERALL
+from feedloom.operators.quality import VALID_OVERALL, expect_metrics
 from feedloom.operators.tables import (
     batch_name,
     create_item_table,
@@ -66,7 +66,7 @@ class Chain:
     categories: Sequence[str] = schemas.CATEGORIES
     rules: Mapping[str, str] = field(default_factory=lambda: dict(VALID_OVERALL))
     files_per_batch: int | None = None
-    # Called after parsing with the rows and the violations of each rule, per batch.
+    # Called after a run with the rows and the violations of each rule, per parsed batch.
     on_quality: Callable[[Mapping[str, int]], None] | None = None
     # What makes an item one and the same, in all tables; ``game_name`` always belongs to it downstream.
     keys: Sequence[str] = ("content_id",)
@@ -135,12 +135,11 @@ def _unseen(batch: DataFrame, table: str, name: str, keys: Sequence[str]) -> Dat
 
 
 def stages(
-    chain: Chain, observed: list[Observation | None] | None = None
+    chain: Chain, observed: list[Mapping[str, int]] | None = None
 ) -> list[tuple[str, str, str, str, Transform]]:
     """Source table and columns, target table and columns, and what lies between.
 
-    With ``observed``, the parsing of every batch adds its counts to it, or None if
-    it had no rows left.
+    With ``observed``, the parsing of every batch adds its counts to it.
     """
     parsed = schemas.parsed_ddl(chain.categories)
     # Topics name their item by id and game; a wider key is carried along.
@@ -149,12 +148,15 @@ def stages(
     topics_ddl = ", ".join([schemas.TOPICS, *[f"`{k}` {kinds[k]}" for k in carried]])
 
     def parse(batch: DataFrame) -> DataFrame:
-        observation = None
         if observed is not None:
-            # Of rows that are all known nothing is left to observe.
-            observation = None if batch.isEmpty() else Observation()
-            observed.append(observation)
-        return extraction.parsed(batch, chain.categories, chain.rules, observation)
+            # Counted in a pass of its own: a batch of which no row stays is written by
+            # an empty plan, which observes nothing.
+            wide = extraction.parsed_wide(batch, chain.categories)
+            # One row per rule; without rules only the rows are counted.
+            counts = expect_metrics(wide, chain.rules or {"rows": "true"}).collect()
+            dropped = {r["rule"]: r["dropped"] for r in counts if r["rule"] in chain.rules}
+            observed.append({"rows": counts[0]["passed"] + counts[0]["dropped"], **dropped})
+        return extraction.parsed(batch, chain.categories, chain.rules)
 
     topics = partial(extraction.gold_topics, categories=chain.categories, carry=carried)
     return [
@@ -187,8 +189,7 @@ def refresh(spark: SparkSession, chain: Chain) -> None:
             for stream in running:
                 stream.stop()
     for counts in observed or []:
-        none = {"rows": 0, **dict.fromkeys(chain.rules, 0)}
-        chain.on_quality(none if counts is None else counts.get)
+        chain.on_quality(counts)
 
 
 def checkpoints_of(spark: SparkSession, chain: Chain) -> str:
