@@ -185,6 +185,9 @@ _SIMPLE = re.compile("[!-~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ſ]+")
 _L = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
 #: How the tokenizer's own file cuts a lower-case word of such characters.
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[0-9]|[^{_L}0-9]+")
+#: Words of letters alone, but for the one letter whose lower case is two characters.
+_LETTERS = re.compile(f"(?:(?!\u0130)[{_L}])+")
+_STOPS = frozenset(b".,;:!?")
 
 
 class WordEncoder:
@@ -199,21 +202,22 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.end = end
+        self.numbers = list(range(self.tokenizer.get_vocab_size()))
         self._forget()
 
     def _forget(self) -> None:
         # White space is no word, so it can stand for the end of a document.
         self.known: dict[bytes, int] = {b"\n": 0}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
         self.flat = np.array([self.end], np.uint16)
         self.begin, self.length = np.zeros(1, np.int64), np.ones(1, np.int64)
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> tuple[int, ...]:
         found = self.pieces.get(piece)
         if found is None:
             # Printable ASCII stands for itself.
             shown = piece if piece.isascii() else mapped(piece.encode())
-            found = [t.id for t in self.model.tokenize(shown)]
+            found = tuple([self.numbers[t.id] for t in self.model.tokenize(shown)])
             self.pieces[piece] = found
         return found
 
@@ -224,9 +228,12 @@ class WordEncoder:
             text = word.decode()
             if word.isalpha():  # ASCII letters only
                 encoded[i] = self._piece(text.lower())
+            elif word[-1] in _STOPS and word[:-1].isalpha():
+                encoded[i] = self._piece(text[:-1].lower()) + self._piece(text[-1])
+            elif _LETTERS.fullmatch(text):
+                encoded[i] = self._piece(text.lower())
             elif "<|" not in text and _SIMPLE.fullmatch(text):
-                parts = _PIECES.findall(text.lower())
-                encoded[i] = self._piece(parts[0]) if len(parts) == 1 else list(chain.from_iterable(map(self._piece, parts)))
+                encoded[i] = tuple(chain.from_iterable(map(self._piece, _PIECES.findall(text.lower()))))
             else:
                 other.append(i)
         if other:
