@@ -255,10 +255,11 @@ class WordEncoder:
             words += text.encode().split()
             words.append(b"\n")
             counts[i] = len(words)
-        new = list(set(words) - self.known.keys())
-        if new and len(self.known) + len(new) > REMEMBERED:
+        found = set(words)
+        new = [w for w in found if w not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
             self._forget()
-            new = list(set(words) - self.known.keys())
+            new = [w for w in found if w not in self.known]
         if new:
             self._learn(new)
         index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
