@@ -160,11 +160,14 @@ def mix(
     source: str = "source",
     weights: Sequence[int] = (1, 2, 3),
     epochs: int = 3,
-) -> DataFrame:
-    """The cut of every source; see ``copies``. Runs jobs: sizes and times are written once."""
+) -> tuple[DataFrame, DataFrame]:
+    """Sizes and places of all documents, and the cut of every source; see ``copies``.
+
+    Runs jobs: words are counted once, sizes and times are written once.
+    """
     sizes = stage(sized(docs, doc_id, text, source), "mix-sizes")
     shares = stage(targets(sizes, weights, epochs), "mix-targets")
-    return stage(cuts(sizes, shares, epochs), "mix-cuts")
+    return sizes, stage(cuts(sizes, shares, epochs), "mix-cuts")
 
 
 def copies(of: Column, epoch: Column, last: Column) -> Column:
@@ -174,9 +177,7 @@ def copies(of: Column, epoch: Column, last: Column) -> Column:
 
 def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` of every document; ``taken`` counts repeats."""
-    ends = mix(docs, **options)
-    names = {k: options[k] for k in ("doc_id", "text", "source") if k in options}
-    rows = sized(docs, **names)
+    rows, ends = mix(docs, **options)
     return rows.join(ends, _same(rows, ends, "source")).select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * copies(F.col("place"), F.col("epoch"), F.col("last"))).alias("taken"),
@@ -188,7 +189,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Texts are not shuffled: a row is kept by its own place and the cut of its source.
     """
-    ends = mix(docs, **options).select(
+    _, ends = mix(docs, **options)
+    ends = ends.select(
         F.col("source").alias("_mix_source"), F.col("epoch").alias("_mix_epoch"), F.col("last").alias("_mix_last")
     )
     doc_id, text, source = (options.get(k, k) for k in ("doc_id", "text", "source"))
