@@ -24,6 +24,8 @@ _OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 # Partitions one statement drops.
 _AT_ONCE = 200
 _NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+# The table property that names a compaction under way.
+_UNDER_WAY = "feedloom.compacting"
 
 
 def use_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -94,13 +96,69 @@ def drop_partitions(spark: SparkSession, table: str, of: dict[str, str]) -> None
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(some))
 
 
+def _values(path: str) -> dict[str, str]:
+    """``a=1/b=2`` as names and values; values are escaped as in a path."""
+    parts = (part.split("=", 1) for part in path.split("/"))
+    return {name: unquote(value) for name, value in parts}
+
+
 def _partition(path: str) -> str:
-    """``a=1/b=2`` as the partition of a statement; values are escaped as in a path."""
-    values = dict(part.split("=", 1) for part in path.split("/"))
-    shown = {k: "NULL" if v == _NO_NAME else _literal(unquote(v)) for k, v in values.items()}
+    """``a=1/b=2`` as the partition of a statement."""
+    shown = {k: "NULL" if v == _NO_NAME else _literal(v) for k, v in _values(path).items()}
     return "PARTITION (" + ", ".join(f"{k}={v}" for k, v in shown.items()) + ")"
 
 
+def compact(spark: SparkSession, table: str, batches: int = 100) -> bool:
+    """Bring all batches of a table together once there are more than ``batches`` of them.
+
+    For a table whose rows every reading stream has seen, with no other writer at
+    work. The rows are written beside the batches, spread by game, in a folder that file
+    streams do not look into, so that none of them sees a row again. Then the catalog is turned
+    to it: the new partitions are added, the old ones dropped. A table property
+    says what is under way; :func:`finish_compaction` ends it after a crash.
+    """
+    finish_compaction(spark, table)
+    names = spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()
+    old = sorted({_values(row[0])["batch_id"] for row in names})
+    if len(old) <= batches:
+        return False
+    new = f"all-{uuid4().hex}"
+    folder = _compacted(spark, table, new)
+    rows = spark.table(table).drop("batch_id").hint("rebalance", "game_name")
+    rows.write.partitionBy("game_name").parquet(folder)
+    spark.createDataFrame([(b,) for b in old], "value string").write.text(f"{folder}/_old")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_UNDER_WAY}' = '{new}')")
+    finish_compaction(spark, table)
+    return True
+
+
+def finish_compaction(spark: SparkSession, table: str) -> None:
+    """Turn the catalog to the compacted rows, if a compaction is under way."""
+    set_now = {row[0]: row[1] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    new = set_now.get(_UNDER_WAY)
+    if new is None:
+        return
+    folder = _compacted(spark, table, new)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = (status.getPath() for status in files.listStatus(path) if status.isDirectory())
+    specs = (
+        f"{_partition(f'batch_id={new}/{p.getName()}')} LOCATION {_literal(p.toString())}"
+        for p in found
+        if p.getName().startswith("game_name=")
+    )
+    while some := list(islice(specs, _AT_ONCE)):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(some))
+    for row in spark.read.text(f"{folder}/_old").collect():
+        drop_partitions(spark, table, {"batch_id": row[0]})
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{_UNDER_WAY}')")
+    spark.catalog.refreshTable(table)
+
+
+def _compacted(spark: SparkSession, table: str, name: str) -> str:
+    return f"{location(spark, table).rstrip('/')}/_{name}"
+
+
 def items_of(spark: SparkSession, table: str) -> DataFrame:
     """Rows of an item table without the batch they came in."""
     return spark.table(table).drop("batch_id")

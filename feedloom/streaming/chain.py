@@ -19,6 +19,7 @@ from feedloom.operators.merge import not_yet_in
 from feedloom.operators.quality import VALID_OVERALL, expect_metrics
 from feedloom.operators.tables import (
     batch_name,
+    compact,
     create_item_table,
     item_table_schema,
     location,
@@ -70,6 +71,8 @@ class Chain:
     on_quality: Callable[[Mapping[str, int]], None] | None = None
     # What makes an item one and the same, in all tables; ``game_name`` always belongs to it downstream.
     keys: Sequence[str] = ("content_id",)
+    # Tables of more batches are compacted after a run, so that listings do not grow with runs.
+    most_batches: int = 100
 
     def table(self, name: str) -> str:
         return f"`{self.database}`.`{name}`"
@@ -170,7 +173,11 @@ def stages(
 
 def refresh(spark: SparkSession, chain: Chain) -> None:
     """Carry new bronze rows through all tables. Tables with the same source are
-    filled side by side, the others one after the other."""
+    filled side by side, the others one after the other.
+
+    At the end every row has been seen by the streams that read it, and tables of many
+    batches are compacted. One refresh runs at a time, and no upsert beside it.
+    """
     checkpoints = checkpoints_of(spark, chain)
     observed = None if chain.on_quality is None else []
     for source, group in groupby(stages(chain, observed), key=itemgetter(0)):
@@ -188,6 +195,8 @@ def refresh(spark: SparkSession, chain: Chain) -> None:
         finally:
             for stream in running:
                 stream.stop()
+    for name in (BRONZE, TRANSLATED, EXTRACTED, PARSED, ITEMS, TOPICS):
+        compact(spark, chain.table(name), chain.most_batches)
     for counts in observed or []:
         chain.on_quality(counts)
 

@@ -325,3 +325,29 @@ def test_refresh_says_what_it_cannot_do(spark, database):
         run_refresh(spark, chain, {"Steam Review": "/nowhere"}, games)
     with pytest.raises(ValueError, match="unknown content type"):
         run_refresh(spark, chain, {"Stream Review": "/nowhere"}, games)
+
+
+def test_many_batches_are_brought_together(spark, database, monkeypatch):
+    chain = streams.Chain(database, checkpoints=fresh_path(spark, "checkpoints"), most_batches=3)
+    bronze = chain.table(streams.BRONZE)
+    seen = []
+    for run in range(7):
+        upsert(feedback(spark, [(f"{run}{g}", name, "good", "2024-01-01") for g, name in enumerate(("a", ODD, None))]), bronze)
+        streams.refresh(spark, chain)
+        seen.append(len(spark.table(bronze).inputFiles()))
+    expected = sorted(f"{run}{g}" for run in range(7) for g in range(3))
+    for name in (streams.BRONZE, streams.TRANSLATED, streams.EXTRACTED, streams.PARSED, streams.ITEMS):
+        assert ids(spark, chain.table(name)) == expected
+        assert spark.sql(f"SHOW PARTITIONS {chain.table(name)}").count() <= 4 * 3
+    assert max(seen) <= 4 * 3
+    # A crash after the new partitions were added and before the old ones went.
+    monkeypatch.setattr(tables, "drop_partitions", lambda *_: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(RuntimeError, match="crash"):
+        tables.compact(spark, bronze, 0)
+    monkeypatch.undo()
+    tables.finish_compaction(spark, bronze)
+    assert ids(spark, bronze) == expected
+    streams.refresh(spark, chain)
+    assert ids(spark, chain.table(streams.ITEMS)) == expected
+    tables.delete_game(spark, [bronze], ODD)
+    assert ids(spark, bronze) == [i for i in expected if not i.endswith("1")]
