@@ -43,7 +43,7 @@ BLOCK = frozenset(
 NEVER = frozenset(
     _WORDS(
         "head nav footer aside form menu dialog button select option input label fieldset object embed applet canvas svg"
-        " math audio video map"
+        " audio video map"
     )
 ) | RAW
 #: Words of a class, id or role that mark what is not the article.
@@ -63,6 +63,7 @@ _ATTRIBUTE = re.compile(
     r"""(?:^|[\s"'/])(class|id|role|hidden|style|aria-hidden)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?(?=[\s/"']|$)""", re.I
 )
 _PART = re.compile(r"[a-z]+")
+_BESIDE = re.compile(r"(?:^|[-_])(?:has|no|with|without)[-_]")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 #: What a start tag closes, and where the search for it stops.
@@ -92,11 +93,11 @@ class Node:
         self.parts: list = []
 
 
-def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
+def _unwanted(tag: str, attributes: str, inside: bool, marks: bool) -> bool:
     """Whether an element is not article text. ``inside``: of an article or a main element."""
     if tag in NEVER or (tag == "header" and not inside):
         return True
-    return bool(attributes) and tag not in ("html", "body", "main") and _marked(attributes, inside)
+    return marks and bool(attributes) and tag not in ("html", "body", "main") and _marked(attributes, inside)
 
 
 def _marked(attributes: str, inside: bool) -> bool:
@@ -111,15 +112,17 @@ def _marked(attributes: str, inside: bool) -> bool:
             if "display:none" in value.replace(" ", "").lower():
                 return True
         else:
-            names = [n for n in value.split() if not n.startswith(("has-", "no-", "with-", "without-"))]
+            # What an element has, or has not, beside itself says nothing about it.
+            names = [_BESIDE.split(n)[0] for n in value.split()]
             words = set(_PART.findall(_CAMEL.sub(" ", " ".join(names)).lower()))
             if words & MARKS or ("header" in words and not inside and not words & {"article", "post", "entry", "story"}):
                 return True
     return False
 
 
-def parse(html: str) -> list[Node]:
-    """The elements of a page in page order; the first one is the root."""
+def parse(html: str, marks: bool = True) -> list[Node]:
+    """The elements of a page in page order; the first one is the root. ``marks``: whether
+    the words of a class, id or role count."""
     root = Node("html", None, False)
     nodes, stack, at, end = [root], [root], 0, len(html)
     open_now: Counter[str] = Counter()  # so that no search goes through a deep stack in vain
@@ -183,7 +186,7 @@ def parse(html: str) -> list[Node]:
             close(*_CLOSES[name])
         up = stack[-1]
         inside = open_now["article"] + open_now["main"] > 0
-        node = Node(name, up, up.gone or _unwanted(name, tag[3], inside))
+        node = Node(name, up, up.gone or _unwanted(name, tag[3], inside, marks))
         up.parts.append(node)
         nodes.append(node)
         if name in RAW:
@@ -314,8 +317,11 @@ def main_text(html: str | None) -> str:
     """The article of a page, its blocks joined by an empty line."""
     if not html:
         return ""
-    nodes = parse(html)
-    return "\n\n".join(text for root in content(nodes) for text in blocks(root))
+    for marks in (True, False):  # a page of which the marks leave nothing is read without them
+        found = [text for root in content(parse(html, marks)) for text in blocks(root)]
+        if found:
+            break
+    return "\n\n".join(found)
 
 
 def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

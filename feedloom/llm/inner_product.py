@@ -61,9 +61,9 @@ def rotation(rows: DataFrame, width: int) -> np.ndarray:
         at = np.flatnonzero(gram)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(gram.ravel()[at])], names=["at", "x"])
 
+    sums = rows.select("v").mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
     gram = np.zeros(width * width)
-    for at, x in rows.select("v").mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x")).toLocalIterator():
-        gram[at] = x
+    gram[sums["at"].to_numpy()] = sums["x"].to_numpy()
     _, vectors = np.linalg.eigh(gram.reshape(width, width))
     return np.ascontiguousarray(vectors[:, ::-1])
 

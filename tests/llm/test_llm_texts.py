@@ -206,6 +206,8 @@ def test_article_without_the_rest():
         ("<div>" * 20_000 + "deep", "deep"),
         ("<article><p>one<p>two</article>", "one\n\ntwo"),
         ("<body><article>t<script>x</article>", "t"),
+        ('<div class="content-with-sidebar"><p>text</p><div class="sidebar">x</div></div>', "text"),
+        ('<div class="ad"><p>nothing else</p></div>', "nothing else"),
     ],
 )
 def test_odd_pages(html, text):
