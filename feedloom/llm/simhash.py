@@ -155,10 +155,9 @@ def near_counts(distinct: DataFrame, order: list[int], radius: int) -> tuple[np.
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts.ravel()[at])], names=["at", "n"])
 
-    rows = distinct.select("fp").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    rows = distinct.select("fp").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(slices << SLICE)
-    for at, n in rows.toLocalIterator():
-        counts[at] = n
+    counts[rows["at"].to_numpy()] = rows["n"].to_numpy()
     counts = counts.reshape(slices, 1 << SLICE)
     near = np.zeros((slices, 1 << SLICE, radius + 1), np.float32)
     every = np.arange(1 << SLICE)
