@@ -298,7 +298,11 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = stage(fingerprints(docs, doc_id, text, shingle), "simhash-rows")
     known = classes(rows, radius)
     smallest = rows.join(known, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = smallest.groupBy("root").agg(F.min(F.struct("doc_id", "body")).alias("one"))
+    return one_of_each(docs, smallest.groupBy("root").agg(F.min(F.struct("doc_id", "body")).alias("one")), doc_id, text)
+
+
+def one_of_each(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One row of ``docs`` for each row of ``chosen``, whose ``one`` has an id and the hash of a text."""
     chosen = stage(
         chosen.select(F.col("one.doc_id").alias("_simhash_id"), F.col("one.body").alias("_simhash_body")).distinct(),
         "simhash-chosen",
