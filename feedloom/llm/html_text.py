@@ -5,7 +5,8 @@ characters and tags that belong to links. The node whose children's densities ha
 the largest sum holds the article. The lowest density on its way up to the body is
 a threshold: other subtrees count as content only from it upwards, and each of those
 gives its own node of largest sum. A title (``h1``) beside the content belongs to it. Content inside
-an ``article`` (else ``main``) element is that element.
+the only ``article`` (else a ``main``) element is that element; of several, each that the threshold
+chooses from is taken whole, and so are those beside the best one that are not mostly links.
 Elements that are never article text leave the tree first: by tag (menus, forms,
 scripts), or by the words of their class, id or role (adverts, notices, comments).
 
@@ -239,6 +240,17 @@ def _measure(nodes: list[Node]) -> None:
             node.up.total += node.density
 
 
+def _outermost(nodes: list[Node], tag: str) -> dict[Node, Node]:
+    """The outermost element of a tag that each node lies in, or is."""
+    home: dict[Node, Node] = {}
+    for node in nodes:
+        if node.up in home:
+            home[node] = home[node.up]
+        elif node.tag == tag:
+            home[node] = node
+    return home
+
+
 def content(nodes: list[Node]) -> list[Node]:
     """The subtrees that hold the article, in page order."""
     _measure(nodes)
@@ -246,15 +258,16 @@ def content(nodes: list[Node]) -> list[Node]:
     if not kept:
         return []
     best = max(kept, key=lambda n: n.total)
-    for wanted in ("article", "main"):
-        node = best
-        while node is not None:
-            if node.tag == wanted:
-                return [node]
-            node = node.up
-        held = [n for n in kept if n.tag == wanted]
-        if len(held) == 1 and held[0].chars * 2 > best.chars:
-            return held
+    home = _outermost(kept, "article")
+    articles = list(dict.fromkeys(home.values()))
+    several = len(articles) > 1 and best in home
+    if not several:
+        for inside in (home, _outermost(kept, "main")):
+            if best in inside:
+                return [inside[best]]
+            held = set(inside.values())
+            if len(held) == 1 and all(n.chars * 2 > best.chars for n in held):
+                return list(held)
     threshold, node = best.density, best.up
     while node is not None and node.tag not in ("body", "html"):
         threshold = min(threshold, node.density)
@@ -266,6 +279,10 @@ def content(nodes: list[Node]) -> list[Node]:
         if up in top and top[node].total > top[up].total:
             top[up] = top[node]
     chosen = {best} | {top[n] for n in kept if n.density >= threshold and n.tag not in ("body", "html")}
+    if several:
+        # What is chosen inside an article is that article; those beside the best one are its equals, unless they are links.
+        chosen = {home.get(n, n) for n in chosen}
+        chosen |= {n for n in articles if n.up is home[best].up and n.link_chars * 2 < n.chars}
     # A title beside the content, or beside what the content lies in, belongs to it.
     above, node = set(), best.up
     while node is not None:
