@@ -8,7 +8,8 @@ gives its own node of largest sum. A title (``h1``) beside the content belongs t
 the only ``article`` (else a ``main``) element is that element; of several, each that the threshold
 chooses from is taken whole, and so are those beside the best one that are not mostly links.
 Elements that are never article text leave the tree first: by tag (menus, forms,
-scripts), or by the words of their class, id or role (adverts, notices, comments).
+scripts), if hidden, or by the words of their class, id or role (adverts, notices, comments). Such words
+do not take out an article, or what holds the densest or most of the text with no article beside it.
 
 Defined cases: NULL or empty html, and pages without text, give an empty text; markup that is
 not closed, cut or nested wrongly is read as browsers do in the main; nesting may be of any
@@ -87,32 +88,31 @@ _SCOPE = frozenset(_WORDS("table td th html"))
 class Node:
     """An element: its parts are strings and elements, in page order."""
 
-    __slots__ = ("tag", "up", "parts", "gone", "chars", "tags", "link_chars", "link_tags", "density", "total", "last")
+    __slots__ = ("tag", "up", "parts", "gone", "marked", "chars", "tags", "link_chars", "link_tags", "density", "total", "last")
 
-    def __init__(self, tag: str, up: Node | None, gone: bool):
-        self.tag, self.up, self.gone = tag, up, gone
+    def __init__(self, tag: str, up: Node | None, gone: bool, marked: bool = False):
+        self.tag, self.up, self.gone, self.marked = tag, up, gone, marked
         self.parts: list = []
 
 
-def _unwanted(tag: str, attributes: str, inside: bool, marks: bool) -> bool:
-    """Whether an element is not article text. ``inside``: of an article or a main element."""
-    if tag in NEVER or (tag == "header" and not inside):
-        return True
-    return marks and bool(attributes) and tag not in ("html", "body", "main") and _marked(attributes, inside)
+def _unwanted(tag: str, inside: bool) -> bool:
+    """Whether an element is not article text by its tag. ``inside``: of an article or a main element."""
+    return tag in NEVER or (tag == "header" and not inside)
+
+
+def _hidden(attributes: str) -> bool:
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).replace(" ", "").lower()
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value):
+            return True
+    return False
 
 
 def _marked(attributes: str, inside: bool) -> bool:
+    """Whether a word of the class, id or role says that an element is not article text."""
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
-        if name == "hidden":
-            return True
-        if name == "aria-hidden":
-            if value.lower() == "true":
-                return True
-        elif name == "style":
-            if "display:none" in value.replace(" ", "").lower():
-                return True
-        else:
+        if name in ("class", "id", "role"):
             # What an element has, or has not, beside itself says nothing about it.
             names = [_BESIDE.split(n)[0] for n in value.split()]
             words = set(_PART.findall(_CAMEL.sub(" ", " ".join(names)).lower()))
@@ -187,7 +187,12 @@ def parse(html: str, marks: bool = True) -> list[Node]:
             close(*_CLOSES[name])
         up = stack[-1]
         inside = open_now["article"] + open_now["main"] > 0
-        node = Node(name, up, up.gone or _unwanted(name, tag[3], inside, marks))
+        gone, marked = up.gone or _unwanted(name, inside), False
+        if marks and tag[3] and not gone and name not in ("html", "body", "main"):
+            gone = _hidden(tag[3])
+            # An article is one whatever it is called, unless it lies in another one, as comments do.
+            marked = not gone and (name != "article" or open_now["article"] > 0) and _marked(tag[3], inside)
+        node = Node(name, up, gone, marked)
         up.parts.append(node)
         nodes.append(node)
         if name in RAW:
@@ -251,8 +256,44 @@ def _outermost(nodes: list[Node], tag: str) -> dict[Node, Node]:
     return home
 
 
+def _drop_marked(nodes: list[Node]) -> None:
+    """Takes out what is marked, unless it holds the node of largest sum, or most text that is no link, of the
+    unmarked page. That does not count if an article or main element beside it has text."""
+    if not any(node.marked for node in nodes):
+        return
+    _measure(nodes)
+    best = max((n for n in nodes if not n.gone and n.chars), key=lambda n: n.total, default=None)
+    way, node = set(), best
+    while node is not None:
+        way.add(node)
+        node = node.up
+    under: set[Node] = set()
+    sure = []
+    for node in nodes:
+        if node.marked or node.up in under:
+            under.add(node)
+        elif node.tag in ("article", "main") and not node.gone and node.chars:
+            sure.append(node)
+    most = nodes[0].chars - nodes[0].link_chars
+
+    def around(node: Node) -> set[Node]:
+        found = set()
+        while node is not None:
+            found.add(node)
+            node = node.up
+        return found
+
+    for node in nodes[1:]:
+        if node.up.gone:
+            node.gone = True
+        elif node.marked and not node.gone:
+            holds = node in way or (node.chars - node.link_chars) * 2 > most
+            node.gone = not holds or (bool(sure) and not around(node).issuperset(sure))
+
+
 def content(nodes: list[Node]) -> list[Node]:
     """The subtrees that hold the article, in page order."""
+    _drop_marked(nodes)
     _measure(nodes)
     kept = [n for n in nodes if not n.gone and n.chars]
     if not kept:

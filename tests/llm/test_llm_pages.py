@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from feedloom.llm import html_text
 
 
@@ -23,3 +25,30 @@ def test_articles_of_unequal_length():
 def test_article_in_an_article_is_part_of_it():
     page = "<body><article><p>" + "outer words " * 5 + "</p>" + _article("Inner", 60, 3) + "</article>"
     assert _first_words(page) == ["outer", "Inner", "inner", "inner", "inner"]
+
+
+@pytest.mark.parametrize(
+    ("start", "end", "attributes"),
+    [
+        ("", "", ' class="post category-social"'),
+        ("", "", ' class="tag-discussion"'),
+        ('<div class="layout sidebar-right">', "</div>", ""),
+        ('<section id="notice-board"><div>', "</div></section>", ""),
+        ('<div class="page"><div class="has-menu layout-sidebar"><main>', "</main></div></div>", ""),
+    ],
+)
+def test_marked_articles_stay(start, end, attributes):
+    page = "<body><p>Stray paragraph</p>" + start + _article("One", 60, 4, attributes) + end
+    assert _first_words(page)[-5:] == ["One", *["one"] * 4]
+    without = page.replace("<article", "<div").replace("</article", "</div").replace(attributes or "none", "")
+    assert _first_words(without)[-4:] == ["one"] * 4
+
+
+def test_marks_beside_an_article_hold():
+    comments = "<div id=comments>" + f"<p>{'liked it very much ' * 30}</p>" * 9 + "</div>"
+    for start, end in (("", ""), ("<main>", "</main>")):
+        page = "<body>" + start + _article("One", 20, 2) + comments + end
+        assert _first_words(page) == ["One", "one", "one"]
+    nested = _article("One", 60, 5).replace("</article>", "<article class=comment><p>I liked it.</p></article></article>")
+    assert _first_words("<body>" + nested) == ["One", *["one"] * 5]
+    assert _first_words("<body><div hidden>" + _article("Two", 90, 9) + "</div>" + _article("One", 20, 2)) == ["One", "one", "one"]
