@@ -17,11 +17,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -104,43 +104,61 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
 def with_following(docs: DataFrame, doc_id: str, text: str, rows_per_bucket: int = 256, most_buckets: int = 20_000) -> DataFrame:
     """``bucket, guest, key, body, doc_id, text``: ranges of ids, each with the first row of the next range.
 
-    Ranges come from quantiles over all rows. Only their first rows, at most ``most_buckets``,
-    are broadcast, without texts. Texts are shuffled once. Rows of one id are told apart by a hash of
-    the text, so that an id of very many rows spreads over ranges. NULL ids come last.
+    Rows are in order of id, NULL last, and then of a hash of the text, compared as whole numbers, so
+    that an id of very many rows spreads over ranges. A range starts at every so many rows of that
+    order; the starts, ``most_buckets`` and one a task at most, reach the driver without texts. Texts are
+    shuffled once.
     """
-    body = F.xxhash64(F.col("text"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    spread = F.pmod(body, F.lit(1024)) / 1024
-    rows = rows.withColumns(
-        {"key": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)).cast("double") + spread, "body": body}
+    rows = rows.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)).alias("key"), F.xxhash64("text").alias("body"), "doc_id", "text"
     )
-    keys = stage(rows.select("key", "body"), "hash-keys")
-    buckets = min(most_buckets, max(1, keys.count() // rows_per_bucket))
-    bounds = keys.approxQuantile("key", [i / buckets for i in range(1, buckets)], 0.2 / buckets) if buckets > 1 else []
-    splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
-
-    def bucketed(df: DataFrame) -> DataFrame:
-        if len(splits) < 3:
-            return df.withColumn("bucket", F.lit(0))
-        cut = Bucketizer(splits=splits, inputCol="key", outputCol="bucket").transform(df)
-        return cut.withColumn("bucket", F.col("bucket").cast("int"))
-
-    first = bucketed(keys).groupBy("bucket").agg(F.min(F.struct("key", "body")).alias("first"))
-    in_order = Window.orderBy("bucket")
-    everything = Window.partitionBy()
-    first = first.select(
-        "bucket",
-        "first.key",
-        "first.body",
-        F.coalesce(F.lag("bucket").over(in_order), F.max("bucket").over(everything)).alias("before"),
-    )
-    marked = bucketed(rows).join(F.broadcast(stage(first, "hash-first")), ["bucket", "key", "body"], "left")
-    own = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("guest"))
-    sent = F.struct(F.col("before").alias("bucket"), F.lit(1).alias("guest"))
-    to = F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, sent))
-    dealt = marked.select(F.explode(to).alias("to"), "key", "body", "doc_id", "text")
-    dealt = dealt.select("to.bucket", "to.guest", "key", "body", "doc_id", "text").repartition("bucket")
-    return dealt.sortWithinPartitions("bucket", "guest", "key", "body", "text")
+    keys = stage(rows.select(F.col("doc_id").isNull().alias("none"), "key", "body"), "hash-keys")
+    starts = _starts(keys, rows_per_bucket, most_buckets)
+    schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("guest", T.IntegerType()), *rows.schema])
+
+    def deal(batches):
+        for batch in batches:
+            keys, bodies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            order = list(zip(batch.column(2).is_null().to_pylist(), keys, bodies, strict=True))
+            buckets = [bisect_right(starts, row) - 1 for row in order]
+            yield _dealt(batch, buckets, 0, schema)
+            # The first row of a range also goes to the range before; that of the first one to the last.
+            first = [i for i, row in enumerate(order) if starts[buckets[i]] == row]
+            if first:
+                yield _dealt(batch.take(pa.array(first)), [(buckets[i] - 1) % len(starts) for i in first], 1, schema)
+
+    dealt = rows.mapInArrow(deal, schema).repartition("bucket")
+    return dealt.sortWithinPartitions("bucket", "guest", F.col("doc_id").isNull(), "key", "body", "text")
+
+
+def _starts(keys: DataFrame, rows_per_bucket: int, most_buckets: int) -> list[tuple[bool, int, int]]:
+    """The first row ``none, key, body`` of each range, in order."""
+    count = keys.count()
+    step = max(rows_per_bucket, -(-count // most_buckets))
+    tasks = max(1, min(count // step, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    order = ["none", "key", "body"]
+
+    def run(batches):
+        at, last = 0, None
+        for batch in batches:
+            found = []
+            for i in range(-at % step, batch.num_rows, step):
+                row = tuple(c[i].as_py() for c in batch.columns)
+                if row != last:
+                    found.append(row)
+                    last = row
+            at += batch.num_rows
+            yield pa.RecordBatch.from_pylist([dict(zip(order, row, strict=True)) for row in found], schema=batch.schema)
+
+    spread = keys.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    found = spread.mapInArrow(run, keys.schema).toArrow()
+    return sorted(zip(*(found[c].to_pylist() for c in order), strict=True))
+
+
+def _dealt(batch: pa.RecordBatch, buckets: list[int], guest: int, schema: T.StructType) -> pa.RecordBatch:
+    columns = [pa.array(buckets, pa.int32()), pa.array([guest] * len(buckets), pa.int32()), *batch.columns]
+    return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
