@@ -6,7 +6,7 @@ attention says how much each passage counts, and the weighted sum of the encoded
 passages is scored. Only documents have labels; the weights of passages come from them.
 
 The model is small and fitted with numpy on a sample of labelled documents of bounded size
-(``documents`` and ``passages`` of ``fit``); scoring covers every passage of all documents.
+(``documents`` and ``passages_most`` of ``fit``); scoring covers every passage of all documents.
 Only the text goes into a score.
 
 Defined cases: an empty or NULL text is one passage without characters and is scored; equal
@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.plans.staging import stage
+
 PASSAGE_WORDS = 50
 HIDDEN, ATTENTION = 24, 16
 
@@ -165,13 +167,13 @@ def fit(
     text: str = "text",
     label: str = "quality",
     documents: int = 4000,
-    passages_each: int = 64,
+    passages_most: int = 256_000,
 ) -> Model:
-    """Learn from at most ``documents`` labelled documents that are not held out.
+    """Learn from at most ``documents`` labelled documents that are not held out, all passages of each.
 
-    The sample is drawn by a hash of the id. Of a document longer than ``passages_each``
-    passages, as many are taken at even distances over the whole text. Both bounds
-    are what reaches the driver, whatever the size of the tables.
+    The sample is drawn by hashes of the id and of the bag. A document with which the sample would have
+    more than ``passages_most`` passages is left out of it as a whole. Both bounds are what
+    reaches the driver, whatever the size of the tables.
     """
     known = labels.select(F.col(doc_id).alias("_mil_id"), F.col(label).cast("int").alias("_mil_label")).dropna()
     known = known.filter(~held_out(F.col("_mil_id"))).groupBy("_mil_id").agg(F.max("_mil_label").alias("_mil_label"))
@@ -180,19 +182,24 @@ def fit(
 
     def describe(batches):
         for frame in batches:
-            bags = [_spread(passages(t), passages_each).tobytes() for t in frame["text"]]
-            yield pd.DataFrame({"id": frame["_mil_id"], "label": frame["_mil_label"], "bag": bags})
-
-    found = rows.mapInPandas(describe, "id long, label int, bag binary").dropDuplicates(["id", "bag"])
-    found = sorted((r.id, bytes(r.bag), r.label) for r in found.limit(2 * documents).collect())
+            bags = [passages(t) for t in frame["text"]]
+            sizes, data = [len(b) for b in bags], [b.tobytes() for b in bags]
+            yield pd.DataFrame({"id": frame["_mil_id"], "label": frame["_mil_label"], "n": sizes, "bag": data})
+
+    found = rows.mapInPandas(describe, "id long, label int, n long, bag binary").withColumn("body", F.xxhash64("bag"))
+    found = stage(found.dropDuplicates(["id", "body"]), "mil-sample")
+    order = found.select(F.xxhash64("id", "body").alias("drawn"), "id", "body", "n")
+    chosen, left = [], passages_most
+    for r in order.orderBy("drawn", "id", "body").limit(2 * documents).collect():
+        if r.n <= left:
+            chosen.append((r.id, r.body))
+            left -= r.n
+    picked = docs.sparkSession.createDataFrame(chosen, "id long, body long")
+    found = sorted((r.id, bytes(r.bag), r.label) for r in found.join(picked, ["id", "body"]).collect())
     bags = [np.frombuffer(bag, np.float32).reshape(-1, FEATURES).astype(float) for _, bag, _ in found]
     return learn(bags, np.array([y for _, _, y in found]))
 
 
-def _spread(bag: np.ndarray, most: int) -> np.ndarray:
-    return bag if len(bag) <= most else bag[np.linspace(0, len(bag) - 1, most).astype(int)]
-
-
 def scored(
     docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",), name: str = "score"
 ) -> DataFrame:
