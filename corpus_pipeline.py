@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import byte_bpe, line_dedup, mixing, near_texts, quality_mil
+from feedloom.llm import byte_bpe, line_dedup, mixing, quality_mil, simhash
 from feedloom.llm.registry import table
 from feedloom.plans.staging import stage
 
@@ -33,8 +33,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, of the smallest id, of each group of near-duplicates: 0.8 or more of five-word shingles in common."""
-    return near_texts.representatives(docs)
+    """One document, of the smallest id, of each group of fingerprints within three bits, of three-word shingles."""
+    return simhash.representatives(docs, radius=3, shingle=3)
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", keep_good),
     ("line dedup", drop_repeated_lines),
-    ("near-duplicates", keep_one_of_similar),
+    ("SimHash near-dedup", keep_one_of_similar),
     ("source mix", mix_to_weights),
     ("byte-level BPE", encode),
 ]
