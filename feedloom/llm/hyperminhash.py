@@ -11,9 +11,9 @@ Equal sets are brought together first, whatever their number. In a bucket of a b
 with the bucket's leader, the member whose bands are the most crowded: the centre of a crowd of near copies. The
 links found make components. Only sets that share a bucket with another component go on:
 each set's rarest shingles, enough that two sets at the threshold share one, lead to partners of other
-components, from the side that is not the largest component there, and only to sizes that
-can still reach the threshold once the shingles nobody else has are counted out. So a crowd is
-not compared pair by pair, and no pair is left out. Groups are connected components of all links.
+components, from the side that is not the largest component there, and only to sizes and places that
+can still reach the threshold if all rarer shingles differ. So a crowd is not compared pair by pair, and
+no pair is left out. Groups are connected components of all links.
 
 A pair at the threshold shares no band with a probability of 1 in a billion (40 bands of four
 registers at 0.8), more similar pairs more rarely.
@@ -253,31 +253,30 @@ def _bin(n: Column) -> Column:
 def _across(tokens: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """``a, b``: pairs of different components that can reach the threshold, by their rarest shingles.
 
-    ``tokens`` has ``id, token``, ``sets`` has ``id, n, root``. Two sets at the threshold share a token
-    among the first ``n - ceil(threshold * n) + 1`` of each, the rarest first. Tokens of one set only count
-    as places of that order and as what no partner can share.
+    ``tokens`` has ``id, token``, ``sets`` has ``id, n, root``. Each set's tokens are put in one order, the
+    rarest first. If the first token that two sets share has ``rest`` tokens from it on in each, they share no
+    more than the lesser rest; a pair is found at that token if this is enough. Tokens of one set only come before
+    all others, and nobody shares them.
     """
     often = tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
     tokens = tokens.join(stage(often, "hmh-often"), "token")
-    place = Window.partitionBy("id").orderBy("often", "token")
-    common = F.count("*").over(Window.partitionBy("id"))
-    ranked = tokens.withColumns({"place": F.row_number().over(place), "common": common}).join(sets, "id")
-    needed = -F.floor(-F.col("n") * threshold / 100)
-    own = F.col("n") - F.col("common")
-    first = stage(ranked.where(F.col("place") + own <= F.col("n") - needed + 1).select("token", "id", "n", "common", "root"), "hmh-first")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("often", "token"))
+    behind = F.count("*").over(Window.partitionBy("id")) - place + 1
+    ranked = tokens.withColumn("rest", behind).join(sets, "id")
+    least = -F.floor(-F.col("n") * threshold / 100)
+    first = stage(ranked.where(F.col("rest") >= least).select("token", "id", "n", "rest", "root"), "hmh-first")
 
     by_root = first.groupBy("token", "root").agg(F.count("*").alias("rows"))
     largest = by_root.groupBy("token").agg(F.max(F.struct("rows", "root")).alias("top"), F.count("*").alias("roots"))
     largest = stage(largest.where("roots > 1").select("token", F.col("top.root").alias("top")), "hmh-mixed")
     mixed = stage(first.join(largest, "token"), "hmh-first-mixed")
-    indexed = mixed.select("token", _bin(F.col("n")).alias("bin"), *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "common", "root")])
-    # The partner has at least the threshold's share of n, and at most what n's common shingles allow.
-    most = F.floor((100 + threshold) * F.col("common") / threshold) - F.col("n")
-    least = needed
+    indexed = mixed.select("token", _bin(F.col("n")).alias("bin"), *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "rest", "root")])
+    # The partner has at least the threshold's share of n, and at most what the rest of n's shingles allow.
+    most = F.floor((100 + threshold) * F.col("rest") / threshold) - F.col("n")
     asks = mixed.where((F.col("root") != F.col("top")) & (most >= least))
     bins = F.explode(F.sequence(_bin(least), _bin(most))).alias("bin")
-    asks = asks.select("token", bins, *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "common", "root")])
-    both = F.least("common_a", "common_b") * (100 + threshold) >= threshold * (F.col("n_a") + F.col("n_b"))
+    asks = asks.select("token", bins, *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "rest", "root")])
+    both = F.least("rest_a", "rest_b") * (100 + threshold) >= threshold * (F.col("n_a") + F.col("n_b"))
     found = asks.join(indexed, ["token", "bin"]).where((F.col("root_a") != F.col("root_b")) & both)
     return found.select(*_pair("id_a", "id_b")).distinct()
 
