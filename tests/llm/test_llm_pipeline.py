@@ -107,7 +107,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_queries_are_registered():
     names = [n for n in driver.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in driver.queries()
 
 
