@@ -15,8 +15,8 @@ components, from the side that is not the largest component there, and only to s
 can still reach the threshold if all rarer shingles differ. So a crowd is not compared pair by pair, and
 no pair is left out. Groups are connected components of all links.
 
-A pair at the threshold shares no band with a probability of 1 in a billion (40 bands of four
-registers at 0.8), more similar pairs more rarely.
+A pair at the threshold of 0.8 shares no band with a probability of 1 in 8 million (40 bands of five
+registers), one at 0.85 with 1 in 10 billion.
 
 Defined cases: only A-Z are lowered, ASCII white space separates words; fewer words than a shingle are one shingle;
 a text without words, or NULL, has an empty set and is linked with nothing; rows alike get results alike; a NULL
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.components import components
 from feedloom.plans.staging import stage
 
-BANDS, ROWS = 40, 4
+BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
 #: Similarity in hundredths.
@@ -133,11 +133,11 @@ def may_reach(a: np.ndarray, b: np.ndarray, n: int, m: int, threshold: int = THR
     return estimate >= t - SPREAD * np.sqrt(t * (1 - t) / max(either, 1))
 
 
-_SETS = "doc_id {kind}, body binary, n long, id binary, registers binary, keys array<long>"
+_SETS = "doc_id {kind}, body binary, n long, digest binary, registers binary, keys array<long>"
 
 
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 2) -> DataFrame:
-    """``doc_id, body, n, id, registers, keys`` of every document: a digest of its text, the size of its set,
+    """``doc_id, body, n, digest, registers, keys`` of every document: a digest of its text, the size of its set,
     the set's digest, and its registers and bands."""
     body = F.unhex(F.md5(text))
     rows = docs.select(F.col(doc_id).alias("doc_id"), body.alias("body"), F.col(text).alias("text"))
@@ -162,7 +162,7 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", widt
                     keys.append(None)
             columns = [pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(stored, pa.binary())]
             columns += [pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["doc_id", "body", "n", "id", "registers", "keys"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["doc_id", "body", "n", "digest", "registers", "keys"])
 
     return rows.mapInArrow(run, _SETS.format(kind=rows.schema["doc_id"].dataType.simpleString()))
 
@@ -179,7 +179,7 @@ def _estimated(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)
             yield _filtered(batch, [may_reach(np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2"), n, m, threshold) for x, y, n, m in rows])
 
-    return both.select("a", "b", "registers_a", "registers_b", "n_a", "n_b").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "registers_a", "registers_b", "n_a", "n_b").mapInArrow(run, "a long, b long")
 
 
 def _filtered(batch: pa.RecordBatch, good: list[bool]) -> pa.RecordBatch:
@@ -198,7 +198,7 @@ def _verified(pairs: DataFrame, full: DataFrame, threshold: int) -> DataFrame:
             rows = zip(*(batch.column(i).to_pylist() for i in (2, 3)), strict=True)
             yield _filtered(batch, [alike(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), threshold) for x, y in rows])
 
-    return both.select("a", "b", "hashes_a", "hashes_b").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "hashes_a", "hashes_b").mapInArrow(run, "a long, b long")
 
 
 def alike(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
@@ -208,7 +208,7 @@ def alike(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """``id, hashes`` of the wanted sets, each from one document of it; ``wanted`` has ``id, one``."""
+    """``id, hashes`` of the wanted sets, each from one document of it; ``wanted`` has ``id, one``. Reads the texts again."""
     of = wanted.select("id", F.col("one.doc_id").alias("_of"), F.col("one.body").alias("_body"))
     own = docs.select(F.col(doc_id).alias("doc_id"), F.unhex(F.md5(text)).alias("body"), F.col(text).alias("text"))
     found = own.join(of, F.col("doc_id").eqNullSafe(F.col("_of")) & (F.col("body") == F.col("_body"))).select("id", "text")
@@ -221,7 +221,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, width
             hashes = [shingles(t.as_py(), width, known).astype("<u8").tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary())], names=["id", "hashes"])
 
-    return found.mapInArrow(run, "id binary, hashes binary").dropDuplicates(["id"])
+    return found.mapInArrow(run, "id long, hashes binary").dropDuplicates(["id"])
 
 
 def _shared(distinct: DataFrame) -> DataFrame:
@@ -289,8 +289,8 @@ def links(docs: DataFrame, distinct: DataFrame, doc_id: str, text: str, width: i
     members = stage(_shared(distinct), "hmh-members")
     sets = distinct.select("id", "n", "registers")
     near = stage(_estimated(_to_leaders(members), sets, threshold), "hmh-near")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    full = stage(_full_sets(docs, distinct.join(wanted, "id").select("id", "one"), doc_id, text, width), "hmh-full")
+    wanted = stage(members.select("id").distinct().join(distinct.select("id", "one"), "id"), "hmh-wanted")
+    full = stage(_full_sets(docs, wanted, doc_id, text, width), "hmh-full")
     found = stage(_verified(near, full, threshold), "hmh-links")
 
     roots = stage(components(found, "a", "b"), "hmh-roots")
@@ -298,12 +298,9 @@ def links(docs: DataFrame, distinct: DataFrame, doc_id: str, text: str, width: i
     rooted = stage(rooted, "hmh-rooted")
     mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     left = stage(rooted.join(stage(mixed.select("key"), "hmh-mixed-keys"), "key").select("id", "root").distinct(), "hmh-left")
-    left = stage(left.join(distinct, "id").select("id", "one", "n", "root"), "hmh-left-sets")
-    more = left.join(full.select("id"), "id", "left_anti").select("id", "one")
-    full = full.unionByName(_full_sets(docs, more, doc_id, text, width))
-    full = stage(full, "hmh-full-all")
-    tokens = full.join(left.select("id"), "id").mapInArrow(_tokens, "id binary, token long")
-    across = _across(tokens, left.select("id", "n", "root"), threshold)
+    left = stage(left.join(distinct, "id").select("id", "n", "root"), "hmh-left-sets")
+    tokens = full.join(left.select("id"), "id").mapInArrow(_tokens, "id long, token long")
+    across = _across(tokens, left, threshold)
     rest = stage(_estimated(stage(across, "hmh-across"), sets, threshold), "hmh-rest")
     return found.unionByName(_verified(rest, full, threshold))
 
@@ -312,8 +309,8 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for id, hashes in zip(batch.column(0), batch.column(1), strict=True):
             found = np.frombuffer(hashes.as_py(), "<u8").view(np.int64)
-            ids = pa.DictionaryArray.from_arrays(np.zeros(len(found), np.int32), pa.array([id.as_py()], pa.binary()))
-            yield pa.RecordBatch.from_arrays([ids.dictionary_decode(), pa.array(found)], names=["id", "token"])
+            ids = np.full(len(found), id.as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(found)], names=["id", "token"])
 
 
 def near_duplicates(
@@ -324,14 +321,17 @@ def near_duplicates(
     rows = stage(signatures(docs, doc_id, text, width), "hmh-rows")
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), "body"))
     first = [F.first(c).alias(c) for c in ("n", "registers", "keys")]
-    distinct = stage(rows.where("id IS NOT NULL").groupBy("id").agg(smallest.alias("one"), *first), "hmh-distinct")
+    distinct = rows.where("digest IS NOT NULL").groupBy("digest").agg(smallest.alias("one"), *first)
+    # Numbered as they are written down: eight bytes for each place a set is named.
+    distinct = stage(distinct.withColumn("id", F.monotonically_increasing_id()), "hmh-distinct")
     roots = components(links(docs, distinct, doc_id, text, width, threshold), "a", "b")
-    known = distinct.select("id", F.col("one.doc_id").alias("smallest")).join(roots, F.col("id") == F.col("node"), "left")
-    known = stage(known.select("id", "smallest", F.coalesce("root", "id").alias("root")), "hmh-known")
+    known = distinct.select("id", "digest", F.col("one.doc_id").alias("smallest"))
+    known = known.join(roots, F.col("id") == F.col("node"), "left")
+    known = stage(known.select("digest", "smallest", F.coalesce("root", "id").alias("root")), "hmh-known")
     least = stage(known.groupBy("root").agg(F.min("smallest").alias("component_id")), "hmh-least")
-    classes = stage(known.join(least, "root").select("id", "component_id"), "hmh-classes")
-    linked = rows.where("id IS NOT NULL").select("doc_id", "n", "id").join(classes, "id")
-    alone = rows.where("id IS NULL").withColumn("component_id", F.col("doc_id"))
+    classes = stage(known.join(least, "root").select("digest", "component_id"), "hmh-classes")
+    linked = rows.where("digest IS NOT NULL").select("doc_id", "n", "digest").join(classes, "digest")
+    alone = rows.where("digest IS NULL").withColumn("component_id", F.col("doc_id"))
     every = linked.select("doc_id", "n", "component_id").unionByName(alone.select("doc_id", "n", "component_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     return every.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
