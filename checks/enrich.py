@@ -9,6 +9,7 @@ from checks.views import LEXICON, plain, sql
 from feedloom.functions.offline import GLOSSARY, glossary_translate, lexicon_extract
 from feedloom.functions.prompts import extraction_prompt
 from feedloom.operators import extraction, inference, quality
+from feedloom.plans.staging import fresh_path
 from feedloom.schemas import CATEGORIES
 
 _OTHER_SQL = (
@@ -198,6 +199,26 @@ def ai_batch_model(spark, sf):
     return answered.select("content_id", F.md5("answer").alias("answer"), "answer_error")
 
 
+@check(
+    "ai_answer_store",
+    sql(
+        "SELECT content_id, CASE WHEN content_text IN (SELECT content_text FROM first_delivery) THEN 1 ELSE 2 END "
+        "AS asked_in, md5(content_text) AS answer FROM second_delivery WHERE content_text IS NOT NULL"
+    ),
+)
+def ai_answer_store(spark, sf):
+    """Two deliveries: texts of the first are not asked again in the second, whose model would answer otherwise."""
+    store = inference.AnswerStore(fresh_path(spark, "answer-store"), version="1")
+    for run, delivery in ((1, views.first_delivery), (2, views.second_delivery)):
+        model = lambda run=run: lambda texts: [f"{run}{t}" for t in texts]
+        rows = delivery(spark, sf).where("content_text IS NOT NULL")
+        answered = inference.infer(rows, F.col("content_text"), "answer", model, store=store)
+        if run == 1:
+            answered.agg(F.count("answer")).collect()
+    asked_in = F.substr("answer", F.lit(1), F.lit(1)).cast("int").alias("asked_in")
+    return answered.select("content_id", asked_in, F.md5(F.substr("answer", F.lit(2))).alias("answer"))
+
+
 _PROMPT = extraction_prompt().replace("'", "''")
 
 

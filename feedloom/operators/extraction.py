@@ -92,19 +92,27 @@ def _other_topics() -> Column:
     )
 
 
-def _topic_rows(parsed_rows: DataFrame, topics: Column, carry: Sequence[str] = ()) -> DataFrame:
-    rated = F.filter(topics, lambda topic: topic["sentiment"].isNotNull())
+def _rated(topics: Column) -> Column:
+    return F.filter(topics, lambda topic: topic["sentiment"].isNotNull())
+
+
+def rated_topics(categories: Sequence[str] = CATEGORIES) -> Column:
+    """All rated topics of a parsed row: an array of category, sentiment and sub-category."""
+    return _rated(F.concat(_category_topics(categories), F.coalesce(_other_topics(), F.array())))
+
+
+def _topic_rows(parsed_rows: DataFrame, rated: Column, carry: Sequence[str] = ()) -> DataFrame:
     return parsed_rows.select("content_id", "game_name", *carry, F.inline(rated))
 
 
 def category_topics(parsed_rows: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
     """One row per item and rated category."""
-    return _topic_rows(parsed_rows, _category_topics(categories))
+    return _topic_rows(parsed_rows, _rated(_category_topics(categories)))
 
 
 def other_topics(parsed_rows: DataFrame) -> DataFrame:
     """One row per rated free-form topic; an empty or missing list gives none."""
-    return _topic_rows(parsed_rows, _other_topics())
+    return _topic_rows(parsed_rows, _rated(_other_topics()))
 
 
 def gold_topics(
@@ -112,8 +120,7 @@ def gold_topics(
 ) -> DataFrame:
     """Category topics and free-form topics out of one read of the parsed rows, with the
     columns ``carry`` of their item."""
-    both = F.concat(_category_topics(categories), F.coalesce(_other_topics(), F.array()))
-    return _topic_rows(parsed_rows, both, carry)
+    return _topic_rows(parsed_rows, rated_topics(categories), carry)
 
 
 def union_topics(first: DataFrame, second: DataFrame) -> DataFrame:

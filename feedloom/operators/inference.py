@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from hashlib import md5
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.functions.prompts import extraction_prompt
+from feedloom.operators.hashed import HashedRows
 from feedloom.plans.staging import stage
 from feedloom.schemas import CATEGORIES
 
@@ -21,6 +25,25 @@ TEXTS_PER_TASK = 256
 BROADCAST_CHARS = 16_000_000
 
 
+@dataclass(frozen=True)
+class AnswerStore:
+    """Answers kept in a folder, so that no text is asked twice with the same directions and ``version`` of a model.
+
+    They are found by the 128-bit hash of the text; a batch reads only buckets that may hold one of its
+    texts. Errors are not kept. One writer at a time.
+    """
+
+    folder: str
+    version: str = ""
+
+    def rows(self, spark: SparkSession, directions: str) -> HashedRows:
+        own = md5(f"{len(self.version)} {self.version}{directions}".encode()).hexdigest()
+        return HashedRows(spark, f"{self.folder.rstrip('/')}/{own}", _STORED, ["_digest"])
+
+
+_STORED = T.StructType([T.StructField("_digest", T.StringType()), T.StructField("_answer", T.StringType())])
+
+
 def infer(
     df: DataFrame,
     text: Column,
@@ -33,6 +56,7 @@ def infer(
     texts_per_task: int = TEXTS_PER_TASK,
     batch_size: int = 64,
     hot_share: int = HOT_SHARE,
+    store: AnswerStore | None = None,
 ) -> DataFrame:
     """Add ``out_col``, the model's answer to ``directions`` and ``text``, and ``<out_col>_error``.
 
@@ -44,16 +68,39 @@ def infer(
     bytes and slow to answer: ``tasks`` of them, or as many as ``texts_per_task``
     needs and at least one for each core. A NULL text has a NULL answer. If a
     batch fails its texts are asked one by one, and those that still fail get a
-    NULL answer and the error.
+    NULL answer and the error. With a ``store``, texts it has an answer to are not asked, and the
+    answers to all others are added to it.
     """
     keyed = df.withColumn("_text", text).withColumn("_digest", F.md5("_text"))
     texts = keyed.where("_text IS NOT NULL").groupBy("_text").agg(F.count("*").alias("_copies"))
-    texts = stage(texts, "texts")
+    texts = stage(texts.withColumn("_digest", F.md5("_text")), "texts")
+    kept = known = None
+    if store is not None:
+        kept = store.rows(df.sparkSession, directions)
+        known = _kept_answers(kept, texts)
+    left = texts if known is None else texts.join(known.select("_digest"), "_digest", "left_anti")
     if tasks is None:
-        n = texts.count()
+        n = left.count()
         tasks = max(1, -(-n // texts_per_task), min(n, df.sparkSession.sparkContext.defaultParallelism))
-    asked = texts.repartition(tasks).mapInPandas(_asker(load_model, batch_size, directions), _ANSWERS)
-    return _look_up(keyed.drop("_text"), stage(asked, "answers"), out_col, id_col, hot_share)
+    asked = left.select("_text", "_copies").repartition(tasks)
+    answers = stage(asked.mapInPandas(_asker(load_model, batch_size, directions), _ANSWERS), "answers")
+    if kept is not None:
+        kept.add(answers.where("_error IS NULL"), 1 + max((r.last for r in kept.runs()), default=0))
+    if known is not None:
+        answers = answers.unionByName(known)
+    return _look_up(keyed.drop("_text"), answers, out_col, id_col, hot_share)
+
+
+def _kept_answers(kept: HashedRows, texts: DataFrame) -> DataFrame | None:
+    """Answers to ``texts`` that are kept already, written down; NULL if there are none."""
+    asked = texts.select("_digest", "_copies")
+    found = kept.candidates(asked)
+    if found is None:
+        return None
+    # After a crash a text may have been asked again: one of its answers counts.
+    one = found.join(asked, "_digest", "left_semi").groupBy("_digest").agg(F.min_by("_answer", "_run").alias("_answer"))
+    one = one.join(asked, "_digest").withColumn("_error", F.lit(None).cast("string"))
+    return stage(one.select("_digest", "_copies", "_answer", "_error"), "kept-answers")
 
 
 _ANSWERS = "_digest string, _copies long, _answer string, _error string"

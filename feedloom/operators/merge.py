@@ -41,9 +41,17 @@ def not_yet_in(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("co
     written down, so that its true size decides whether the batch itself, texts
     and all, has to be shuffled too. Mostly nothing is known, and it has not.
     """
-    known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
-    asked = batch.select(*keys)
-    known = stage(known.join(asked, _same(keys), "left_semi"), "known")
+    return without_known(batch, existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys]), keys)
+
+
+def without_known(batch: DataFrame, known: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:
+    """Rows of ``batch`` whose key is not among ``known``, whose columns are named ``_known_`` and the key's name.
+
+    ``small`` says that all of ``known`` can be broadcast.
+    """
+    if small:
+        return batch.join(F.broadcast(known), _same(keys), "left_anti")
+    known = stage(known.join(batch.select(*keys), _same(keys), "left_semi"), "known")
     return batch.join(known, _same(keys), "left_anti")
 
 

@@ -7,7 +7,7 @@ no file another step has read is ever rewritten. An empty game name is no name.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from hashlib import md5
 from itertools import islice
 from urllib.parse import unquote
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.operators.key_index import forget_game
 from feedloom.plans.staging import remove
 
 PARTITIONS = ("batch_id", "game_name")
@@ -24,6 +25,8 @@ _OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 # Partitions one statement drops.
 _AT_ONCE = 200
 _NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+# Names of batches that were merged out of others begin so.
+_MERGED = "all-"
 # The table property that names a compaction under way.
 _UNDER_WAY = "feedloom.compacting"
 
@@ -83,6 +86,52 @@ def write_batch(rows: DataFrame, table: str, batch_id: str) -> None:
         spark.conf.set(_OVERWRITE, before)
 
 
+def write_batches(rows: DataFrame, table: str) -> None:
+    """Write rows that name their batch; the partitions they fill are replaced."""
+    spark = rows.sparkSession
+    batch = rows.select(*spark.table(table).columns)
+    before = spark.conf.get(_OVERWRITE)
+    spark.conf.set(_OVERWRITE, "dynamic")
+    try:
+        batch.hint("rebalance", *PARTITIONS).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(_OVERWRITE, before)
+
+
+def batches(spark: SparkSession, table: str) -> set[str]:
+    """Names of a table's batches; compaction bounds their number."""
+    return {_values(row[0])["batch_id"] for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()}
+
+
+def merged_from(spark: SparkSession, table: str, batch: str) -> list[str]:
+    """The batches a merged batch was made of; none for any other."""
+    if not batch.startswith(_MERGED):
+        return []
+    return [row[0] for row in spark.read.text(f"{_compacted(spark, table, batch)}/_old").collect()]
+
+
+def games_of_batch(spark: SparkSession, table: str, batch: str) -> DataFrame:
+    """``_game``: the games that have rows in a batch, from the catalog."""
+    shown = spark.sql(f"SHOW PARTITIONS {table} PARTITION (batch_id={_literal(batch)})")
+    game = F.regexp_extract("partition", "game_name=(.*)$", 1)
+    # The catalog escapes bytes as %XX; a plus sign is one.
+    game = F.url_decode(F.replace(game, F.lit("+"), F.lit("%2B")))
+    return shown.select(F.when(game != _NO_NAME, game).alias("_game"))
+
+
+def missing_partitions(spark: SparkSession, table: str, other: str) -> DataFrame:
+    """Partitions of ``table`` that ``other`` does not have."""
+    shown = spark.sql(f"SHOW PARTITIONS {table}")
+    return shown.join(spark.sql(f"SHOW PARTITIONS {other}"), "partition", "left_anti")
+
+
+def drop_batches(spark: SparkSession, table: str, partitions: DataFrame) -> None:
+    """Drop the partitions named in ``partitions``, a bounded number with each statement."""
+    specs = (_partition(row[0]) for row in partitions.toLocalIterator())
+    while some := list(islice(specs, _AT_ONCE)):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(some))
+
+
 def drop_partitions(spark: SparkSession, table: str, of: dict[str, str]) -> None:
     """Drop all partitions of a batch or of a game.
 
@@ -108,28 +157,72 @@ def _partition(path: str) -> str:
     return "PARTITION (" + ", ".join(f"{k}={v}" for k, v in shown.items()) + ")"
 
 
-def compact(spark: SparkSession, table: str, batches: int = 100) -> bool:
-    """Bring all batches of a table together once there are more than ``batches`` of them.
+def compact(spark: SparkSession, table: str, batches: int = 100) -> list[str]:
+    """Merge small batches of a table once there are more than ``batches`` of them; their names.
 
-    For a table whose rows every reading stream has seen, with no other writer at
+    :func:`to_merge` chooses them by size, so that a row is written again
+    logarithmically often. For a table whose rows every reading stream has seen, with no other writer at
     work. The rows are written beside the batches, spread by game, in a folder that file
     streams do not look into, so that none of them sees a row again. Then the catalog is turned
     to it: the new partitions are added, the old ones dropped. A table property
-    says what is under way; :func:`finish_compaction` ends it after a crash.
+    says what is under way; :func:`finish_compaction` ends it after a crash. While there are few
+    batches, the catalog's list of partitions is not asked for.
     """
     finish_compaction(spark, table)
+    if len(_batch_folders(spark, table)) <= batches:
+        return []
     names = spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()
-    old = sorted({_values(row[0])["batch_id"] for row in names})
-    if len(old) <= batches:
-        return False
-    new = f"all-{uuid4().hex}"
+    present = {_values(row[0])["batch_id"] for row in names}
+    sizes = {name: _size(spark, path) for name, path in _batch_folders(spark, table).items() if name in present}
+    old = to_merge(sizes, batches)
+    if not old:
+        return []
+    new = f"{_MERGED}{uuid4().hex}"
     folder = _compacted(spark, table, new)
-    rows = spark.table(table).drop("batch_id").hint("rebalance", "game_name")
+    rows = spark.table(table).where(F.col("batch_id").isin(old)).drop("batch_id").hint("rebalance", "game_name")
     rows.write.partitionBy("game_name").parquet(folder)
     spark.createDataFrame([(b,) for b in old], "value string").write.text(f"{folder}/_old")
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_UNDER_WAY}' = '{new}')")
     finish_compaction(spark, table)
-    return True
+    return old
+
+
+def to_merge(sizes: Mapping[str, int], batches: int) -> list[str]:
+    """The batches to merge if there are more than ``batches``: none if not.
+
+    The smallest, so many that half of the allowed number stay, and then every next one
+    that is no larger than all before it together. Whatever stays is larger than what is merged.
+    """
+    if len(sizes) <= batches:
+        return []
+    by_size = sorted(sizes, key=lambda name: (sizes[name], name))
+    n = max(2, len(by_size) - batches // 2)
+    total = sum(sizes[name] for name in by_size[:n])
+    while n < len(by_size) and sizes[by_size[n]] <= total:
+        total += sizes[by_size[n]]
+        n += 1
+    return by_size[:n]
+
+
+def _batch_folders(spark: SparkSession, table: str) -> dict[str, str]:
+    """Folders of the table's batches, merged ones too, by batch; some may have been emptied."""
+    top = location(spark, table).rstrip("/")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = {}
+    for status in files.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("batch_id="):
+            found[unquote(name.removeprefix("batch_id="))] = status.getPath().toString()
+        elif name.startswith(f"_{_MERGED}"):
+            found[name.removeprefix("_")] = status.getPath().toString()
+    return found
+
+
+def _size(spark: SparkSession, folder: str) -> int:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(path).getLength()
 
 
 def finish_compaction(spark: SparkSession, table: str) -> None:
@@ -151,6 +244,8 @@ def finish_compaction(spark: SparkSession, table: str) -> None:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(some))
     for row in spark.read.text(f"{folder}/_old").collect():
         drop_partitions(spark, table, {"batch_id": row[0]})
+        if row[0].startswith(_MERGED):
+            remove(spark, _compacted(spark, table, row[0]))
     spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{_UNDER_WAY}')")
     spark.catalog.refreshTable(table)
 
@@ -198,6 +293,7 @@ def delete_game(spark: SparkSession, tables: Sequence[str], game_name: str) -> N
     for table in tables:
         if "batch_id" in spark.table(table).columns:
             drop_partitions(spark, table, {"game_name": game_name})
+            forget_game(spark, location(spark, table), game_name)
         else:
             _rewrite_without(spark, table, game_name)
 

@@ -62,9 +62,13 @@ def markdown_tables(items: DataFrame, rated: DataFrame, n_items: int = 10) -> Da
     game. A game adds only its aggregates to it, never its items, and a bounded number of
     them: one line per known sentiment and one for all other words, one line per category.
     """
-    overall = _few_values(metrics.overall_sentiment(items))
+    return tables_of(metrics.overall_sentiment(items), metrics.subcategory_counts(rated), report_items(items, n_items))
+
+
+def tables_of(overall: DataFrame, counts: DataFrame, newest: DataFrame) -> DataFrame:
+    """The same tables out of items counted by sentiment, topics counted, and the items to list."""
+    overall = _few_values(overall)
     total = overall.groupBy("game_name").agg(F.sum("number_of_items").alias("total_items"))
-    counts = metrics.subcategory_counts(rated)
     newest_first = -F.unix_micros("timestamp")
 
     lines = _lines(total, "total")
@@ -77,9 +81,7 @@ def markdown_tables(items: DataFrame, rated: DataFrame, n_items: int = 10) -> Da
             second=F.col("category"),
             third=F.col("rank"),
         ),
-        _lines(
-            report_items(items, n_items), "items", first=newest_first, second=F.col("content_id")
-        ),
+        _lines(newest, "items", first=newest_first, second=F.col("content_id")),
     ):
         lines = lines.unionByName(more)
 
@@ -234,6 +236,11 @@ def build_reports_from_parsed(
 def _build(every: DataFrame, items: DataFrame, rated: DataFrame, request: Request) -> DataFrame:
     tables = markdown_tables(items, rated, request.n_items)
     scope = report_scope(every, request.update_type, request.game_name)
+    return build_from_tables(scope, tables, request)
+
+
+def build_from_tables(scope: DataFrame, tables: DataFrame, request: Request) -> DataFrame:
+    """Report rows of the games in scope out of their five tables."""
     prompts = report_prompts(report_context(scope, tables), request.personas)
     answers = answer_prompts(prompts, request.load_model)
     return report_rows(answers, request.start, request.end, request.run_time)

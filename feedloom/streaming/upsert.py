@@ -6,12 +6,16 @@ from collections.abc import Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from feedloom import schemas
-from feedloom.operators.merge import insert_only, with_ids
-from feedloom.operators.tables import batch_name, create_item_table, write_batch
-from feedloom.plans.staging import scratch
+from feedloom.operators.key_index import KeyIndex
+from feedloom.operators.merge import newest_copy, with_ids, without_known
+from feedloom.operators.tables import batch_name, create_item_table, location, write_batch
+from feedloom.plans.staging import scratch, stage
+
+
+# An index of up to so many bytes is joined as it is; of a larger one the keys in question are written down first.
+SMALL_INDEX = 10_000_000
 
 
 def upsert(
@@ -22,11 +26,27 @@ def upsert(
     Rows without an id are told apart by all their columns. What is staged on the
     way is removed.
     """
+    create_item_table(rows.sparkSession, table, ddl)
+    _merge(rows, table, keys, f"run-{uuid4().hex}")
+
+
+def _merge(rows: DataFrame, table: str, keys: Sequence[str], name: str) -> None:
+    """Write the new rows as one batch; which keys are known the table's index tells.
+
+    The batch is written down first: it is used twice, and only its true size
+    tells the planner whether its keys can be broadcast. Of the index only buckets are read that
+    its keys can be in.
+    """
     spark = rows.sparkSession
-    create_item_table(spark, table, ddl)
     with scratch(spark):
-        new = insert_only(with_ids(rows), spark.table(table), keys)
-        write_batch(new, table, f"run-{uuid4().hex}")
+        index = KeyIndex(spark, table, location(spark, table), keys)
+        new = stage(newest_copy(with_ids(rows), keys), "batch")
+        known = index.known(new, but=name)
+        if known is not None:
+            new = without_known(new, known, keys, small=index.size <= SMALL_INDEX)
+        index.announce(name)
+        write_batch(new, table, name)
+        index.settle(name)
 
 
 def upsert_stream(
@@ -40,10 +60,7 @@ def upsert_stream(
     create_item_table(rows.sparkSession, table, ddl)
 
     def write(batch: DataFrame, number: int) -> None:
-        name = batch_name(checkpoint, number)
-        earlier = batch.sparkSession.table(table).where(F.col("batch_id") != name)
-        with scratch(batch.sparkSession):
-            write_batch(insert_only(with_ids(batch), earlier, keys), table, name)
+        _merge(batch, table, keys, batch_name(checkpoint, number))
 
     stream = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     stream.trigger(availableNow=True).start().awaitTermination()
