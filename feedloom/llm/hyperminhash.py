@@ -9,8 +9,8 @@ threshold go; all others are compared on their full sets of 64-bit shingle hashe
 
 Equal sets are brought together first, whatever their number. In a bucket of a band each set is compared
 with the bucket's leader, the member whose bands are the most crowded: the centre of a crowd of near copies. The
-links found make components. Only sets that share a bucket with another component go on:
-each set's rarest shingles, enough that two sets at the threshold share one, lead to partners of other
+links found make components. Only sets that share a bucket, whose leader they are not, with such a set of another
+component go on: each set's rarest shingles, enough that two sets at the threshold share one, lead to partners of other
 components, from the side that is not the largest component there, and only to sizes and places that
 can still reach the threshold if all rarer shingles differ. So a crowd is not compared pair by pair, and
 no pair is left out. Groups are connected components of all links.
@@ -48,7 +48,7 @@ SEED = 42
 SPREAD = 6
 _MOST_ZEROS = 62
 #: Words whose hashes a task remembers.
-_WORDS = 1_000_000
+_WORDS = 200_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 #: For each bucket, the order in which it borrows from the others; the bucket itself first.
 _ORDER = np.argsort(np.random.default_rng(SEED).random((REGISTERS, REGISTERS)) + 1 - 2 * np.eye(REGISTERS), axis=1)
@@ -235,14 +235,13 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _to_leaders(members: DataFrame) -> DataFrame:
-    """``a, b``: every set beside the leaders of its bands."""
+def _beside_leaders(members: DataFrame) -> DataFrame:
+    """``key, id, leader``: the members of each band but its leader, and that."""
     scores = members.groupBy("id").agg(F.sum("crowd").alias("score"))
     scored = members.join(stage(scores, "hmh-scores"), "id")
     leaders = scored.groupBy("key").agg(F.max(F.struct("score", "id")).alias("leader"))
     leaders = stage(leaders.select("key", F.col("leader.id").alias("leader")), "hmh-leaders")
-    beside = members.join(leaders, "key").where("id <> leader")
-    return beside.select(*_pair("id", "leader")).distinct()
+    return members.select("key", "id").join(leaders, "key").where("id <> leader")
 
 
 def _bin(n: Column) -> Column:
@@ -287,18 +286,20 @@ def links(docs: DataFrame, distinct: DataFrame, doc_id: str, text: str, width: i
     ``distinct`` has ``id, one, n, registers, keys`` of every set that is not empty.
     """
     members = stage(_shared(distinct), "hmh-members")
-    sets = distinct.select("id", "n", "registers")
-    near = stage(_estimated(_to_leaders(members), sets, threshold), "hmh-near")
-    wanted = stage(members.select("id").distinct().join(distinct.select("id", "one"), "id"), "hmh-wanted")
-    full = stage(_full_sets(docs, wanted, doc_id, text, width), "hmh-full")
+    sets = distinct.select("id", "one", "n", "registers").join(members.select("id").distinct(), "id")
+    sets = stage(sets, "hmh-sets")
+    beside = stage(_beside_leaders(members), "hmh-beside")
+    near = stage(_estimated(beside.select(*_pair("id", "leader")).distinct(), sets, threshold), "hmh-near")
+    full = stage(_full_sets(docs, sets.select("id", "one"), doc_id, text, width), "hmh-full")
     found = stage(_verified(near, full, threshold), "hmh-links")
 
+    # A leader has been compared with its whole band: what is left to compare are the others of a band.
     roots = stage(components(found, "a", "b"), "hmh-roots")
-    rooted = members.join(roots, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    rooted = beside.join(roots, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     rooted = stage(rooted, "hmh-rooted")
     mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     left = stage(rooted.join(stage(mixed.select("key"), "hmh-mixed-keys"), "key").select("id", "root").distinct(), "hmh-left")
-    left = stage(left.join(distinct, "id").select("id", "n", "root"), "hmh-left-sets")
+    left = stage(left.join(sets, "id").select("id", "n", "root"), "hmh-left-sets")
     tokens = full.join(left.select("id"), "id").mapInArrow(_tokens, "id long, token long")
     across = _across(tokens, left, threshold)
     rest = stage(_estimated(stage(across, "hmh-across"), sets, threshold), "hmh-rest")
