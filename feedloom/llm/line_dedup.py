@@ -6,8 +6,8 @@ removed, so a passage of many lines goes as a whole. A later occurrence that
 overlaps the first one in the same document covers only the lines after the first.
 
 Defined cases: a NULL text stays NULL and an empty one empty; a text of fewer
-than ``width`` lines has no window and stays; a window of blank lines does not
-count; a NULL id comes after all ids; rows alike in id and text are one document
+than ``width`` lines has no window and stays; a window of blank lines, which hold nothing but ASCII white
+space, does not count; a NULL id comes after all ids; rows alike in id and text are one document
 and get the same result; an empty table gives an empty table. Other columns pass unchanged.
 """
 
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from feedloom.plans.staging import stage
 
+#: White space of ASCII inside a line.
+_WHITE = " \t\x0b\x0c\r"
 #: Ids that are NULL come last.
 _LAST = 2**63 - 1
 
@@ -36,7 +38,7 @@ def windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
         parts = [F.element_at("lines", i + k + 1) for k in range(width)]
         blank = F.lit(True)
         for part in parts:
-            blank = blank & (F.trim(part) == "")
+            blank = blank & (F.trim(part, F.lit(_WHITE)) == "")
         return F.struct(
             i.alias("at"),
             F.xxhash64(*parts).alias("h1"),

@@ -13,7 +13,7 @@ WITH docs AS (
 ), found AS (
   SELECT doc_id, pos, lines[pos + 1] || chr(10) || lines[pos + 2] || chr(10) || lines[pos + 3] AS w
   FROM positions
-  WHERE trim(lines[pos + 1]) <> '' OR trim(lines[pos + 2]) <> '' OR trim(lines[pos + 3]) <> ''
+  WHERE trim(lines[pos + 1] || lines[pos + 2] || lines[pos + 3], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
 ), firsts AS (
   SELECT w, min((doc_id, pos)) AS f FROM found GROUP BY w HAVING count(*) > 1
 ), later AS (
