@@ -1,10 +1,10 @@
 """Document fingerprints that add up: a homomorphic hash of the multiset of paragraphs.
 
-A paragraph is hashed to a wide vector of 16-bit numbers. The fingerprint of a document is
-the sum of its paragraphs' vectors modulo 2^16, so the order of paragraphs does not matter, and
+A paragraph is hashed to a wide vector of 32-bit numbers. The fingerprint of a document is
+the sum of its paragraphs' vectors modulo 2^32, so the order of paragraphs does not matter, and
 a paragraph is inserted or deleted by adding or subtracting its vector. A second block of
 the fingerprint is summed the same way over the sentences of the paragraphs from vectors of
-+1 and -1, also modulo 2^16. The squared length of a difference of two such sums estimates
++1 and -1, also modulo 2^32, so that a text of up to 2^31 sentences is told apart from any other. The squared length of a difference of two such sums estimates
 how many sentences two documents do not share, which makes fingerprints comparable as well.
 
 Defined cases: NULL counts as an empty text, whose fingerprint is all zeros; blank lines are
@@ -28,7 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from feedloom.plans.staging import stage
 
-WIDE, SKETCH = 128, 256
+WIDE, SKETCH = 64, 256
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _NULL = 2**63 - 1
 
@@ -38,21 +38,21 @@ def paragraphs(text: str) -> list[str]:
 
 
 def _wide(lines: list[str]) -> np.ndarray:
-    data = b"".join([hashlib.shake_128(line.encode()).digest(2 * WIDE) for line in lines])
-    return np.frombuffer(data, "<u2").reshape(-1, WIDE).sum(0, dtype=np.uint16)
+    data = b"".join([hashlib.shake_128(line.encode()).digest(4 * WIDE) for line in lines])
+    return np.frombuffer(data, "<u4").reshape(-1, WIDE).sum(0, dtype=np.uint32)
 
 
 def _signs(lines: list[str]) -> np.ndarray:
     sentences = [s for line in lines for s in _SENTENCE.split(line.strip())]
     data = b"".join([hashlib.blake2b(s.encode(), digest_size=SKETCH // 8).digest() for s in sentences])
     ones = np.unpackbits(np.frombuffer(data, np.uint8).reshape(-1, SKETCH // 8), axis=1).sum(0, dtype=np.int64)
-    return (2 * ones - len(sentences)).astype(np.uint16)
+    return (2 * ones - len(sentences)).astype(np.uint32)
 
 
 def total(lines: list[str]) -> np.ndarray:
     """The sum of the vectors of paragraphs."""
     if not lines:
-        return np.zeros(WIDE + SKETCH, np.uint16)
+        return np.zeros(WIDE + SKETCH, np.uint32)
     return np.concatenate([_wide(lines), _signs(lines)])
 
 
@@ -66,18 +66,18 @@ def changed(found: np.ndarray, deleted: list[str], inserted: list[str]) -> np.nd
 
 
 def written(found: np.ndarray) -> str:
-    return base64.b64encode(found.astype("<u2").tobytes()).decode()
+    return base64.b64encode(found.astype("<u4").tobytes()).decode()
 
 
 def read(text: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(text), "<u2").astype(np.uint16)
+    return np.frombuffer(base64.b64decode(text), "<u4").astype(np.uint32)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """From 0 to 1: the share of sentences that two documents have in common, as estimated."""
     if np.array_equal(a, b):
         return 1.0
-    x, y, d = ((v[WIDE:]).astype(np.int16).astype(float) for v in (a, b, a - b))
+    x, y, d = ((v[WIDE:]).astype(np.int32).astype(float) for v in (a, b, a - b))
     size = x @ x + y @ y
     return float(min(1.0, max(0.0, 1 - d @ d / size))) if size else 0.0
 
