@@ -8,7 +8,7 @@ give more than it holds starts over, up to ``epochs`` times.
 
 Defined cases: a NULL text has no words; a NULL source is a source, the last
 one; a document without words is in the mix when its place in the order is;
-rows alike in id and size stand at one place of the order, and all of
+rows alike in id and text stand at one place of the order, and all of
 them are taken or none; an empty table gives an empty table. Other columns are
 not looked at.
 """
@@ -35,16 +35,17 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def place(doc_id: Column, size: Column) -> Column:
-    """The document's place in the shuffled order of its source."""
-    name = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), size.cast("string"))
+def place(doc_id: Column, size: Column, text: Column) -> Column:
+    """The document's place in the shuffled order of its source; ids that repeat, or are NULL, are told apart by text."""
+    digest = F.md5(F.coalesce(text, F.lit("")))
+    name = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), size.cast("string"), F.lit(":"), digest)
     return F.conv(F.substring(F.md5(name), 1, _DIGITS), 16, 10).cast("long")
 
 
 def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``doc_id, source, size, place`` of every document."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words(F.col(text)).alias("size"))
-    return rows.withColumn("place", place(F.col("doc_id"), F.col("size")))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words(F.col(text)).alias("size"), F.col(text).alias("text"))
+    return rows.withColumn("place", place(F.col("doc_id"), F.col("size"), F.col("text"))).drop("text")
 
 
 def targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), epochs: int = 3) -> DataFrame:
@@ -194,7 +195,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         F.col("source").alias("_mix_source"), F.col("epoch").alias("_mix_epoch"), F.col("last").alias("_mix_last")
     )
     doc_id, text, source = (options.get(k, k) for k in ("doc_id", "text", "source"))
-    rows = docs.withColumn("_mix_place", place(F.col(doc_id), words(F.col(text))))
+    rows = docs.withColumn("_mix_place", place(F.col(doc_id), words(F.col(text)), F.col(text)))
     times = copies(F.col("_mix_place"), F.col("_mix_epoch"), F.col("_mix_last"))
     kept = rows.join(ends, rows[source].eqNullSafe(ends["_mix_source"])).withColumn("_mix_times", times)
     return (

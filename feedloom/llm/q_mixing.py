@@ -7,11 +7,11 @@ from feedloom.llm.registry import register, table
 
 SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS body,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents
 ), placed AS (
-  SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || size::VARCHAR), 1, 15))::BIGINT AS place
+  SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || size::VARCHAR || ':' || body), 1, 15))::BIGINT AS place
   FROM sized
 ), weighed AS (
   SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS cap,
