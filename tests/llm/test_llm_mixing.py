@@ -34,14 +34,14 @@ def _targets(sizes, epochs=3):
 
 
 def _expected(rows, epochs=3):
-    docs = [(d, s, _size(t)) for d, t, s in rows]
+    docs = [(d, s, _size(t), hashlib.md5((t or "").encode()).hexdigest()) for d, t, s in rows]
     sizes = {}
-    for _, s, n in docs:
+    for _, s, n, _ in docs:
         sizes[s] = sizes.get(s, 0) + n
     target = _targets(sizes, epochs)
     placed = []
-    for d, s, n in docs:
-        name = f"{'' if d is None else d}:{n}"
+    for d, s, n, body in docs:
+        name = f"{'' if d is None else d}:{n}:{body}"
         placed.append((s, int(hashlib.md5(name.encode()).hexdigest()[:15], 16), d, n))
     copies = []
     none_first = lambda d: (d is not None, d or 0)
@@ -98,6 +98,16 @@ def test_hot_source_and_small_buckets(spark):
     assert {tuple(r) for r in mixing.cuts(sizes, shares, rows_per_bucket=1).collect()} == whole
 
 
+def test_rows_without_ids_reach_their_targets(spark):
+    """Two thirds of the rows have no id and one size: they are spread by their texts."""
+    rows = [cases.row(None if i % 3 else i, f"{i} " + "word " * 9, source=f"s{i % 2}") for i in range(6000)]
+    sources = mixing.mixed_sizes(cases.frame(spark, rows)).groupBy("source_size", "target").agg(F.sum("taken")).collect()
+    # Both sources have as many words, so they may come as one group of two.
+    assert sum(r[2] for r in sources) == pytest.approx(sum(r["target"] for r in sources), rel=0.01)
+    placed = mixing.sized(cases.frame(spark, rows)).agg(F.count_distinct("place")).first()[0]
+    assert placed == 6000
+
+
 def test_empty(spark):
     assert mixing.mixed_sizes(cases.frame(spark, [])).count() == 0
     assert mixing.mixed_documents(cases.frame(spark, [])).count() == 0

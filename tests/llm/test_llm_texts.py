@@ -27,7 +27,7 @@ def _without_repeats(docs, width=3):
         lines = name[1].split("\n")
         for i in range(len(lines) - width + 1):
             w = tuple(lines[i : i + width])
-            if not any(x.strip(" ") for x in w):
+            if not any(x.strip(" \t\x0b\x0c\r") for x in w):
                 continue
             if w not in first:
                 first[w] = (name, i)
@@ -59,6 +59,16 @@ def test_a_line_many_times_in_a_row_keeps_the_first_window(spark):
     assert line_dedup.dedup_lines(docs).first().text == "same\nsame\nsame\nend"
 
 
+def test_blank_lines_are_no_passage(spark):
+    """Lines of any ASCII white space do not repeat; those with other spaces are text."""
+    blank = "\n".join(["\t", " \r", "\x0b\x0c", "\t\t", "\r"])
+    odd = "\n".join(["\xa0", "\u2003", "\x85"])
+    rows = [cases.row(i, f"start {i}\n{blank}\nmiddle {i}\n{odd}\nend {i}") for i in range(4)]
+    found = line_dedup.dedup_lines(cases.frame(spark, rows)).select("doc_id", "text", "_dedup.n_lines", "_dedup.n_removed")
+    assert sorted(map(tuple, found.collect())) == _without_repeats([(r[0], r[1]) for r in rows])
+    assert {r.n_removed for r in found.collect()} == {0, 3}
+
+
 # --- personal data ----------------------------------------------------------------------
 
 _PATTERNS = (

@@ -209,6 +209,42 @@ def test_edited_and_next(spark):
     assert [r.doc_id for r in multiset_hash.report(cases.frame(spark, [cases.row(4, "alone here.")])).collect()] == [4]
 
 
+def _plain_fingerprint(text):
+    """Sums in whole numbers, reduced at the end."""
+    sums = [0] * (multiset_hash.WIDE + multiset_hash.SKETCH)
+    for line in text.split("\n"):
+        if not line.strip():
+            continue
+        wide = hashlib.shake_128(line.encode()).digest(4 * multiset_hash.WIDE)
+        for i in range(multiset_hash.WIDE):
+            sums[i] += int.from_bytes(wide[4 * i : 4 * i + 4], "little")
+        for sentence in re.split(r"(?<=[.!?])\s+", line.strip()):
+            bits = hashlib.blake2b(sentence.encode(), digest_size=multiset_hash.SKETCH // 8).digest()
+            for i in range(multiset_hash.SKETCH):
+                sums[multiset_hash.WIDE + i] += 1 if bits[i // 8] >> (7 - i % 8) & 1 else -1
+    return sums
+
+
+def test_fingerprints_are_plain_sums():
+    texts = [*cases.texts(20), "", "one. two! three? four", " \n\t\nx"]
+    for a, b in zip(texts, texts[1:], strict=False):
+        x, y = _plain_fingerprint(a), _plain_fingerprint(b)
+        assert [int(v) for v in multiset_hash.fingerprint(a)] == [v % 2**32 for v in x]
+        dx, dy = x[multiset_hash.WIDE :], y[multiset_hash.WIDE :]
+        size = sum(v * v for v in dx) + sum(v * v for v in dy)
+        apart = sum((v - w) ** 2 for v, w in zip(dx, dy, strict=True))
+        near = 1.0 if x == y else min(1, max(0, 1 - apart / size)) if size else 0.0
+        assert multiset_hash.likeness(multiset_hash.fingerprint(a), multiset_hash.fingerprint(b)) == pytest.approx(near)
+
+
+def test_likeness_of_very_long_texts():
+    """Forty thousand sentences of one kind: sums do not wrap."""
+    one, two = ("a sentence. " * 40_000).strip(), ("another one. " * 40_000).strip()
+    x, y, both = (multiset_hash.fingerprint(t) for t in (one, two, f"{one} {two}"))
+    assert multiset_hash.likeness(x, y) < 0.3
+    assert 0.55 < multiset_hash.likeness(x, both) < 0.8
+
+
 def test_ranges_agree_with_one_range(spark):
     rows = [cases.row(i // 2, t) for i, t in enumerate(cases.texts(90))]
     docs = cases.frame(spark, rows + rows[:3])
