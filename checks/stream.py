@@ -195,6 +195,31 @@ def stream_quality(spark, sf):
     return rows.groupBy("run").agg(F.sum("row_count").alias("row_count"), F.sum("broken").alias("broken"))
 
 
+@check(
+    "quarantine_rows",
+    sql(
+        "SELECT 'kept' AS table_name, content_id, game_name, '' AS broken FROM parsed_all "
+        "WHERE overall IS NOT NULL AND content_type <> 'Reddit Comment' UNION ALL "
+        "SELECT 'broken', content_id, game_name, concat_ws(', ', CASE WHEN overall IS NULL THEN 'rated' END, "
+        "CASE WHEN content_type = 'Reddit Comment' THEN 'review' END) FROM parsed_all "
+        "WHERE overall IS NULL OR content_type = 'Reddit Comment'"
+    ),
+)
+def quarantine_rows(spark, sf):
+    """Rows that break rules, with the names of these, beside the rows that are kept; two deliveries, the second
+    read by new streams, so that all broken rows are met twice."""
+    rules = {"rated": "overall IS NOT NULL", "review": "content_type <> 'Reddit Comment'"}
+    chain = chain_on(spark, "quarantined", rules=rules, quarantine=True)
+    for delivery in (views.first_delivery(spark, sf), views.feedback(spark, sf)):
+        upsert(delivery, chain.table(streams.BRONZE))
+        streams.refresh(spark, replace(chain, checkpoints=fresh_path(spark, "quarantined-checkpoints")))
+    kept = tables.items_of(spark, chain.table(streams.PARSED)).withColumn("broken", F.lit(""))
+    rest = tables.items_of(spark, chain.table(streams.QUARANTINE)).withColumn("broken", F.array_join("broken", ", "))
+    names = ["content_id", "game_name", "broken"]
+    kept, rest = (df.select(F.lit(name).alias("table_name"), *names) for df, name in ((kept, "kept"), (rest, "broken")))
+    return kept.unionByName(rest)
+
+
 def _translator():
     return lambda texts: [f"[{text[:20]}]" for text in texts]
 

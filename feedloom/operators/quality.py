@@ -30,6 +30,19 @@ def expect_or_drop(
     return df
 
 
+def with_broken(df: DataFrame, rules: Mapping[str, str] = VALID_OVERALL) -> DataFrame:
+    """Add ``broken``: the names of the rules a row breaks, in their order."""
+    names = [F.when(~_holds(c), F.lit(name)) for name, c in rules.items()]
+    return df.withColumn("broken", F.array_compact(F.array(*names)) if names else F.array().cast("array<string>"))
+
+
+def broken_metrics(marked: DataFrame, rules: Mapping[str, str] = VALID_OVERALL) -> dict[str, int]:
+    """Rows and violations of each rule among rows of :func:`with_broken`; reads that one column."""
+    failed = [F.count_if(F.array_contains("broken", name)).alias(f"rule_{n}") for n, name in enumerate(rules)]
+    counts = marked.agg(F.count("*").alias("rows"), *failed).first()
+    return {"rows": counts["rows"], **{name: counts[f"rule_{n}"] for n, name in enumerate(rules)}}
+
+
 def expect_metrics(df: DataFrame, rules: Mapping[str, str] = VALID_OVERALL) -> DataFrame:
     """Passed and dropped rows per rule, as a table."""
     counts = [

@@ -16,7 +16,7 @@ from feedloom import schemas
 from feedloom.functions.offline import glossary_translate, lexicon_extract
 from feedloom.operators import extraction
 from feedloom.operators.merge import not_yet_in
-from feedloom.operators.quality import VALID_OVERALL, expect_metrics
+from feedloom.operators.quality import VALID_OVERALL, broken_metrics, with_broken
 from feedloom.operators.tables import (
     batch_name,
     compact,
@@ -25,9 +25,11 @@ from feedloom.operators.tables import (
     location,
     write_batch,
 )
-from feedloom.plans.staging import scratch, shared_dir
+from feedloom.plans.staging import scratch, shared_dir, stage
 
 Transform = Callable[[DataFrame], DataFrame]
+# Makes of a batch what the table gets and what is set aside.
+Divide = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 # Table names other systems read.
 BRONZE = "feedback_content_bronze"
@@ -37,6 +39,8 @@ PARSED = "feedback_content_parsed"
 ITEMS = "feedback_content_gold"
 TOPICS = "feedback_content_sentiment_gold"
 REPORTS = "feedback_content_reports"
+# Not among them: rows that broke a rule.
+QUARANTINE = "feedback_content_quarantine"
 
 # Up to this many games of a batch are listed to find their partitions; others are found by the key.
 MAX_LISTED_GAMES = 1000
@@ -69,6 +73,8 @@ class Chain:
     files_per_batch: int | None = None
     # Called after a run with the rows and the violations of each rule, per parsed batch.
     on_quality: Callable[[Mapping[str, int]], None] | None = None
+    # Whether rows that break a rule are kept in a table of their own, with the names of the rules.
+    quarantine: bool = False
     # What makes an item one and the same, in all tables; ``game_name`` always belongs to it downstream.
     keys: Sequence[str] = ("content_id",)
     # Tables of more batches are compacted after a run, so that listings do not grow with runs.
@@ -99,21 +105,31 @@ def append_table(
     transform: Transform,
     checkpoint: str,
     keys: Sequence[str] = ("content_id",),
+    aside: tuple[str, str, Divide] | None = None,
 ) -> StreamingQuery:
     """Start to bring ``table`` up to date with ``source``; the stream then ends.
 
     A batch replaces its own partitions, so one that was cut short leaves
     nothing behind. A replayed batch makes new files, which the next table sees
     again; rows whose key another batch of the same game holds are left out. What a
-    batch stages is removed after its write.
+    batch stages is removed after its write. With ``aside``, a second table, its columns and what
+    divides a batch in place of ``transform``, the second part goes there under the same rules.
     """
     spark = source.sparkSession
     create_item_table(spark, table, ddl)
+    if aside is not None:
+        create_item_table(spark, *aside[:2])
 
     def write(batch: DataFrame, number: int) -> None:
         name = batch_name(checkpoint, number)
         with scratch(batch.sparkSession):
-            write_batch(transform(_unseen(batch, table, name, keys)), table, name)
+            new = _unseen(batch, table, name, keys)
+            if aside is None:
+                write_batch(transform(new), table, name)
+                return
+            kept, rest = aside[2](new)
+            write_batch(_unseen(rest, aside[0], name, keys), aside[0], name)
+            write_batch(kept, table, name)
 
     stream = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return stream.trigger(availableNow=True).start()
@@ -137,30 +153,14 @@ def _unseen(batch: DataFrame, table: str, name: str, keys: Sequence[str]) -> Dat
     return not_yet_in(batch, earlier, [*keys, *({"game_name"} - set(keys))])
 
 
-def stages(
-    chain: Chain, observed: list[Mapping[str, int]] | None = None
-) -> list[tuple[str, str, str, str, Transform]]:
-    """Source table and columns, target table and columns, and what lies between.
-
-    With ``observed``, the parsing of every batch adds its counts to it.
-    """
+def stages(chain: Chain) -> list[tuple[str, str, str, str, Transform]]:
+    """Source table and columns, target table and columns, and what lies between."""
     parsed = schemas.parsed_ddl(chain.categories)
     # Topics name their item by id and game; a wider key is carried along.
     carried = [k for k in chain.keys if k not in ("content_id", "game_name")]
     kinds = {f.name: f.dataType.simpleString() for f in item_table_schema(parsed)}
     topics_ddl = ", ".join([schemas.TOPICS, *[f"`{k}` {kinds[k]}" for k in carried]])
-
-    def parse(batch: DataFrame) -> DataFrame:
-        if observed is not None:
-            # Counted in a pass of its own: a batch of which no row stays is written by
-            # an empty plan, which observes nothing.
-            wide = extraction.parsed_wide(batch, chain.categories)
-            # One row per rule; without rules only the rows are counted.
-            counts = expect_metrics(wide, chain.rules or {"rows": "true"}).collect()
-            dropped = {r["rule"]: r["dropped"] for r in counts if r["rule"] in chain.rules}
-            observed.append({"rows": counts[0]["passed"] + counts[0]["dropped"], **dropped})
-        return extraction.parsed(batch, chain.categories, chain.rules)
-
+    parse = partial(extraction.parsed, categories=chain.categories, rules=chain.rules)
     topics = partial(extraction.gold_topics, categories=chain.categories, carry=carried)
     return [
         (BRONZE, schemas.FEEDBACK, TRANSLATED, schemas.TRANSLATED, chain.translate),
@@ -171,6 +171,21 @@ def stages(
     ]
 
 
+def _divided(chain: Chain, observed: list[Mapping[str, int]]) -> tuple[str, str, Divide]:
+    """The quarantine table and how a batch is divided: parsed once, written down, then counted and split."""
+
+    def divide(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        wide = extraction.parsed_wide(batch, chain.categories)
+        marked = stage(with_broken(wide, chain.rules), "marked")
+        if chain.on_quality is not None:
+            observed.append(broken_metrics(marked, chain.rules))
+        fine = F.size("broken") == 0
+        rest = marked.where(~fine) if chain.quarantine else marked.limit(0)
+        return marked.where(fine).drop("broken"), rest
+
+    return chain.table(QUARANTINE), f"{schemas.parsed_ddl(chain.categories)}, broken array<string>", divide
+
+
 def refresh(spark: SparkSession, chain: Chain) -> None:
     """Carry new bronze rows through all tables. Tables with the same source are
     filled side by side, the others one after the other.
@@ -179,25 +194,25 @@ def refresh(spark: SparkSession, chain: Chain) -> None:
     batches are compacted. One refresh runs at a time, and no upsert beside it.
     """
     checkpoints = checkpoints_of(spark, chain)
-    observed = None if chain.on_quality is None else []
-    for source, group in groupby(stages(chain, observed), key=itemgetter(0)):
+    observed: list[Mapping[str, int]] = []
+    divided = _divided(chain, observed) if chain.quarantine or chain.on_quality is not None else None
+    for source, group in groupby(stages(chain), key=itemgetter(0)):
         running = []
         try:
             for _, source_ddl, target, target_ddl, transform in group:
                 rows = new_rows(spark, chain.table(source), source_ddl, chain.files_per_batch)
                 checkpoint = f"{checkpoints}/{target}"
                 name = chain.table(target)
-                running.append(
-                    append_table(rows, name, target_ddl, transform, checkpoint, chain.keys)
-                )
+                aside = divided if target == PARSED else None
+                running.append(append_table(rows, name, target_ddl, transform, checkpoint, chain.keys, aside))
             for stream in running:
                 stream.awaitTermination()
         finally:
             for stream in running:
                 stream.stop()
-    for name in (BRONZE, TRANSLATED, EXTRACTED, PARSED, ITEMS, TOPICS):
+    for name in (BRONZE, TRANSLATED, EXTRACTED, PARSED, ITEMS, TOPICS, *[QUARANTINE] * (divided is not None)):
         compact(spark, chain.table(name), chain.most_batches)
-    for counts in observed or []:
+    for counts in observed:
         chain.on_quality(counts)
 
 
