@@ -23,7 +23,7 @@ import re
 import struct
 import zlib
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -209,6 +209,7 @@ class WordEncoder:
         # White space is no word, so it can stand for the end of a document.
         self.known: dict[bytes, int] = {b"\n": 0}
         self.pieces: dict[str, tuple[int, ...]] = {}
+        self.plain: dict[bytes, tuple[int, ...]] = {}
         self.flat = np.array([self.end], np.uint16)
         self.begin, self.length = np.zeros(1, np.int64), np.ones(1, np.int64)
 
@@ -224,14 +225,21 @@ class WordEncoder:
     def _learn(self, words: list[bytes]) -> None:
         encoded: list = [None] * len(words)
         other = []
+        plain, stops = self.plain, {bytes([b]): self._piece(chr(b)) for b in _STOPS}
         for i, word in enumerate(words):
+            stop = stops.get(word[-1:], ())
+            letters = word[:-1] if stop else word
+            if letters.isalpha():  # ASCII letters only
+                letters = letters.lower()
+                found = plain.get(letters)
+                if found is None:
+                    found = plain[letters] = self._piece(letters.decode())
+                encoded[i] = found + stop
+                continue
             text = word.decode()
-            if word.isalpha():  # ASCII letters only
-                encoded[i] = self._piece(text.lower())
-            elif word[-1] in _STOPS and word[:-1].isalpha():
-                encoded[i] = self._piece(text[:-1].lower()) + self._piece(text[-1])
-            elif _LETTERS.fullmatch(text):
-                encoded[i] = self._piece(text.lower())
+            if _LETTERS.fullmatch(text):
+                text = text.lower()
+                encoded[i] = self.pieces.get(text) or self._piece(text)
             elif "<|" not in text and _SIMPLE.fullmatch(text):
                 encoded[i] = tuple(chain.from_iterable(map(self._piece, _PIECES.findall(text.lower()))))
             else:
@@ -247,6 +255,10 @@ class WordEncoder:
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(encoded), np.uint16, int(lengths.sum()))])
         self.begin, self.length = np.concatenate([self.begin, at]), np.concatenate([self.length, lengths])
 
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        """The number of each known word, -1 for the others."""
+        return np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with its end id, and where each text ends."""
         words: list[bytes] = []
@@ -255,14 +267,19 @@ class WordEncoder:
             words += text.encode().split()
             words.append(b"\n")
             counts[i] = len(words)
-        found = set(words)
-        new = [w for w in found if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self._forget()
-            new = [w for w in found if w not in self.known]
-        if new:
-            self._learn(new)
-        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        index = self._numbers(words)
+        missing = np.flatnonzero(index < 0)
+        if len(missing):
+            unknown = [words[i] for i in missing.tolist()]
+            new = set(unknown)
+            if len(self.known) + len(new) > REMEMBERED:
+                self._forget()
+                unknown, new = words, set(words) - self.known.keys()
+            self._learn(list(new))
+            if unknown is words:
+                index = self._numbers(words)
+            else:
+                index[missing] = self._numbers(unknown)
         lengths = self.length[index]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
