@@ -44,7 +44,7 @@ BLOCK = frozenset(
 #: Elements that are never article text.
 NEVER = frozenset(
     _WORDS(
-        "head nav footer aside form menu dialog button select option input label fieldset object embed applet canvas svg"
+        "head nav footer aside menu dialog button select option input label fieldset object embed applet canvas svg"
         " audio video map"
     )
 ) | RAW
@@ -192,6 +192,8 @@ def parse(html: str, marks: bool = True) -> list[Node]:
             gone = _hidden(tag[3])
             # An article is one whatever it is called, unless it lies in another one, as comments do.
             marked = not gone and (name != "article" or open_now["article"] > 0) and _marked(tag[3], inside)
+        # A form is none of the article, unless the page lies in one; its fields never are.
+        marked = marked or (marks and name == "form" and not gone)
         node = Node(name, up, gone, marked)
         up.parts.append(node)
         nodes.append(node)

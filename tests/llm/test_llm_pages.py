@@ -52,3 +52,17 @@ def test_marks_beside_an_article_hold():
     nested = _article("One", 60, 5).replace("</article>", "<article class=comment><p>I liked it.</p></article></article>")
     assert _first_words("<body>" + nested) == ["One", *["one"] * 5]
     assert _first_words("<body><div hidden>" + _article("Two", 90, 9) + "</div>" + _article("One", 20, 2)) == ["One", "one", "one"]
+
+
+def test_a_page_in_a_form_keeps_its_text():
+    """Pages of some servers lie in one form; its fields are no text, and other forms are dropped."""
+    body = "".join(f"<p>Sentence {i} of a long article with many words in it.</p>" for i in range(9))
+    fields = '<label>Name</label><input name="a"><select><option>one</option></select><button>Go</button>'
+    page = f"<html><body><form action='x'><div>{body}</div>{fields}</form></body></html>"
+    expected = "\n\n".join(f"Sentence {i} of a long article with many words in it." for i in range(9))
+    assert html_text.main_text(page) == expected
+    assert html_text.main_text(page.replace("<div>", "<article>").replace("</div>", "</article>")) == expected
+    beside = f"<html><body><article>{body}</article><form><p>Subscribe to our letter now.</p>{fields}</form></body></html>"
+    assert html_text.main_text(beside) == expected
+    inside = f"<html><body><article>{body}<form><p>Subscribe to our letter.</p>{fields}</form></article></body></html>"
+    assert html_text.main_text(inside) == expected
