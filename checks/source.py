@@ -15,6 +15,7 @@ from feedloom.plans.staging import fresh_path
 from feedloom.sources import bounds
 from feedloom.sources import landed as files
 from feedloom.sources.ingest import ingest
+from feedloom.sources.kept import KeptSample
 
 _STEAM = (
     "source AS app_id, 's' || doc_id AS recommendationid, text AS review, "
@@ -326,6 +327,25 @@ def sample_threshold(spark, sf):
     return bounds.sample_threshold(rows, ["game_name"], "content_id", 20)
 
 
+@check(
+    "sample_merged",
+    sql(
+        "SELECT content_id, game_name FROM feedback QUALIFY row_number() OVER (PARTITION BY "
+        "game_name ORDER BY md5('sample' || content_id), content_id) <= 20"
+    ),
+)
+def sample_merged(spark, sf):
+    """Three deliveries that overlap, each met by the kept sample alone: as one draw over all."""
+    kept = KeptSample(spark, fresh_path(spark, "kept-sample"), ["game_name"], "content_id", 20)
+    for part in (
+        "timestamp < timestamp'2024-01-02 00:00:00'",
+        "timestamp BETWEEN timestamp'2024-01-01 12:00:00' AND timestamp'2024-01-02 12:00:00'",
+        "timestamp > timestamp'2024-01-02 06:00:00'",
+    ):
+        kept.extend(views.feedback(spark, sf).where(part))
+    return kept.rows().select("content_id", "game_name")
+
+
 @check(
     "sample_pooled_languages",
     sql(
