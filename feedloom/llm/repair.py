@@ -6,6 +6,7 @@ ids that are frequent in a shard are replaced by new symbols, round after round;
 says which two symbols a new one stands for. The file of a shard stores rules, the
 length each rule expands to, the remaining symbols and where in them each document
 begins. No rule crosses the end of a document, so one document is decoded from its own symbols alone.
+Rounds end when no pair is frequent any more or all 2^16 symbols are in use.
 
 Files are written by Spark, a row per shard, in a folder all executors share; the order of
 rows is by ``part`` and ``shard``. Starts of documents are added up from shards and
@@ -18,6 +19,7 @@ than a shard is a shard; an empty table gives an empty table. Other columns are
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -47,13 +49,13 @@ def compress(ids: np.ndarray, first: int, end: int, rounds: int = 5, least: int
     """Symbols and rules of a sequence of 16-bit ids.
 
     Symbols from ``first`` on are rules, at most 2^16 symbols in all. Each round counts all
-    pairs without the end id and replaces the most frequent ones, at least ``least`` times each, from left to right.
+    pairs without the end id and replaces the most frequent ones, from left to right. Rounds go on until no pair
+    occurs ``least`` times, the number from which a rule saves more bytes than it takes, or all symbols are
+    in use; that is not before so many ``rounds``, each of which may take its share of those left.
     """
     seq, rules = ids.astype(np.uint16), []
-    known, room = first, (1 << 16) - first
-    for left in range(rounds, 0, -1):
-        if len(seq) < 2 or room <= 0:
-            break
+    known, room, left = first, (1 << 16) - first, rounds
+    while len(seq) > 1 and room > 0:
         pairs = seq[:-1].astype(np.uint32) << np.uint32(16) | seq[1:]
         inner = seq != end
         pairs_at = inner[:-1] & inner[1:]
@@ -66,12 +68,12 @@ def compress(ids: np.ndarray, first: int, end: int, rounds: int = 5, least: int
         often = np.flatnonzero(counts >= least)
         if not len(often):
             break
-        often = often[np.argsort(-counts[often], kind="stable")][: -(-room // left)]
+        often = often[np.argsort(-counts[often], kind="stable")]
         chosen = ordered[bounds[often]]
-        # A slot for each pair; of two pairs in one slot the more frequent one stays.
-        slots = _slot(chosen)
-        _, own = np.unique(slots, return_index=True)
-        chosen = chosen[np.sort(own)]
+        # A slot for each pair; of two pairs in one slot the less frequent one waits for a later round.
+        _, own = np.unique(_slot(chosen), return_index=True)
+        chosen = chosen[np.sort(own)][: -(-room // left)]
+        left = max(left - 1, 1)
         # Free slots hold a pair that is never looked for.
         table, symbol = np.full(1 << 18, end << 16 | end, np.uint32), np.zeros(1 << 18, np.uint16)
         slots = _slot(chosen)
@@ -188,6 +190,26 @@ _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[0-9]|[^{_L}0-9]+")
 #: Words of letters alone, but for the one letter whose lower case is two characters.
 _LETTERS = re.compile(f"(?:(?!\u0130)[{_L}])+")
 _STOPS = frozenset(b".,;:!?")
+#: The rules in a tokenizer's own file that the expressions above repeat.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_SPLIT = {
+    "type": "Split",
+    "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+    "behavior": "Removed",
+    "invert": True,
+}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def _by_words(tokenizer: Tokenizer) -> bool:
+    """Whether a tokenizer cuts texts as is repeated here."""
+    own = json.loads(tokenizer.to_str())
+    cut = {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]}
+    special = all(token["content"].startswith("<|") for token in own["added_tokens"])
+    return own["normalizer"] == _NORMALIZER and own["pre_tokenizer"] == cut and special
 
 
 class WordEncoder:
@@ -195,13 +217,17 @@ class WordEncoder:
 
     No token of it reaches over white space, so each word is encoded once and looked
     up afterwards. Words of simple characters are cut here and given to the tokenizer's
-    model; any other word goes through the whole tokenizer.
+    model; any other word goes through the whole tokenizer. So do whole texts if the tokenizer
+    cuts by other rules than those repeated here. A vocabulary that leaves 16 bits no symbol is an error.
     """
 
     def __init__(self, path: str, end: int):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.end = end
+        if self.tokenizer.get_vocab_size() >= 1 << 16:
+            raise ValueError("shards hold symbols of 16 bits; the vocabulary fills them")
+        self.by_words = _by_words(self.tokenizer)
         self.numbers = list(range(self.tokenizer.get_vocab_size()))
         self._forget()
 
@@ -261,6 +287,10 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with its end id, and where each text ends."""
+        if not self.by_words:
+            found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+            whole = [np.array([*one.ids, self.end], np.uint16) for one in found]
+            return np.concatenate(whole), np.cumsum([len(one) for one in whole])
         words: list[bytes] = []
         counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):

@@ -78,6 +78,33 @@ def test_any_ids_come_back(ids, rounds):
     assert not (rules == 1).any()
 
 
+def test_rounds_go_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(7)
+    copies = np.concatenate([np.append(rng.integers(2, 50, 3000), 1)] * 300)
+    seq, rules = repair.compress(copies, 100, 1)
+    assert repair.Grammar(rules, 100).expand(seq).tolist() == copies.tolist()
+    pairs = [p for p in zip(seq[:-1].tolist(), seq[1:].tolist(), strict=True) if 1 not in p]
+    assert max((pairs.count(p) for p in set(pairs)), default=0) < 4
+    assert len(seq) <= 2 * 300 + 4
+
+
+def test_symbols_are_used_up_exactly():
+    ids = np.repeat(np.arange(2, 9000, dtype=np.uint16), 2)
+    seq, rules = repair.compress(np.tile(ids, 6), 65000, 1)
+    assert len(rules) == (1 << 16) - 65000
+    assert repair.Grammar(rules, 65000).expand(seq).tolist() == np.tile(ids, 6).tolist()
+
+
+def test_a_tokenizer_that_cuts_otherwise():
+    path = _WORDS.replace("word_bpe_49k", "byte_bpe_50k")
+    texts = ["It's  1024 words", "", " \t", "naïve <|endoftext|> x"]
+    whole = Tokenizer.from_file(path)
+    ids, ends = repair.WordEncoder(path, 1).encode(texts)
+    expected = [[*whole.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert ids.tolist() == [i for one in expected for i in one]
+    assert ends.tolist() == np.cumsum([len(one) for one in expected]).tolist()
+
+
 def test_documents_of_a_shard():
     rng = np.random.default_rng(1)
     docs = [np.append(rng.integers(2, 40, rng.integers(0, 400)), 1).astype(np.uint16) for _ in range(60)]
