@@ -4,9 +4,9 @@ Every node of a page has a density: its characters per tag, lowered by the share
 characters and tags that belong to links. The node whose children's densities have
 the largest sum holds the article. The lowest density on its way up to the body is
 a threshold: other subtrees count as content only from it upwards, and each of those
-gives its own node of largest sum. A title (``h1``) beside the content belongs to it. Content inside
-the only ``article`` (else a ``main``) element is that element; of several, each that the threshold
-chooses from is taken whole, and so are those beside the best one that are not mostly links.
+gives its own node of largest sum. A title (``h1``) beside the content belongs to it. An ``article`` (else a
+``main``) element that the threshold chooses from is taken whole, and so are articles beside the best one
+that are not mostly links; an only one takes over the sums of those around it of whose text it holds more than half.
 Elements that are never article text leave the tree first: by tag (menus, forms,
 scripts), if hidden, or by the words of their class, id or role (adverts, notices, comments). Such words
 do not take out an article, or what holds the densest or most of the text with no article beside it.
@@ -293,6 +293,18 @@ def _drop_marked(nodes: list[Node]) -> None:
             node.gone = not holds or (bool(sure) and not around(node).issuperset(sure))
 
 
+def _pass_on(elements: set[Node]) -> None:
+    """An only article or main element takes over the sums of those around it of whose text it holds more than half."""
+    if len(elements) != 1:
+        return
+    (own,) = elements
+    node = own.up
+    while node is not None:
+        if own.chars * 2 > node.chars:
+            own.total, node.total = max(own.total, node.total), 0.0
+        node = node.up
+
+
 def content(nodes: list[Node]) -> list[Node]:
     """The subtrees that hold the article, in page order."""
     _drop_marked(nodes)
@@ -300,17 +312,11 @@ def content(nodes: list[Node]) -> list[Node]:
     kept = [n for n in nodes if not n.gone and n.chars]
     if not kept:
         return []
+    articles, mains = _outermost(kept, "article"), _outermost(kept, "main")
+    for inside in (articles, mains):
+        _pass_on(set(inside.values()))
     best = max(kept, key=lambda n: n.total)
-    home = _outermost(kept, "article")
-    articles = list(dict.fromkeys(home.values()))
-    several = len(articles) > 1 and best in home
-    if not several:
-        for inside in (home, _outermost(kept, "main")):
-            if best in inside:
-                return [inside[best]]
-            held = set(inside.values())
-            if len(held) == 1 and all(n.chars * 2 > best.chars for n in held):
-                return list(held)
+    home = articles if best in articles else mains
     threshold, node = best.density, best.up
     while node is not None and node.tag not in ("body", "html"):
         threshold = min(threshold, node.density)
@@ -322,10 +328,12 @@ def content(nodes: list[Node]) -> list[Node]:
         if up in top and top[node].total > top[up].total:
             top[up] = top[node]
     chosen = {best} | {top[n] for n in kept if n.density >= threshold and n.tag not in ("body", "html")}
-    if several:
-        # What is chosen inside an article is that article; those beside the best one are its equals, unless they are links.
-        chosen = {home.get(n, n) for n in chosen}
-        chosen |= {n for n in articles if n.up is home[best].up and n.link_chars * 2 < n.chars}
+    # What is chosen inside an article, else main element, is that element.
+    chosen = {home.get(n, n) for n in chosen}
+    if best in articles:
+        # Articles beside it are its equals, unless they are links.
+        own = articles[best]
+        chosen |= {n for n in articles.values() if n.up is own.up and n.link_chars * 2 < n.chars}
     # A title beside the content, or beside what the content lies in, belongs to it.
     above, node = set(), best.up
     while node is not None:
