@@ -143,6 +143,30 @@ def run_refresh_landed(spark, sf):
     return _outcome(spark, chain).where("table_name = 'items'")
 
 
+@check("run_refresh_forum", sql(_OUTCOME, feedback=_FORUM_ROWS))
+def run_refresh_forum(spark, sf):
+    """Comments land before their posts, those of half the forums before any refresh knows of these."""
+    chain = chain_on(spark, "forum_as_landed")
+    whole = views.landed(spark, sf)["forum"]
+    posts, comments = (spark.read.json(f"{whole}/{name}") for name in ("posts", "comments"))
+    path = fresh_path(spark, "landing")
+    games = spark.createDataFrame([], "content_type string, app_id string, game_name string")
+    late = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    some = F.pmod(F.xxhash64("subreddit"), F.lit(2)) == 0
+    known = ingest(spark, "Reddit Comment", whole, max_comments=1)
+    upsert(known.where(F.pmod(F.xxhash64("game_name"), F.lit(2)) == 0), chain.table(streams.BRONZE))
+    early = F.pmod(F.xxhash64("comment_id"), F.lit(3)) > 0
+    deliveries = ((posts.where(~late), comments.where(early)), (posts.where(late & some), comments.where(~early)), (posts.where(late & ~some), None))
+    for new_posts, new_comments in deliveries:
+        new_posts.write.mode("append").json(f"{path}/posts")
+        if new_comments is not None:
+            new_comments.write.mode("append").json(f"{path}/comments")
+        runs.run_refresh(spark, chain, {"Reddit Comment": path}, games)
+        upsert(known, chain.table(streams.BRONZE))  # from the second refresh on all forums are known
+    streams.refresh(spark, chain)
+    return _outcome(spark, chain)
+
+
 @check(
     "report_rows_incremental",
     sql(

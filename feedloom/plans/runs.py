@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from hashlib import md5
 
@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from feedloom import schemas
 from feedloom.operators.metrics import distinct_game_sources
 from feedloom.operators.tables import create_item_table, items_of, save_reports
-from feedloom.operators.unify import conform, name_games, unify_play, unify_steam
+from feedloom.operators.unify import conform, name_games, unify_forum, unify_play, unify_steam
 from feedloom.plans.reports import Request, build_reports_from_parsed
-from feedloom.plans.staging import scratch
+from feedloom.plans.staging import folder_exists, scratch, stage
 from feedloom.sources import landed
 from feedloom.sources.ingest import content_type_of, ingest
 from feedloom.streaming.chain import BRONZE, PARSED, REPORTS, Chain, checkpoints_of, refresh
+from feedloom.streaming.forum import join_landed
 from feedloom.streaming.upsert import upsert, upsert_stream
 
 Options = Mapping[str, Mapping[str, object]]
@@ -59,9 +60,10 @@ def run_refresh(
 
     ``paths`` gives the landed files per content type, ``games`` the app id of
     each game (``content_type``, ``app_id``, ``game_name``), ``options`` what a
-    source is to be ingested with. All games of a source are read in one job. Review
-    files that a source without options holds are read once: later runs read what
-    landed since, and a game that is added later brings its older files itself.
+    source is to be ingested with. All games of a source are read in one job. Files
+    of a source without options are read once: later runs read what
+    landed since, and only a game that is new to them reads what landed before. A comment that
+    lands before its post waits for it.
 
     A known source without a path, or a known game without an app id, is an error
     before anything is read.
@@ -80,7 +82,7 @@ def run_refresh(
                 listed = games.where(F.col("content_type") == content_type)
                 apps = listed.join(own, "game_name", "left_semi").select("app_id", "game_name")
             chosen = options.get(content_type, {})
-            if chosen or content_type not in _STREAMED:
+            if chosen:
                 rows = ingest(spark, content_type, path, games=apps, **chosen)
                 upsert(rows, chain.table(BRONZE), chain.keys)
             else:
@@ -88,27 +90,59 @@ def run_refresh(
     refresh(spark, chain)
 
 
-# Sources whose rows stand alone; a comment may land before its post and is read again each time.
-_STREAMED = {
+_REVIEWS = {
     schemas.STEAM: (landed.read_steam, unify_steam),
     schemas.PLAY: (landed.read_play, unify_play),
 }
+# Up to so many games that are new to a source are named in its scan, which then skips other games' folders.
+MAX_NAMED_GAMES = 1000
 
 
 def _upsert_landed(
     spark: SparkSession, chain: Chain, content_type: str, path: str, apps: DataFrame
 ) -> None:
-    """Upsert what has landed since the last run of the same source and games.
+    """Upsert what has landed since the last run over the same folder.
 
-    Which games are known is part of the checkpoint's name: with another set, all files
-    are read again, so that no game misses what landed before it was known.
+    The games of the last run are written down once it has ended. Others have missed what landed before
+    and get all of it, without a second read for the games that were there. If nothing is
+    written down though a run began, all are read again, which adds nothing twice.
     """
-    read, unify = _STREAMED[content_type]
-    rows = conform(unify(name_games(read(spark, path, stream=True), apps)))
-    facts = apps.agg(F.count(F.lit(1)), F.sum(F.xxhash64("app_id", "game_name").cast("decimal(38,0)"))).first()
-    name = md5(f"{content_type} {path} {tuple(facts)}".encode()).hexdigest()[:12]
-    checkpoint = f"{checkpoints_of(spark, chain)}/landed-{name}"
-    upsert_stream(rows, chain.table(BRONZE), checkpoint, chain.keys)
+    table = chain.table(BRONZE)
+    folder = f"{checkpoints_of(spark, chain)}/landed-{md5(f'{content_type} {path}'.encode()).hexdigest()[:12]}"
+    apps = stage(apps, "apps")
+    if folder_exists(spark, folder):
+        games = f"{folder}/games"
+        new = apps
+        if folder_exists(spark, games):
+            new = apps.exceptAll(spark.read.schema(apps.schema).parquet(games).distinct())
+        new = stage(new, "new-games")
+        names = [row["app_id"] for row in new.select("app_id").distinct().limit(MAX_NAMED_GAMES + 1).collect()]
+        if names:
+            upsert(_landed_before(spark, content_type, path, new, names), table, chain.keys)
+    if content_type == schemas.FORUM:
+
+        def take(comments: DataFrame) -> None:
+            known = apps.select(F.col("app_id").alias("subreddit"))
+            upsert(conform(unify_forum(comments.join(known, "subreddit", "left_semi"))), table, chain.keys)
+
+        join_landed(spark, path, folder, take)
+    else:
+        read, unify = _REVIEWS[content_type]
+        rows = conform(unify(name_games(read(spark, path, stream=True), apps)))
+        upsert_stream(rows, table, f"{folder}/reviews", chain.keys)
+    apps.write.mode("overwrite").parquet(f"{folder}/games")
+
+
+def _landed_before(
+    spark: SparkSession, content_type: str, path: str, games: DataFrame, names: Sequence[str]
+) -> DataFrame:
+    if content_type == schemas.FORUM:
+        return ingest(spark, content_type, path, games=games)
+    read, unify = _REVIEWS[content_type]
+    rows = read(spark, path)
+    if len(names) <= MAX_NAMED_GAMES:
+        rows = rows.where(F.col("app_id").isin(*names))
+    return conform(unify(name_games(rows, games)))
 
 
 def _check(known: DataFrame, paths: Mapping[str, str], games: DataFrame) -> None:

@@ -64,6 +64,11 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         remove(spark, f"{shared_dir(spark)}/{run}")
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever file system it lies in; a missing one is no error."""
     jvm = spark.sparkContext._jvm
