@@ -138,7 +138,7 @@ def run_refresh_landed(spark, sf):
     path = fresh_path(spark, "landing")
     first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
     for part in (first, ~first):
-        pages.where(part).write.mode("append").partitionBy("app_id").text(path)
+        pages.where(part).write.mode("append").option("compression", "gzip").partitionBy("app_id").text(path)
         runs.run_refresh(spark, chain, {"Steam Review": path}, games)
     return _outcome(spark, chain).where("table_name = 'items'")
 
@@ -158,9 +158,9 @@ def run_refresh_forum(spark, sf):
     early = F.pmod(F.xxhash64("comment_id"), F.lit(3)) > 0
     deliveries = ((posts.where(~late), comments.where(early)), (posts.where(late & some), comments.where(~early)), (posts.where(late & ~some), None))
     for new_posts, new_comments in deliveries:
-        new_posts.write.mode("append").json(f"{path}/posts")
+        new_posts.write.mode("append").option("compression", "gzip").json(f"{path}/posts")
         if new_comments is not None:
-            new_comments.write.mode("append").json(f"{path}/comments")
+            new_comments.write.mode("append").option("compression", "gzip").json(f"{path}/comments")
         runs.run_refresh(spark, chain, {"Reddit Comment": path}, games)
         upsert(known, chain.table(streams.BRONZE))  # from the second refresh on all forums are known
     streams.refresh(spark, chain)

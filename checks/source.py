@@ -124,7 +124,7 @@ def ingest_redelivered(spark, sf):
     pages = spark.read.text(landed(spark, sf)["steam"])
     path = fresh_path(spark, "redelivered")
     for _ in range(3):
-        pages.write.mode("append").partitionBy("app_id").text(path)
+        pages.write.mode("append").option("compression", "gzip").partitionBy("app_id").text(path)
     found = ingest(spark, "Steam Review", path, cap=30)
     return found.groupBy("content_id", "game_name").agg(F.count("*").alias("row_count"))
 
