@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions.rows import row_by_row
 from feedloom.schemas import CATEGORIES
 
 GLOSSARY: Mapping[str, Mapping[str, str]] = {
@@ -66,6 +67,7 @@ LEXICON = Lexicon(
 )
 
 
+@row_by_row
 def glossary_translate(
     df: DataFrame,
     text_col: str = "content_text",
@@ -102,6 +104,7 @@ def glossary_translate(
     return with_book.withColumn(out_col, text).drop("_book")
 
 
+@row_by_row
 def lexicon_extract(
     df: DataFrame,
     text_col: str = "content_text",

@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from feedloom.functions.rows import row_by_row
 from feedloom.operators.quality import VALID_OVERALL, expect_or_drop
 from feedloom.schemas import CATEGORIES, extraction_ddl
 
@@ -44,6 +45,7 @@ def parsed_wide(extracted: DataFrame, categories: Sequence[str] = CATEGORIES) ->
     )
 
 
+@row_by_row
 def parsed(
     extracted: DataFrame,
     categories: Sequence[str] = CATEGORIES,
@@ -53,6 +55,7 @@ def parsed(
     return expect_or_drop(parsed_wide(extracted, categories), rules, observation)
 
 
+@row_by_row
 def gold_items(parsed_rows: DataFrame) -> DataFrame:
     return parsed_rows.select(
         "content_id",
@@ -115,6 +118,7 @@ def other_topics(parsed_rows: DataFrame) -> DataFrame:
     return _topic_rows(parsed_rows, _rated(_other_topics()))
 
 
+@row_by_row
 def gold_topics(
     parsed_rows: DataFrame, categories: Sequence[str] = CATEGORIES, carry: Sequence[str] = ()
 ) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from feedloom.plans.ranking import first_n
 from feedloom.plans.staging import stage
 
+# So many keys are broadcast; results do not depend on it.
+BROADCAST_KEYS = 200_000
+
 
 def with_ids(df: DataFrame, id_col: str = "content_id") -> DataFrame:
     """Rows without an id get one made from all their columns, the same each time."""
@@ -32,14 +35,30 @@ def newest_copy(df: DataFrame, keys: Sequence[str] = ("content_id",), time: str
     return first_n(df, keys, [*edited_at(df, time), *rest], 1)
 
 
+def newest_staged(rows: DataFrame, keys: Sequence[str] = ("content_id",), time: str = "timestamp") -> DataFrame:
+    """:func:`newest_copy`, written down. Only keys are shuffled to find those that come more than once, and
+    only rows of such keys meet each other, unless these are many."""
+    batch = stage(rows, "batch")
+    several = batch.groupBy(*keys).agg(F.count("*").alias("_rows")).where("_rows > 1")
+    several = stage(several.select(*[F.col(k).alias(f"_known_{k}") for k in keys]), "several")
+    n = several.count()
+    if not n:
+        return batch
+    if n > BROADCAST_KEYS:
+        return stage(newest_copy(batch, keys, time), "newest")
+    several = F.broadcast(several)
+    newest = newest_copy(batch.join(several, _same(keys), "left_semi"), keys, time)
+    return batch.join(several, _same(keys), "left_anti").unionByName(stage(newest, "newest"))
+
+
 def not_yet_in(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("content_id",)) -> DataFrame:
     """Rows of ``batch`` whose key ``existing`` does not hold; NULL equals NULL in a key.
 
     Only the key columns of ``existing`` are read, cut to the keys of the batch.
     While those are small enough to broadcast, the table is scanned and never
-    shuffled; beyond that it is shuffled with them on the key. What is known is
-    written down, so that its true size decides whether the batch itself, texts
-    and all, has to be shuffled too. Mostly nothing is known, and it has not.
+    shuffled; beyond that it is shuffled with them on the key. The batch itself, texts
+    and all, is shuffled only if many of its keys are known and many others are not. If
+    none is known, it is returned as it is.
     """
     return without_known(batch, existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys]), keys)
 
@@ -52,7 +71,13 @@ def without_known(batch: DataFrame, known: DataFrame, keys: Sequence[str], small
     if small:
         return batch.join(F.broadcast(known), _same(keys), "left_anti")
     known = stage(known.join(batch.select(*keys), _same(keys), "left_semi"), "known")
-    return batch.join(known, _same(keys), "left_anti")
+    n = known.count()
+    if n <= BROADCAST_KEYS:
+        return batch.join(F.broadcast(known), _same(keys), "left_anti") if n else batch
+    fresh = stage(batch.select(*keys).join(known, _same(keys), "left_anti"), "fresh")
+    fresh = fresh.withColumnsRenamed({k: f"_known_{k}" for k in keys})
+    fresh = F.broadcast(fresh) if fresh.count() <= BROADCAST_KEYS else fresh.hint("shuffle_hash")
+    return batch.join(fresh, _same(keys), "left_semi")
 
 
 def _same(keys: Sequence[str]) -> list[Column]:
@@ -70,8 +95,7 @@ def insert_only(
     The batch is written down first: it is used twice, and only its true size
     tells the planner whether its keys can be broadcast.
     """
-    batch = stage(newest_copy(batch, keys, time), "batch")
-    return not_yet_in(batch, existing, keys)
+    return not_yet_in(newest_staged(batch, keys, time), existing, keys)
 
 
 def batch_profile(df: DataFrame, id_col: str = "content_id") -> DataFrame:

@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.operators.key_index import forget_game
-from feedloom.plans.staging import remove
+from feedloom.plans.staging import COMPRESSION, remove, settings
 
 PARTITIONS = ("batch_id", "game_name")
-_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+# Partitions that are written replace those there; a task that meets few games writes them side by side, without a sort.
+_WRITING = {"spark__sql__sources__partitionOverwriteMode": "dynamic", "spark__sql__maxConcurrentOutputFileWriters": 32}
 # Partitions one statement drops.
 _AT_ONCE = 200
 _NO_NAME = "__HIVE_DEFAULT_PARTITION__"
@@ -48,7 +49,8 @@ def create_item_table(spark: SparkSession, table: str, ddl: str) -> None:
     schema = item_table_schema(ddl)
     if not spark.catalog.tableExists(table):
         empty = spark.createDataFrame([], schema)
-        empty.write.format("parquet").partitionBy(*PARTITIONS).saveAsTable(table)
+        # Kept as an option of the table, so that whatever is inserted is written so.
+        empty.write.format("parquet").option("compression", COMPRESSION).partitionBy(*PARTITIONS).saveAsTable(table)
         return
     present = set(spark.table(table).columns)
     new = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in present]
@@ -66,36 +68,30 @@ def batch_name(checkpoint: str, number: int) -> str:
     return f"{md5(checkpoint.encode()).hexdigest()[:8]}-{number}"
 
 
-def write_batch(rows: DataFrame, table: str, batch_id: str) -> None:
+def write_batch(rows: DataFrame, table: str, batch_id: str, spread: bool = True) -> None:
     """Make ``rows`` the content of one batch; written again, it replaces itself.
 
     Partitions that an earlier attempt left under this batch go first, also those of
     games that are not in it any more. Rows are spread by game before the write;
     adaptive execution splits a game that fills more than one task and merges the
-    small ones.
+    small ones. Rows that come, without a shuffle between, from files of one game each
+    need no ``spread``: a task writes no more files than it reads.
     """
     spark = rows.sparkSession
     columns = spark.table(table).columns
     batch = rows.withColumn("batch_id", F.lit(batch_id)).select(*columns)
     drop_partitions(spark, table, {"batch_id": batch_id})
-    before = spark.conf.get(_OVERWRITE)
-    spark.conf.set(_OVERWRITE, "dynamic")
-    try:
-        batch.hint("rebalance", "game_name").write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(_OVERWRITE, before)
+    batch = batch.hint("rebalance", "game_name") if spread else batch
+    with settings(spark, **_WRITING):
+        batch.write.mode("overwrite").insertInto(table)
 
 
 def write_batches(rows: DataFrame, table: str) -> None:
     """Write rows that name their batch; the partitions they fill are replaced."""
     spark = rows.sparkSession
     batch = rows.select(*spark.table(table).columns)
-    before = spark.conf.get(_OVERWRITE)
-    spark.conf.set(_OVERWRITE, "dynamic")
-    try:
+    with settings(spark, **_WRITING):
         batch.hint("rebalance", *PARTITIONS).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(_OVERWRITE, before)
 
 
 def batches(spark: SparkSession, table: str) -> set[str]:
@@ -180,7 +176,7 @@ def compact(spark: SparkSession, table: str, batches: int = 100) -> list[str]:
     new = f"{_MERGED}{uuid4().hex}"
     folder = _compacted(spark, table, new)
     rows = spark.table(table).where(F.col("batch_id").isin(old)).drop("batch_id").hint("rebalance", "game_name")
-    rows.write.partitionBy("game_name").parquet(folder)
+    rows.write.option("compression", COMPRESSION).partitionBy("game_name").parquet(folder)
     spark.createDataFrame([(b,) for b in old], "value string").write.text(f"{folder}/_old")
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_UNDER_WAY}' = '{new}')")
     finish_compaction(spark, table)

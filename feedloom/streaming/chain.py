@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from feedloom import schemas
 from feedloom.functions.offline import glossary_translate, lexicon_extract
+from feedloom.functions.rows import is_row_by_row, row_by_row
 from feedloom.operators import extraction
 from feedloom.operators.merge import not_yet_in
 from feedloom.operators.quality import VALID_OVERALL, broken_metrics, with_broken
@@ -52,6 +53,7 @@ MAX_FILE_AGE = "36500d"
 LANGUAGE_NAMES = {"french": "fr", "german": "de", "spanish": "es", "latam": "es"}
 
 
+@row_by_row
 def translate_offline(df: DataFrame) -> DataFrame:
     """By glossary, in the language the source recorded, if it did."""
     recorded = F.get_json_object("content_metadata", "$.language")
@@ -112,7 +114,8 @@ def append_table(
     A batch replaces its own partitions, so one that was cut short leaves
     nothing behind. A replayed batch makes new files, which the next table sees
     again; rows whose key another batch of the same game holds are left out. What a
-    batch stages is removed after its write. With ``aside``, a second table, its columns and what
+    batch stages is removed after its write. A transform marked as working row by row is not
+    followed by a shuffle: a file of ``source`` holds one game. With ``aside``, a second table, its columns and what
     divides a batch in place of ``transform``, the second part goes there under the same rules.
     """
     spark = source.sparkSession
@@ -125,11 +128,11 @@ def append_table(
         with scratch(batch.sparkSession):
             new = _unseen(batch, table, name, keys)
             if aside is None:
-                write_batch(transform(new), table, name)
+                write_batch(transform(new), table, name, spread=new is not batch or not is_row_by_row(transform))
                 return
             kept, rest = aside[2](new)
             write_batch(_unseen(rest, aside[0], name, keys), aside[0], name)
-            write_batch(kept, table, name)
+            write_batch(kept, table, name, spread=new is not batch)
 
     stream = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return stream.trigger(availableNow=True).start()

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 
 from feedloom import schemas
 from feedloom.operators.key_index import KeyIndex
-from feedloom.operators.merge import newest_copy, with_ids, without_known
+from feedloom.operators.merge import newest_staged, with_ids, without_known
 from feedloom.operators.tables import batch_name, create_item_table, location, write_batch
-from feedloom.plans.staging import scratch, stage
+from feedloom.plans.staging import scratch
 
 
 # An index of up to so many bytes is joined as it is; of a larger one the keys in question are written down first.
@@ -33,14 +33,13 @@ def upsert(
 def _merge(rows: DataFrame, table: str, keys: Sequence[str], name: str) -> None:
     """Write the new rows as one batch; which keys are known the table's index tells.
 
-    The batch is written down first: it is used twice, and only its true size
-    tells the planner whether its keys can be broadcast. Of the index only buckets are read that
+    The batch is written down first, since it is used several times. Of the index only buckets are read that
     its keys can be in.
     """
     spark = rows.sparkSession
     with scratch(spark):
         index = KeyIndex(spark, table, location(spark, table), keys)
-        new = stage(newest_copy(with_ids(rows), keys), "batch")
+        new = newest_staged(with_ids(rows), keys)
         known = index.known(new, but=name)
         if known is not None:
             new = without_known(new, known, keys, small=index.size <= SMALL_INDEX)
