@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,17 +38,22 @@ def newest_copy(df: DataFrame, keys: Sequence[str] = ("content_id",), time: str
 def newest_staged(rows: DataFrame, keys: Sequence[str] = ("content_id",), time: str = "timestamp") -> DataFrame:
     """:func:`newest_copy`, written down. Only keys are shuffled to find those that come more than once, and
     only rows of such keys meet each other, unless these are many."""
+    return _newest_staged(rows, keys, time)[0]
+
+
+def _newest_staged(rows: DataFrame, keys: Sequence[str], time: str = "timestamp") -> tuple[DataFrame, bool]:
+    """The same, and whether all rows were shuffled."""
     batch = stage(rows, "batch")
     several = batch.groupBy(*keys).agg(F.count("*").alias("_rows")).where("_rows > 1")
     several = stage(several.select(*[F.col(k).alias(f"_known_{k}") for k in keys]), "several")
     n = several.count()
     if not n:
-        return batch
+        return batch, False
     if n > BROADCAST_KEYS:
-        return stage(newest_copy(batch, keys, time), "newest")
+        return stage(newest_copy(batch, keys, time), "newest"), True
     several = F.broadcast(several)
     newest = newest_copy(batch.join(several, _same(keys), "left_semi"), keys, time)
-    return batch.join(several, _same(keys), "left_anti").unionByName(stage(newest, "newest"))
+    return batch.join(several, _same(keys), "left_anti").unionByName(stage(newest, "newest")), False
 
 
 def not_yet_in(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("content_id",)) -> DataFrame:
@@ -68,22 +73,43 @@ def without_known(batch: DataFrame, known: DataFrame, keys: Sequence[str], small
 
     ``small`` says that all of ``known`` can be broadcast.
     """
+    return _without_known(batch, known, keys, small)[0]
+
+
+def _without_known(batch: DataFrame, known: DataFrame, keys: Sequence[str], small: bool) -> tuple[DataFrame, bool]:
+    """The same, and whether all rows are shuffled."""
     if small:
-        return batch.join(F.broadcast(known), _same(keys), "left_anti")
+        return batch.join(F.broadcast(known), _same(keys), "left_anti"), False
     known = stage(known.join(batch.select(*keys), _same(keys), "left_semi"), "known")
     n = known.count()
     if n <= BROADCAST_KEYS:
-        return batch.join(F.broadcast(known), _same(keys), "left_anti") if n else batch
+        return batch.join(F.broadcast(known), _same(keys), "left_anti") if n else batch, False
     fresh = stage(batch.select(*keys).join(known, _same(keys), "left_anti"), "fresh")
     fresh = fresh.withColumnsRenamed({k: f"_known_{k}" for k in keys})
-    fresh = F.broadcast(fresh) if fresh.count() <= BROADCAST_KEYS else fresh.hint("shuffle_hash")
-    return batch.join(fresh, _same(keys), "left_semi")
+    few = fresh.count() <= BROADCAST_KEYS
+    fresh = F.broadcast(fresh) if few else fresh.hint("shuffle_hash")
+    return batch.join(fresh, _same(keys), "left_semi"), not few
 
 
 def _same(keys: Sequence[str]) -> list[Column]:
     return [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
 
 
+def new_rows(
+    rows: DataFrame, known: Callable[[DataFrame], tuple[DataFrame | None, bool]], keys: Sequence[str]
+) -> tuple[DataFrame, bool]:
+    """The newest copy of each key that is not known, and whether all rows are shuffled to find them.
+
+    ``known`` gives, for rows, keys as ``_known_`` columns, NULL if none is known, and whether these are few.
+    """
+    new, moved = _newest_staged(rows, keys)
+    found, small = known(new)
+    if found is None:
+        return new, moved
+    new, shuffled = _without_known(new, found, keys, small)
+    return new, moved or shuffled
+
+
 def insert_only(
     batch: DataFrame,
     existing: DataFrame,

@@ -129,7 +129,7 @@ def _upsert_landed(
     else:
         read, unify = _REVIEWS[content_type]
         rows = conform(unify(name_games(read(spark, path, stream=True), apps)))
-        upsert_stream(rows, table, f"{folder}/reviews", chain.keys)
+        upsert_stream(rows, table, f"{folder}/reviews", chain.keys, by_game=landed.by_app(spark, path))
     apps.write.mode("overwrite").parquet(f"{folder}/games")
 
 

@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import schemas
+from feedloom.operators import merge
 from feedloom.operators.unify import conform, name_games, unify_forum, unify_play, unify_steam
 from feedloom.plans.ranking import first_n
+from feedloom.plans.staging import stage
 from feedloom.sources import bounds, landed
 
 Time = date | datetime
@@ -119,12 +121,26 @@ def ingest_forum(
 def newest_edit(
     rows: DataFrame, by: Sequence[str], id_col: str, times: Sequence[Column]
 ) -> DataFrame:
-    """One row per id, the last by ``times``; rows without an id all stay, copies of them apart."""
+    """One row per id, the last by ``times``; rows without an id all stay, copies of them apart.
+
+    Ids are counted first, a job that runs while the plan is made. Only rows of ids that come more than once
+    are shuffled, unless these ids are too many to be broadcast; all others, texts and all, stay where they are read.
+    """
     whole = F.to_json(F.struct(*rows.columns))
     own = F.when(F.col(id_col).isNull(), F.md5(whole))
     keyed = rows.withColumn("_own", own)
+    keys = [*by, id_col, "_own"]
     order = [*[t.desc_nulls_last() for t in times], F.xxhash64(whole)]
-    return first_n(keyed, [*by, id_col, "_own"], order, 1).drop("_own")
+    several = keyed.groupBy(*keys).agg(F.count("*").alias("_rows")).where("_rows > 1")
+    several = stage(several.select(*[F.col(k).alias(f"_known_{k}") for k in keys]), "several")
+    n = several.count()
+    if not n:
+        return rows
+    if n > merge.BROADCAST_KEYS:
+        return first_n(keyed, keys, order, 1).drop("_own")
+    same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
+    newest = first_n(keyed.join(F.broadcast(several), same, "left_semi"), keys, order, 1)
+    return keyed.join(F.broadcast(several), same, "left_anti").unionByName(newest).drop("_own")
 
 
 def _in_time(

@@ -33,6 +33,14 @@ def read_play(spark: SparkSession, path: str, *, stream: bool = False) -> DataFr
     return _json(spark, path, f"{schemas.PLAY_REVIEW}, app_id string", stream=stream)
 
 
+def by_app(spark: SparkSession, path: str) -> bool:
+    """Whether all that landed in a folder lies in ``app_id=…`` folders, a file holding one app."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = (status.getPath().getName() for status in files.globStatus(folder.suffix("/*")) or ())
+    return all(name.startswith(("app_id=", "_", ".")) for name in names)
+
+
 def read_posts(spark: SparkSession, path: str, *, stream: bool = False) -> DataFrame:
     posts = _json(spark, path, schemas.FORUM_POST, stream=stream)
     link = F.concat(F.lit(schemas.FORUM_BASE_URL), F.col("permalink"))

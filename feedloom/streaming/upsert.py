@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from feedloom import schemas
 from feedloom.operators.key_index import KeyIndex
-from feedloom.operators.merge import newest_staged, with_ids, without_known
+from feedloom.operators.merge import new_rows, with_ids
 from feedloom.operators.tables import batch_name, create_item_table, location, write_batch
 from feedloom.plans.staging import scratch
 
@@ -30,21 +30,22 @@ def upsert(
     _merge(rows, table, keys, f"run-{uuid4().hex}")
 
 
-def _merge(rows: DataFrame, table: str, keys: Sequence[str], name: str) -> None:
+def _merge(rows: DataFrame, table: str, keys: Sequence[str], name: str, by_game: bool = False) -> None:
     """Write the new rows as one batch; which keys are known the table's index tells.
 
     The batch is written down first, since it is used several times. Of the index only buckets are read that
-    its keys can be in.
+    its keys can be in. Rows that come ``by_game`` are not shuffled for the write, unless they were for their keys.
     """
     spark = rows.sparkSession
     with scratch(spark):
         index = KeyIndex(spark, table, location(spark, table), keys)
-        new = newest_staged(with_ids(rows), keys)
-        known = index.known(new, but=name)
-        if known is not None:
-            new = without_known(new, known, keys, small=index.size <= SMALL_INDEX)
+
+        def known(asked: DataFrame) -> tuple[DataFrame | None, bool]:
+            return index.known(asked, but=name), index.size <= SMALL_INDEX
+
+        new, moved = new_rows(with_ids(rows), known, keys)
         index.announce(name)
-        write_batch(new, table, name)
+        write_batch(new, table, name, spread=moved or not by_game)
         index.settle(name)
 
 
@@ -54,12 +55,17 @@ def upsert_stream(
     checkpoint: str,
     keys: Sequence[str] = ("content_id",),
     ddl: str = schemas.FEEDBACK,
+    by_game: bool = False,
 ) -> None:
-    """Upsert what a stream has to offer and stop; a replayed batch adds nothing."""
+    """Upsert what a stream has to offer and stop; a replayed batch adds nothing.
+
+    ``by_game`` says that rows come, without a shuffle between, from files of one game each: a task then writes
+    no more files than it reads.
+    """
     create_item_table(rows.sparkSession, table, ddl)
 
     def write(batch: DataFrame, number: int) -> None:
-        _merge(batch, table, keys, batch_name(checkpoint, number))
+        _merge(batch, table, keys, batch_name(checkpoint, number), by_game)
 
     stream = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     stream.trigger(availableNow=True).start().awaitTermination()

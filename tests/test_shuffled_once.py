@@ -119,3 +119,51 @@ def test_kept_rows_are_compressed(spark):
     kept.create()
     kept.add(spark.range(5), 1)
     assert all(f.endswith(".zstd.parquet") for f in spark.read.parquet(kept.runs()[0].path).inputFiles())
+
+
+@pytest.mark.parametrize("broadcast", [0, 1, 100])
+def test_newest_edit_of_any_number_of_ids(spark, monkeypatch, broadcast):
+    from feedloom.sources.ingest import newest_edit
+
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", broadcast)
+    rows = [("a", "1", 1), ("a", "1", 2), ("b", "1", 1), ("b", "2", 5), ("b", "2", 5), ("a", None, 1), ("a", None, 1), ("a", None, 2), ("c", "3", None), ("c", "3", 0)]
+    made = spark.createDataFrame(rows, "app_id string, id string, edited int")
+    found = newest_edit(made, ["app_id"], "id", [F.col("edited")]).collect()
+    expected = [("a", "1", 2), ("b", "1", 1), ("b", "2", 5), ("a", None, 1), ("a", None, 2), ("c", "3", 0)]
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+
+
+def test_rows_landed_once_are_not_shuffled_to_find_their_newest_edit(spark):
+    from feedloom.sources.ingest import ingest
+
+    assert "Exchange" not in plan(ingest(spark, "Steam Review", views.landed(spark, SF)["steam"]))
+
+
+@pytest.mark.parametrize("in_folders", [True, False])
+def test_reviews_in_folders_of_their_app_are_written_as_they_lie(spark, database, monkeypatch, in_folders):
+    from feedloom.plans import runs
+    from feedloom.streaming import upsert as upserts
+
+    spread, write = [], tables.write_batch
+
+    def seen(rows, table, batch_id, **options):
+        spread.append(options["spread"])
+        write(rows, table, batch_id, **options)
+
+    apps = views.apps(spark, SF).withColumn("content_type", F.lit("Steam Review"))
+    path = views.landed(spark, SF)["steam"]
+    if not in_folders:
+        copy = fresh_path(spark, "no-folders")
+        spark.read.json(path).write.json(copy)
+        path = copy
+    chain = streams.Chain(database, fresh_path(spark, "by-app"), translate=views.translate_none, extract=views.answer)
+    known = spark.createDataFrame([("s0", "Steam Review", r.game_name) for r in apps.collect()], "content_id string, content_type string, game_name string")
+    known = known.withColumn("content_id", F.concat("content_id", F.lit("-"), "game_name"))
+    for column, kind in (("content_text", "string"), ("timestamp", "timestamp"), ("author_id", "string"), ("content_metadata", "string")):
+        known = known.withColumn(column, F.lit(None).cast(kind))
+    upsert(known, chain.table(streams.BRONZE))
+    monkeypatch.setattr(upserts, "write_batch", seen)
+    runs.run_refresh(spark, chain, {"Steam Review": path}, apps)
+    assert spread == [not in_folders]
+    n = spark.read.parquet(f"{SF}/documents.parquet").join(spark.read.parquet(f"{SF}/events.parquet"), F.expr("doc_id = event_id")).count()
+    assert tables.items_of(spark, chain.table(streams.BRONZE)).where("content_text IS NOT NULL").count() == n
