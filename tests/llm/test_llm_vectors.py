@@ -411,3 +411,19 @@ def test_components(spark):
                 changed = True
     assert got == own
     assert components.components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_words_keep_their_ids_when_a_worker_forgets_or_fails(monkeypatch):
+    texts = ["Alpha beta, gamma.", "", "beta naïve. Straße 12 gamma!", "alpha, <|x|> betaİ delta"]
+    expected = [repair.load(_WORDS, 1).encode([text])[0].tolist() for text in texts]
+    encoder = repair.WordEncoder(_WORDS, 1)
+    monkeypatch.setattr(repair, "REMEMBERED", 3)
+    for text, ids in [*zip(texts, expected, strict=True)] * 2:
+        assert encoder.encode_utf8([text.encode()])[0].tolist() == ids
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        encoder.encode(["words not met before"])
+    monkeypatch.setattr(encoder, "_learn", learn)
+    for text, ids in zip(texts, expected, strict=True):
+        assert encoder.encode([text])[0].tolist() == ids
