@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from feedloom.plans.ranking import first_n
 from feedloom.plans.staging import stage
 
-# So many keys are broadcast; results do not depend on it.
-BROADCAST_KEYS = 200_000
+# So many keys, some 50 MB, are broadcast; results do not depend on it.
+BROADCAST_KEYS = 500_000
 
 
 def with_ids(df: DataFrame, id_col: str = "content_id") -> DataFrame:
@@ -65,7 +65,11 @@ def not_yet_in(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = ("co
     and all, is shuffled only if many of its keys are known and many others are not. If
     none is known, it is returned as it is.
     """
-    return without_known(batch, existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys]), keys)
+    return without_known(batch, known_keys(existing, keys), keys)
+
+
+def known_keys(existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
 
 
 def without_known(batch: DataFrame, known: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:
@@ -73,11 +77,13 @@ def without_known(batch: DataFrame, known: DataFrame, keys: Sequence[str], small
 
     ``small`` says that all of ``known`` can be broadcast.
     """
-    return _without_known(batch, known, keys, small)[0]
+    return unknown_rows(batch, known, keys, small)[0]
 
 
-def _without_known(batch: DataFrame, known: DataFrame, keys: Sequence[str], small: bool) -> tuple[DataFrame, bool]:
-    """The same, and whether all rows are shuffled."""
+def unknown_rows(
+    batch: DataFrame, known: DataFrame, keys: Sequence[str], small: bool = False
+) -> tuple[DataFrame, bool]:
+    """The same as :func:`without_known`, and whether all rows are shuffled."""
     if small:
         return batch.join(F.broadcast(known), _same(keys), "left_anti"), False
     known = stage(known.join(batch.select(*keys), _same(keys), "left_semi"), "known")
@@ -106,7 +112,7 @@ def new_rows(
     found, small = known(new)
     if found is None:
         return new, moved
-    new, shuffled = _without_known(new, found, keys, small)
+    new, shuffled = unknown_rows(new, found, keys, small)
     return new, moved or shuffled
 
 

@@ -16,7 +16,7 @@ from feedloom import schemas
 from feedloom.functions.offline import glossary_translate, lexicon_extract
 from feedloom.functions.rows import is_row_by_row, row_by_row
 from feedloom.operators import extraction
-from feedloom.operators.merge import not_yet_in
+from feedloom.operators.merge import known_keys, unknown_rows
 from feedloom.operators.quality import VALID_OVERALL, broken_metrics, with_broken
 from feedloom.operators.tables import (
     batch_name,
@@ -126,20 +126,21 @@ def append_table(
     def write(batch: DataFrame, number: int) -> None:
         name = batch_name(checkpoint, number)
         with scratch(batch.sparkSession):
-            new = _unseen(batch, table, name, keys)
+            new, moved = _unseen(batch, table, name, keys)
             if aside is None:
-                write_batch(transform(new), table, name, spread=new is not batch or not is_row_by_row(transform))
+                write_batch(transform(new), table, name, spread=moved or not is_row_by_row(transform))
                 return
             kept, rest = aside[2](new)
-            write_batch(_unseen(rest, aside[0], name, keys), aside[0], name)
-            write_batch(kept, table, name, spread=new is not batch)
+            rest, again = _unseen(rest, aside[0], name, keys)
+            write_batch(rest, aside[0], name, spread=moved or again)
+            write_batch(kept, table, name, spread=moved)
 
     stream = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return stream.trigger(availableNow=True).start()
 
 
-def _unseen(batch: DataFrame, table: str, name: str, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key no other batch of the same game holds; NULL equals NULL.
+def _unseen(batch: DataFrame, table: str, name: str, keys: Sequence[str]) -> tuple[DataFrame, bool]:
+    """Rows whose key no other batch of the same game holds, NULL equals NULL; and whether they are shuffled for it.
 
     A batch of few games looks at their partitions only, which changes no result:
     the game is part of the key. Without any, as for a new game, nothing is read
@@ -152,8 +153,9 @@ def _unseen(batch: DataFrame, table: str, name: str, keys: Sequence[str]) -> Dat
         own = F.col("game_name").isin([n for n in names if n is not None])
         earlier = earlier.where(own | F.col("game_name").isNull() if None in names else own)
     if earlier.isEmpty():
-        return batch
-    return not_yet_in(batch, earlier, [*keys, *({"game_name"} - set(keys))])
+        return batch, False
+    every = [*keys, *({"game_name"} - set(keys))]
+    return unknown_rows(batch, known_keys(earlier, every), every)
 
 
 def stages(chain: Chain) -> list[tuple[str, str, str, str, Transform]]:

@@ -172,3 +172,26 @@ def test_reviews_in_folders_of_their_app_are_written_as_they_lie(spark, database
 def test_pages_are_put_together_without_a_shuffle(spark):
     docs = views.documents_with_events(spark, SF)
     assert "Exchange" not in plan(docs.groupBy("source", "page").agg(F.collect_list("text")))
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_rows_beside_known_ones_are_written_as_they_lie(spark, database, monkeypatch, broadcast):
+    from dataclasses import replace
+
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", broadcast)
+    spread, write = [], tables.write_batch
+
+    def seen(rows, table, batch_id, **options):
+        spread.append(options.get("spread", True))
+        write(rows, table, batch_id, **options)
+
+    chain = streams.Chain(database, translate=views.translate_none, extract=views.answer, quarantine=True)
+    for rows in (views.first_delivery(spark, SF), views.feedback(spark, SF)):
+        upsert(rows, chain.table(streams.BRONZE))
+        monkeypatch.setattr(streams, "write_batch", seen)
+        spread.clear()
+        streams.refresh(spark, replace(chain, checkpoints=fresh_path(spark, "once-more")))
+    assert any(spread) == (broadcast == 0)
+    n = views.feedback(spark, SF).count()
+    kept, broken = (spark.table(chain.table(name)).count() for name in (streams.PARSED, streams.QUARANTINE))
+    assert kept + broken == n == spark.table(chain.table(streams.EXTRACTED)).count()
