@@ -12,7 +12,7 @@ from checks.table import MERGED, database, feedback_rows
 from checks.views import plain, sql
 from feedloom import schemas
 from feedloom.functions.prompts import extraction_prompt
-from feedloom.operators import tables, unify
+from feedloom.operators import merge, tables, unify
 from feedloom.operators.inference import extract, translate
 from feedloom.plans.staging import fresh_path
 from feedloom.sources import landed as files
@@ -98,6 +98,11 @@ def stream_second_run(spark, sf):
     return _topics(spark, chain)
 
 
+def not_delivered_first(spark, sf):
+    """Feedback without the first delivery; ids meet, not texts."""
+    return merge.not_yet_in(views.feedback(spark, sf), views.first_delivery(spark, sf))
+
+
 @check(
     "stream_after_delete",
     sql(
@@ -117,10 +122,7 @@ def stream_after_delete(spark, sf):
     streams.refresh(spark, chain)
     tables.delete_game(spark, [bronze], "src3")
     streams.refresh(spark, chain)
-    later = views.feedback(spark, sf).join(
-        views.first_delivery(spark, sf), "content_id", "left_anti"
-    )
-    upsert(later, bronze)
+    upsert(not_delivered_first(spark, sf), bronze)
     streams.refresh(spark, chain)
     topics = _topics(spark, chain).select(
         F.lit("topics").alias("table_name"), "content_id", "game_name", "category"

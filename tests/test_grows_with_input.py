@@ -35,6 +35,12 @@ def staged_by(monkeypatch, module):
     return names
 
 
+def test_texts_do_not_meet_the_first_delivery(spark):
+    later = stream.not_delivered_first(spark, SF)
+    assert not shuffles(later)
+    assert later.count() == views.feedback(spark, SF).where("timestamp >= timestamp'2024-01-02 12:00:00'").count()
+
+
 @pytest.mark.parametrize(("name", "id_col"), [("documents", "doc_id"), ("conversations", "conv_id")])
 def test_events_of_no_document_or_conversation_are_left_out(spark, tmp_path, name, id_col):
     for n in ("events", name):
