@@ -35,6 +35,38 @@ def staged_by(monkeypatch, module):
     return names
 
 
+@pytest.mark.parametrize("tied", [False, True])
+def test_many_repeated_keys_do_not_move_the_batch(spark, monkeypatch, tied):
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", 0)
+    rows = views.second_delivery(spark, SF)
+    rows = rows.unionByName(rows.where("content_id % 7 = 0")) if tied else rows
+    expected = sorted(map(str, merge.newest_copy(rows).collect()))
+    names = staged_by(monkeypatch, merge)
+    found = merge.newest_staged(rows)
+    assert not shuffles(found) and ("newest" in names) == tied
+    assert sorted(map(str, found.collect())) == expected
+
+
+def test_newest_of_many_with_nulls_and_places_in_several_files(spark, monkeypatch):
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", 0)
+    rows = spark.range(0, 90_000, 1, 2).select(
+        F.expr("IF(id % 11 = 0, NULL, CAST(id % 40000 AS STRING))").alias("k"),
+        F.expr("IF(id % 5 = 0, NULL, timestamp_seconds(id % 60000))").alias("timestamp"),
+        F.expr("CAST(id % 3 AS STRING)").alias("v"),
+    )
+    found, expected = merge.newest_staged(rows, ["k"]), merge.newest_copy(rows, ["k"])
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_many_known_and_many_new_keys_do_not_move_the_batch(spark, monkeypatch):
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", 0)
+    rows = views.feedback(spark, SF)
+    known = rows.where("content_id % 3 = 0").select(F.col("content_id").alias("_known_content_id"))
+    new, moved = merge.new_rows(rows, lambda asked: (known, False), ["content_id"])
+    assert not moved and not shuffles(new) and new.columns == rows.columns
+    assert sorted(map(str, new.collect())) == sorted(map(str, rows.where("content_id % 3 <> 0").collect()))
+
+
 def test_texts_do_not_meet_the_first_delivery(spark):
     later = stream.not_delivered_first(spark, SF)
     assert not shuffles(later)
