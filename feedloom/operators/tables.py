@@ -7,6 +7,7 @@ no file another step has read is ever rewritten. An empty game name is no name.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from hashlib import md5
 from itertools import islice
@@ -28,6 +29,8 @@ _AT_ONCE = 200
 _NO_NAME = "__HIVE_DEFAULT_PARTITION__"
 # Names of batches that were merged out of others begin so.
 _MERGED = "all-"
+# Batches whose partitions have so many bytes on average are merged without a shuffle: their files are large already.
+LARGE = 8_000_000
 # The table property that names a compaction under way.
 _UNDER_WAY = "feedloom.compacting"
 
@@ -158,8 +161,8 @@ def compact(spark: SparkSession, table: str, batches: int = 100) -> list[str]:
 
     :func:`to_merge` chooses them by size, so that a row is written again
     logarithmically often. For a table whose rows every reading stream has seen, with no other writer at
-    work. The rows are written beside the batches, spread by game, in a folder that file
-    streams do not look into, so that none of them sees a row again. Then the catalog is turned
+    work. The rows are written beside the batches, spread by game (those of large partitions as they lie), in a
+    folder that file streams do not look into, so that none of them sees a row again. Then the catalog is turned
     to it: the new partitions are added, the old ones dropped. A table property
     says what is under way; :func:`finish_compaction` ends it after a crash. While there are few
     batches, the catalog's list of partitions is not asked for.
@@ -168,21 +171,33 @@ def compact(spark: SparkSession, table: str, batches: int = 100) -> list[str]:
     if len(_batch_folders(spark, table)) <= batches:
         return []
     names = spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()
-    present = {_values(row[0])["batch_id"] for row in names}
+    present = Counter(_values(row[0])["batch_id"] for row in names)
     sizes = {name: _size(spark, path) for name, path in _batch_folders(spark, table).items() if name in present}
     old = to_merge(sizes, batches)
     if not old:
         return []
     new = f"{_MERGED}{uuid4().hex}"
     folder = _compacted(spark, table, new)
-    rows = spark.table(table).where(F.col("batch_id").isin(old)).drop("batch_id").hint("rebalance", "game_name")
-    rows.write.option("compression", COMPRESSION).partitionBy("game_name").parquet(folder)
+    large = [name for name in old if sizes[name] >= LARGE * present[name]]
+    with settings(spark, **_WRITING):
+        rows = _rows_to_merge(spark, table, old, large)
+        rows.write.option("compression", COMPRESSION).partitionBy("game_name").parquet(folder)
     spark.createDataFrame([(b,) for b in old], "value string").write.text(f"{folder}/_old")
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_UNDER_WAY}' = '{new}')")
     finish_compaction(spark, table)
     return old
 
 
+def _rows_to_merge(spark: SparkSession, table: str, old: Sequence[str], large: Sequence[str]) -> DataFrame:
+    """Rows of the batches ``old``, spread by game but for those among ``large``, whose files hold one game each."""
+    rows = spark.table(table)
+    small = rows.where(F.col("batch_id").isin([b for b in old if b not in large])).hint("rebalance", "game_name")
+    as_they_lie = rows.where(F.col("batch_id").isin(list(large)))
+    if len(large) == len(old):
+        return as_they_lie.drop("batch_id")
+    return (as_they_lie.unionByName(small) if large else small).drop("batch_id")
+
+
 def to_merge(sizes: Mapping[str, int], batches: int) -> list[str]:
     """The batches to merge if there are more than ``batches``: none if not.
 

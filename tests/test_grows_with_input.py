@@ -85,3 +85,23 @@ def test_events_of_no_document_or_conversation_are_left_out(spark, tmp_path, nam
     assert found.join(ids, "event_id").count() == events.join(ids, "event_id").count()
     spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.mode("overwrite").parquet(f"{tmp_path}/{name}.parquet")
     assert views.events_of(spark, str(tmp_path), name, id_col).isEmpty()
+
+
+@pytest.mark.parametrize("least", [1, 12_000, 2**40])
+def test_large_batches_are_merged_without_a_shuffle(spark, database, monkeypatch, least):
+    monkeypatch.setattr(tables, "LARGE", least)
+    plans, own = [], tables._rows_to_merge
+
+    def seen(*args):
+        plans.append(own(*args))
+        return plans[-1]
+
+    monkeypatch.setattr(tables, "_rows_to_merge", seen)
+    table = f"`{database}`.bronze"
+    for part in ("content_id % 9 = 0", "content_id % 9 <> 0"):
+        upsert(views.feedback(spark, SF).where(part), table)
+    before = sorted(map(str, tables.items_of(spark, table).collect()))
+    assert len(tables.compact(spark, table, 1)) == 2
+    assert (not shuffles(plans[0])) == (least == 1)
+    assert sorted(map(str, tables.items_of(spark, table).collect())) == before
+    assert len(tables.batches(spark, table)) == 1
