@@ -177,11 +177,15 @@ def stages(chain: Chain) -> list[tuple[str, str, str, str, Transform]]:
 
 
 def _divided(chain: Chain, observed: list[Mapping[str, int]]) -> tuple[str, str, Divide]:
-    """The quarantine table and how a batch is divided: parsed once, written down, then counted and split."""
+    """The quarantine table and how a batch is divided: parsed once, written down, then counted and split.
+
+    If broken rows are only counted, nothing is written down: the count reads what the rules need, then kept rows are parsed.
+    """
 
     def divide(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
         wide = extraction.parsed_wide(batch, chain.categories)
-        marked = stage(with_broken(wide, chain.rules), "marked")
+        marked = with_broken(wide, chain.rules)
+        marked = stage(marked, "marked") if chain.quarantine else marked
         if chain.on_quality is not None:
             observed.append(broken_metrics(marked, chain.rules))
         fine = F.size("broken") == 0

@@ -105,3 +105,16 @@ def test_large_batches_are_merged_without_a_shuffle(spark, database, monkeypatch
     assert (not shuffles(plans[0])) == (least == 1)
     assert sorted(map(str, tables.items_of(spark, table).collect())) == before
     assert len(tables.batches(spark, table)) == 1
+
+
+def test_rows_that_are_only_counted_are_not_written_down(spark, database, monkeypatch):
+    counts = []
+    chain = streams.Chain(database, translate=views.translate_none, extract=views.answer, on_quality=counts.append)
+    upsert(views.feedback(spark, SF), chain.table(streams.BRONZE))
+    names = staged_by(monkeypatch, streams)
+    streams.refresh(spark, chain)
+    assert "marked" not in names
+    kept = spark.table(chain.table(streams.PARSED)).count()
+    n = views.feedback(spark, SF).count()
+    assert [(c["rows"], c["valid_overall_sentiment"]) for c in counts] == [(n, n - kept)] and kept < n
+    assert spark.table(chain.table(streams.QUARANTINE)).isEmpty()
