@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.plans.ranking import first_n
-from feedloom.plans.staging import stage
+from feedloom.plans.staging import lies_in_files, stage
 
 # So many keys, some 50 MB, are broadcast; results do not depend on it.
 BROADCAST_KEYS = 500_000
@@ -45,13 +45,13 @@ def newest_staged(rows: DataFrame, keys: Sequence[str] = ("content_id",), time:
     return _newest_staged(rows, keys, time).drop(*_PLACE)
 
 
-def _newest_staged(rows: DataFrame, keys: Sequence[str], time: str = "timestamp") -> DataFrame:
-    """The same, with the place of each row."""
-    batch = stage(rows, "batch")
+def _newest_staged(rows: DataFrame, keys: Sequence[str], time: str = "timestamp", lie: bool = False) -> DataFrame:
+    """The same, with the place of each row. Rows that ``lie`` in files are read there again, not written down."""
+    batch = rows if lie else stage(rows, "batch")
     several = batch.groupBy(*keys).agg(F.count("*").alias("_rows")).where("_rows > 1")
     several = stage(several.select(*[F.col(k).alias(f"_known_{k}") for k in keys]), "several")
     n = several.count()
-    batch = _placed(batch)
+    batch = _placed(batch, "file_path" if lie else "file_name")
     if not n:
         return batch
     if n > BROADCAST_KEYS:
@@ -80,14 +80,14 @@ def _newest_of_many(batch: DataFrame, several: DataFrame, keys: Sequence[str], t
     return _at_places(batch, older.unionByName(equal), False).unionByName(one)
 
 
-# Where a row of a staged table lies: its file and its number in it.
+# Where a row lies: its file and its number in it.
 _PLACE = ("_file", "_row")
 # Rows of a file whose bits lie together.
 _BITS = 32_768
 
 
-def _placed(staged: DataFrame) -> DataFrame:
-    return staged.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+def _placed(rows: DataFrame, file: str) -> DataFrame:
+    return rows.select("*", F.col(f"_metadata.{file}").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
 def _at_places(rows: DataFrame, places: DataFrame, among: bool) -> DataFrame:
@@ -155,8 +155,9 @@ def new_rows(
     """The newest copy of each key that is not known, and whether all rows are shuffled to find them.
 
     ``known`` gives, for rows, keys as ``_known_`` columns, NULL if none is known, and whether these are few.
+    Rows are written down first, unless they lie in files: then the result must be used before these change.
     """
-    new = _newest_staged(rows, keys)
+    new = _newest_staged(rows, keys, lie=lies_in_files(rows))
     found, small = known(new)
     new, moved = (new, False) if found is None else unknown_rows(new, found, keys, small)
     return new.drop(*_PLACE), moved

@@ -19,11 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.operators.key_index import forget_game
-from feedloom.plans.staging import COMPRESSION, remove, settings
+from feedloom.plans.staging import KEPT, remove, settings
 
 PARTITIONS = ("batch_id", "game_name")
 # Partitions that are written replace those there; a task that meets few games writes them side by side, without a sort.
-_WRITING = {"spark__sql__sources__partitionOverwriteMode": "dynamic", "spark__sql__maxConcurrentOutputFileWriters": 32}
+_WRITERS = 32
+_WRITING = {"spark__sql__sources__partitionOverwriteMode": "dynamic", "spark__sql__maxConcurrentOutputFileWriters": _WRITERS}
+# Rows are written as they lie, without a shuffle by game, if files then have so many bytes on average before compression.
+LEAST_FILE = 4_000_000
 # Partitions one statement drops.
 _AT_ONCE = 200
 _NO_NAME = "__HIVE_DEFAULT_PARTITION__"
@@ -53,7 +56,7 @@ def create_item_table(spark: SparkSession, table: str, ddl: str) -> None:
     if not spark.catalog.tableExists(table):
         empty = spark.createDataFrame([], schema)
         # Kept as an option of the table, so that whatever is inserted is written so.
-        empty.write.format("parquet").option("compression", COMPRESSION).partitionBy(*PARTITIONS).saveAsTable(table)
+        empty.write.format("parquet").options(**KEPT).partitionBy(*PARTITIONS).saveAsTable(table)
         return
     present = set(spark.table(table).columns)
     new = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in present]
@@ -89,6 +92,21 @@ def write_batch(rows: DataFrame, table: str, batch_id: str, spread: bool = True)
         batch.write.mode("overwrite").insertInto(table)
 
 
+def fills_files(rows: DataFrame) -> bool:
+    """Whether tasks that write ``rows`` as they lie, a file for each game they meet, need no shuffle by game: they
+    meet few games, and files are large. Small batches are not looked at; of others, rows and bytes are counted."""
+    spark = rows.sparkSession
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if size < LEAST_FILE * spark.sparkContext.defaultParallelism:
+        return False
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in rows.schema if f.dataType == T.StringType()]
+    files = rows.select(F.spark_partition_id().alias("_task"), "game_name", sum(texts, F.lit(0)).alias("_bytes"))
+    files = files.groupBy("_task", "game_name").agg(F.sum("_bytes").alias("_bytes")).groupBy("_task")
+    tasks = files.agg(F.count("*").alias("_files"), F.sum("_bytes").alias("_bytes"))
+    most, n, total = tasks.agg(F.max("_files"), F.sum("_files"), F.sum("_bytes")).first()
+    return bool(n) and most <= _WRITERS and total >= LEAST_FILE * n
+
+
 def write_batches(rows: DataFrame, table: str) -> None:
     """Write rows that name their batch; the partitions they fill are replaced."""
     spark = rows.sparkSession
@@ -181,7 +199,7 @@ def compact(spark: SparkSession, table: str, batches: int = 100) -> list[str]:
     large = [name for name in old if sizes[name] >= LARGE * present[name]]
     with settings(spark, **_WRITING):
         rows = _rows_to_merge(spark, table, old, large)
-        rows.write.option("compression", COMPRESSION).partitionBy("game_name").parquet(folder)
+        rows.write.options(**KEPT).partitionBy("game_name").parquet(folder)
     spark.createDataFrame([(b,) for b in old], "value string").write.text(f"{folder}/_old")
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_UNDER_WAY}' = '{new}')")
     finish_compaction(spark, table)

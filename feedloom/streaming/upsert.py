@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from feedloom import schemas
 from feedloom.operators.key_index import KeyIndex
 from feedloom.operators.merge import new_rows, with_ids
-from feedloom.operators.tables import batch_name, create_item_table, location, write_batch
+from feedloom.operators.tables import batch_name, create_item_table, fills_files, location, write_batch
 from feedloom.plans.staging import scratch
 
 
@@ -33,8 +33,9 @@ def upsert(
 def _merge(rows: DataFrame, table: str, keys: Sequence[str], name: str, by_game: bool = False) -> None:
     """Write the new rows as one batch; which keys are known the table's index tells.
 
-    The batch is written down first, since it is used several times. Of the index only buckets are read that
-    its keys can be in. Rows that come ``by_game`` are not shuffled for the write, unless they were for their keys.
+    The batch is written down first, since it is used several times, unless it lies in files. Of the index only buckets
+    are read that its keys can be in. Rows that come ``by_game``, and many rows of few games, are not shuffled for the
+    write, unless they were for their keys.
     """
     spark = rows.sparkSession
     with scratch(spark):
@@ -44,8 +45,9 @@ def _merge(rows: DataFrame, table: str, keys: Sequence[str], name: str, by_game:
             return index.known(asked, but=name), index.size <= SMALL_INDEX
 
         new, moved = new_rows(with_ids(rows), known, keys)
+        spread = moved or not (by_game or fills_files(new))
         index.announce(name)
-        write_batch(new, table, name, spread=moved or not by_game)
+        write_batch(new, table, name, spread=spread)
         index.settle(name)
 
 

@@ -12,6 +12,7 @@ from checks import stream, views
 from feedloom.operators import merge, tables
 from feedloom.plans.staging import fresh_path
 from feedloom.streaming import chain as streams
+from feedloom.streaming import upsert as upserts
 from feedloom.streaming.upsert import upsert
 
 SF = "/root/testdata/sf0.001"
@@ -118,3 +119,90 @@ def test_rows_that_are_only_counted_are_not_written_down(spark, database, monkey
     n = views.feedback(spark, SF).count()
     assert [(c["rows"], c["valid_overall_sentiment"]) for c in counts] == [(n, n - kept)] and kept < n
     assert spark.table(chain.table(streams.QUARANTINE)).isEmpty()
+
+
+def test_rows_that_lie_in_files_are_not_written_down(spark, database, monkeypatch):
+    names = staged_by(monkeypatch, merge)
+    rows = views.feedback(spark, SF)
+    for n, keys in enumerate((["content_id"], ["content_type", "content_id"])):
+        for _ in range(2):
+            upsert(rows, f"{database}.lie{n}", keys)
+            assert "batch" not in names
+        assert tables.items_of(spark, f"{database}.lie{n}").exceptAll(rows.select(*spark.table(f"{database}.lie{n}").drop("batch_id").columns)).isEmpty()
+        assert spark.table(f"{database}.lie{n}").count() == rows.count()
+    upsert(rows.where("content_id > '5'").unionByName(rows), f"{database}.both")
+    assert "batch" in names and spark.table(f"{database}.both").count() == rows.count()
+
+
+def test_what_lies_in_files(spark, tmp_path):
+    from feedloom.plans.staging import lies_in_files
+
+    path = f"{tmp_path}/rows"
+    spark.range(9).select(F.col("id"), F.col("id").cast("string").alias("s")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert lies_in_files(rows) and lies_in_files(rows.withColumn("t", F.upper("s")).select("t", F.lit(1).alias("one")))
+    shout = F.udf(lambda s: s.upper())
+    for other in (
+        rows.where("id > 3"), rows.withColumn("now", F.current_timestamp()), rows.withColumn("r", F.rand()), rows.withColumn("u", shout("s")),
+        rows.unionByName(rows), rows.join(rows.select("id"), "id"), rows.distinct(), rows.limit(3), spark.range(5),
+        rows.selectExpr("*", "(SELECT max(id) FROM range(3)) AS m"), spark.createDataFrame([(1,)], "id int"),
+    ):
+        assert not lies_in_files(other)
+    rows.write.json(f"{path}-json")
+    assert not lies_in_files(spark.read.json(f"{path}-json"))
+
+
+@pytest.mark.parametrize("broadcast", [0, 1, 10**6])
+def test_rows_are_found_again_in_files_of_one_name(spark, database, tmp_path, monkeypatch, broadcast):
+    """Folders of partitions hold files of the same name; rows come twice, are known, have no key."""
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", broadcast)
+    monkeypatch.setattr(upserts, "SMALL_INDEX", -1)
+    made = spark.range(0, 4000, 1, 1).select(
+        F.expr("IF(id % 13 = 0, NULL, CAST(id % 1500 AS STRING))").alias("content_id"), F.lit("t").alias("content_type"),
+        F.expr("CAST(id % 4 AS STRING)").alias("game_name"), F.expr("CONCAT('text ', id)").alias("content_text"),
+        F.expr("timestamp_seconds(id % 2900)").alias("timestamp"), F.lit("a").alias("author_id"), F.lit("{}").alias("content_metadata"),
+    )
+    made.write.partitionBy("game_name").parquet(f"{tmp_path}/rows")
+    rows = spark.read.schema(made.schema).parquet(f"{tmp_path}/rows")
+    assert len({file.rsplit("/", 1)[1] for file in rows.inputFiles()}) == 1 < len(rows.inputFiles())
+    first = rows.where("content_id < '3'")
+    upsert(first, f"{database}.lie")
+    upsert(rows, f"{database}.lie")
+    keyed = merge.with_ids(rows)
+    expected = merge.newest_copy(merge.with_ids(first)).unionByName(merge.newest_copy(keyed).where("content_id LIKE 'row-%' OR content_id >= '3'"))
+    found = tables.items_of(spark, f"{database}.lie").select(*expected.columns)
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_a_table_can_be_upserted_from_itself(spark, database):
+    table = f"{database}.own"
+    upsert(views.feedback(spark, SF), table)
+    n = spark.table(table).count()
+    for times in (2, 3):
+        rows = tables.items_of(spark, table).withColumn("content_id", F.concat("content_id", F.lit("-b")))
+        upsert(rows, table)
+        assert spark.table(table).count() == times * n
+
+
+@pytest.mark.parametrize(("least", "writers"), [(1, 32), (2**40, 32), (1, 3)])
+def test_many_rows_of_few_games_are_written_as_they_lie(spark, database, monkeypatch, least, writers):
+    monkeypatch.setattr(tables, "LEAST_FILE", least)
+    monkeypatch.setattr(tables, "_WRITERS", writers)
+    spread, write = [], tables.write_batch
+
+    def seen(rows, table, batch_id, **options):
+        spread.append(options["spread"])
+        write(rows, table, batch_id, **options)
+
+    monkeypatch.setattr(upserts, "write_batch", seen)
+    rows = views.feedback(spark, SF)
+    for n in (1, 2):
+        upsert(rows, f"{database}.few")
+        assert spark.table(f"{database}.few").count() == rows.count()
+    # The second time all are known: nothing is left to fill files with.
+    assert spread == [least > 1 or writers == 3, True]
+
+
+def test_joined_documents_are_one_file_for_each_bucket(spark):
+    files = views.documents_with_events(spark, SF).inputFiles()
+    assert len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
