@@ -25,6 +25,8 @@ from feedloom.plans.staging import COMPRESSION, remove
 
 # Bytes of a bucket: a bound on what one task filters, merges or reads; results do not depend on it.
 PER_BUCKET = 8_000_000
+# On disk keys are compressed: a task holds at least so many times the bytes.
+UNPACKED = 2
 # Keys of which one task asks for one bucket.
 PER_TASK = 200_000
 # So many runs of like size are merged. Below this number of bytes all sizes are alike.
@@ -86,7 +88,7 @@ class HashedRows:
         plain = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]
         rows.select(*plain, F.lit(0).alias("bucket")).write.option("compression", COMPRESSION).partitionBy("bucket").parquet(path)
         size = self._size(path)
-        if size > PER_BUCKET:
+        if size * UNPACKED > PER_BUCKET:
             self._write(self._read(path), size, version, version)
             remove(self.spark, path)
         elif size:
@@ -115,7 +117,7 @@ class HashedRows:
 
     def _write(self, rows: DataFrame, size: int, first: int, last: int) -> None:
         """A run of as many buckets as its bytes need, by powers of two."""
-        buckets = 1 << max(0, (-(-size // PER_BUCKET) - 1).bit_length())
+        buckets = 1 << max(0, (-(-size * UNPACKED // PER_BUCKET) - 1).bit_length())
         path = f"{self.folder}/_new-{uuid4().hex}"
         placed = rows.withColumn("bucket", F.pmod(self._hashes()[0], F.lit(buckets)).cast("int"))
         dealt = placed.repartition("bucket") if buckets > 1 else placed.coalesce(1)

@@ -191,12 +191,12 @@ def compact(spark: SparkSession, table: str, batches: int = 100) -> list[str]:
     names = spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()
     present = Counter(_values(row[0])["batch_id"] for row in names)
     sizes = {name: _size(spark, path) for name, path in _batch_folders(spark, table).items() if name in present}
-    old = to_merge(sizes, batches)
+    old = to_merge(_beyond_files(sizes), batches)
     if not old:
         return []
     new = f"{_MERGED}{uuid4().hex}"
     folder = _compacted(spark, table, new)
-    large = [name for name in old if sizes[name] >= LARGE * present[name]]
+    large = [name for name in old if sizes[name][0] >= LARGE * present[name]]
     with settings(spark, **_WRITING):
         rows = _rows_to_merge(spark, table, old, large)
         rows.write.options(**KEPT).partitionBy("game_name").parquet(folder)
@@ -206,6 +206,12 @@ def compact(spark: SparkSession, table: str, batches: int = 100) -> list[str]:
     return old
 
 
+def _beyond_files(sizes: Mapping[str, tuple[int, int]]) -> dict[str, int]:
+    """Bytes beyond what as many of the smallest files take, which is schema and footer: a file of few rows counts as next to nothing."""
+    least = min((size // files for size, files in sizes.values() if files), default=0)
+    return {name: max(0, size - least * files) for name, (size, files) in sizes.items()}
+
+
 def _rows_to_merge(spark: SparkSession, table: str, old: Sequence[str], large: Sequence[str]) -> DataFrame:
     """Rows of the batches ``old``, spread by game but for those among ``large``, whose files hold one game each."""
     rows = spark.table(table)
@@ -248,10 +254,12 @@ def _batch_folders(spark: SparkSession, table: str) -> dict[str, str]:
     return found
 
 
-def _size(spark: SparkSession, folder: str) -> int:
+def _size(spark: SparkSession, folder: str) -> tuple[int, int]:
+    """Bytes and files of a folder."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.getContentSummary(path).getLength()
+    found = files.getContentSummary(path)
+    return found.getLength(), found.getFileCount()
 
 
 def finish_compaction(spark: SparkSession, table: str) -> None:
